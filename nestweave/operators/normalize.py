@@ -44,5 +44,11 @@ def normalize(
 
 
 def join_children(base: DataFrame, child: DataFrame, key: str = "__id__") -> DataFrame:
-    """Base rows with their child rows; documents without children stay."""
-    return base.join(child, key, "left")
+    """Base rows with their child rows; documents without children stay.
+
+    Written as an inner join plus the childless rows. A document with very many children
+    is then split over tasks at run time, which an outer join does not allow on that side.
+    """
+    matched = base.join(child, key)
+    childless = base.join(child.select(key).distinct(), key, "left_anti")
+    return matched.unionByName(childless, allowMissingColumns=True)

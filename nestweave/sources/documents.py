@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
+from nestweave.session import staged
+
 LAYOUT_SCHEMA = """
 analyzeResult struct<
   markdown: struct<sections: array<struct<
@@ -59,7 +61,10 @@ def read_documents_if_any(
 def split_unreadable(
     spark: SparkSession, path: str | list[str], schema: StructType, multiline: bool = True
 ) -> tuple[DataFrame, DataFrame]:
-    """Readable documents, and ``(file, record)`` of those that are not valid JSON."""
+    """Readable documents, and ``(file, record)`` of those that are not valid JSON.
+
+    The input is parsed once, into a staged copy both results read.
+    """
     with_corrupt = StructType(schema.fields).add(CORRUPT, StringType())
     rows = (
         spark.read.schema(with_corrupt)
@@ -69,6 +74,7 @@ def split_unreadable(
         .json(path)
         .select("*", F.col("_metadata.file_path").alias("file"))
     )
+    rows = staged(rows, "parsed")
     readable = rows.where(F.col(CORRUPT).isNull()).drop(CORRUPT, "file")
     unreadable = rows.where(F.col(CORRUPT).isNotNull()).select(
         "file", F.col(CORRUPT).alias("record")

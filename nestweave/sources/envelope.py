@@ -19,17 +19,26 @@ EMPTY_PAYLOAD = "Empty PDF bytes passed to di_layout"
 BASE64_ALPHABET = "[^A-Za-z0-9+/]"
 
 
-def read_requests(spark: SparkSession, path: str | list[str], multiline: bool = True) -> DataFrame:
-    """One row per record: ``(request, position, recordId, data, url, sasToken)``."""
+def read_requests(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """One row per record: ``(request, position, recordId, data, url, sasToken)``.
+
+    A file is one envelope, and ``request`` its path.
+    """
     envelopes = (
         spark.read.schema(ENVELOPE_SCHEMA)
-        .option("multiLine", multiline)
+        .option("multiLine", True)
         .json(path)
         .select(F.col("_metadata.file_path").alias("request"), "values")
     )
     return explode_requests(envelopes)
 
 
+def parse_requests(df: DataFrame, request: str, envelope: str) -> DataFrame:
+    """Records of envelopes held as JSON text in a column, by their request key."""
+    parsed = F.from_json(envelope, ENVELOPE_SCHEMA).getField("values")
+    return explode_requests(df.select(F.col(request).alias("request"), parsed.alias("values")))
+
+
 def explode_requests(envelopes: DataFrame) -> DataFrame:
     """Records of ``(request, values)`` envelopes, with their position kept."""
     records = envelopes.select("request", F.posexplode("values").alias("position", "record"))
