@@ -16,15 +16,21 @@ def centroid_y(polygons: Column) -> Column:
     gives 0.5; a number in quotes is text, not a number. Coordinates are taken as they
     come, so input must be normalised to 0..1 for position tests to mean anything.
     """
-    points = F.try_variant_get(polygons, "$[0]", "array<variant>")
 
     def numeric_y(point: Column) -> Column:
         kind = F.schema_of_variant(F.try_variant_get(point, "$.y", "variant"))
-        numeric = kind.isin("BIGINT", "DOUBLE", "BOOLEAN") | kind.startswith("DECIMAL")
-        return F.when(numeric, F.try_variant_get(point, "$.y", "double"))
-
-    total = F.aggregate(F.transform(points, numeric_y), F.lit(0.0), lambda acc, y: acc + y)
-    return F.coalesce(F.try_divide(total, F.size(points)), F.lit(MID_PAGE))
+        return F.when(
+            kind.rlike("^(BIGINT|DOUBLE|DECIMAL|BOOLEAN)"), F.try_variant_get(point, "$.y", "double")
+        )
+
+    values = F.transform(F.try_variant_get(polygons, "$[0]", "array<variant>"), numeric_y)
+    mean = F.aggregate(
+        values,
+        F.struct(F.lit(0.0).alias("sum"), F.lit(0).alias("n")),
+        lambda acc, y: F.struct((acc["sum"] + y).alias("sum"), (acc["n"] + 1).alias("n")),
+        lambda acc: F.try_divide(acc["sum"], acc["n"]),
+    )
+    return F.coalesce(mean, F.lit(MID_PAGE))
 
 
 def centroid_y_of_json(polygons: Column) -> Column:

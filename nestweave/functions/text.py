@@ -12,6 +12,9 @@ WHITESPACE = (
     "\u2028\u2029\u202f\u205f\u3000"
 )
 
+# The same as an SQL literal.
+SQL_WHITESPACE = "'" + "".join(f"\\u{ord(c):04x}" for c in WHITESPACE) + "'"
+
 # Fixed value: the phrase that marks a page footer.
 FOOTER_PHRASE = "inspection report"
 
@@ -37,6 +40,12 @@ def is_page_number(text: Column) -> Column:
     return F.coalesce(strip(text).rlike(r"(?U)\A\d+\z"), F.lit(False))
 
 
+def is_blank_or_page_number(text: Column) -> Column:
+    """:func:`is_blank` or :func:`is_page_number`, in one match that ends at the first letter."""
+    space = r"[\s\x1c-\x1f]"
+    return F.coalesce(text.rlike(rf"(?U)\A{space}*+(\d++{space}*+)?\z"), F.lit(True))
+
+
 def contains_phrase(text: Column, phrase: str = FOOTER_PHRASE) -> Column:
     return F.coalesce(text.rlike(rf"(?iu)\Q{phrase}\E"), F.lit(False))
 

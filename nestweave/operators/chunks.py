@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from nestweave.functions.generators import elements
 from nestweave.operators.folds import (
     CHUNK_MAX,
     CHUNK_OVERLAP,
@@ -17,7 +18,8 @@ from nestweave.operators.sections import FOOTER_Y_HIGH, FOOTER_Y_LOW, usable_sec
 
 def document_groups(documents: DataFrame) -> DataFrame:
     """``(doc, no, h1, h2, h3, pageStart, pageEnd, rows, texts)`` from ``(doc, sections)``."""
-    return documents.select("doc", F.inline(fold_sections(F.col("sections"))))
+    groups = F.expr(fold_sections("sections"))
+    return elements(documents, ["doc"], groups, "position", "group").select("doc", "group.*")
 
 
 def document_chunks(
@@ -33,17 +35,16 @@ def document_chunks(
     The sections of a document are already one row, so all of this is one projection.
     """
     usable = usable_sections(F.col("sections"), footer_high, footer_low)
-    groups = fold_sections(usable)
-    return documents.select(
-        "doc", group_chunks(groups, max_length, overlap, drop_empty).alias("chunks")
+    return (
+        documents.select("doc", usable.alias("usable"))
+        .select("doc", F.expr(fold_sections("usable")).alias("groups"))
+        .select("doc", group_chunks("groups", max_length, overlap, drop_empty).alias("chunks"))
     )
 
 
 def explode_chunks(documents: DataFrame) -> DataFrame:
     """A row per chunk, its position in the document as ``chunk``."""
-    return documents.select("doc", F.posexplode("chunks").alias("chunk", "c")).select(
-        "doc", "chunk", "c.*"
-    )
+    return elements(documents, ["doc"], "chunks", "chunk", "c").select("doc", "chunk", "c.*")
 
 
 def document_texts(
@@ -53,5 +54,5 @@ def document_texts(
     drop_empty: bool = False,
 ) -> DataFrame:
     """``(doc, chunk, content)`` from ``(doc, texts)``: packing alone, headings aside."""
-    packed = pack_texts(F.col("texts"), max_length, overlap, drop_empty)
-    return documents.select("doc", F.posexplode(packed).alias("chunk", "content"))
+    packed = F.expr(pack_texts("texts", max_length, overlap, drop_empty))
+    return elements(documents, ["doc"], packed, "chunk", "content")

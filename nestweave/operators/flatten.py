@@ -65,11 +65,11 @@ def explode_map(df: DataFrame, name: str, outer: bool = False) -> DataFrame:
     """One row per entry as ``name_key`` and ``name_value``; by default an empty or null
     map drops its row."""
     kept = [c for c in df.columns if c != name]
-    names = distinct_names([*kept, f"{name}_key", f"{name}_value"])
-    generator = F.explode_outer if outer else F.explode
-    return df.select(
-        *[F.col(quoted(c)) for c in kept], generator(quoted(name)).alias(*names[len(kept) :])
+    *_, key, value = names = distinct_names([*kept, f"{name}_key", f"{name}_value"])
+    entries = df.select(
+        *[F.col(quoted(c)) for c in kept], F.explode_outer(quoted(name)).alias(key, value)
     ).toDF(*names)
+    return entries if outer else entries.where(F.col(quoted(key)).isNotNull())
 
 
 def flatten(df: DataFrame, map_outer: bool = False) -> DataFrame:

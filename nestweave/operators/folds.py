@@ -3,6 +3,10 @@
 *Sections to groups*: carry headings down the document, start a group where a heading
 changes, gather the group's texts and page range. *Texts to chunks*: pack texts greedily,
 each new chunk starting with the tail of the one before.
+
+They are written as SQL expressions over named columns. The start value of an ``aggregate``
+fixes its types; the steps build the same struct without casts, since a cast would copy
+the gathered arrays at every step.
 """
 
 from __future__ import annotations
@@ -10,26 +14,24 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from nestweave.functions.text import (
-    lstrip,
-    present,
-    section_level,
-    section_path,
-    strip,
-)
+from nestweave.functions.text import SQL_WHITESPACE, section_level, section_path
 
 # Default chunk size and overlap, in characters.
 CHUNK_MAX = 2000
 CHUNK_OVERLAP = 200
 
-HEADINGS_TYPE = (
-    "struct<h1:string,h2:string,h3:string,u1:boolean,u2:boolean,u3:boolean,changes:bigint>"
-)
 GROUP_TYPE = (
     "struct<no:bigint,h1:string,h2:string,h3:string,"
     "pageStart:int,pageEnd:int,rows:bigint,texts:array<string>>"
 )
-FOLD_TYPE = f"struct<headings:{HEADINGS_TYPE},done:array<{GROUP_TYPE}>,open:{GROUP_TYPE}>"
+FOLD_TYPE = (
+    "struct<h1:string,h2:string,h3:string,changes:bigint,"
+    "pageStart:int,pageEnd:int,rows:bigint,texts:array<string>,"
+    f"done:array<{GROUP_TYPE}>>"
+)
+EFFECT_TYPE = (
+    "struct<h1:string,h2:string,h3:string,u1:boolean,u2:boolean,u3:boolean,changes:bigint>"
+)
 PACK_TYPE = "struct<out:array<string>,buf:string>"
 CHUNK_TYPE = (
     "struct<content:string,h1:string,h2:string,h3:string,"
@@ -37,197 +39,116 @@ CHUNK_TYPE = (
 )
 
 
-def let(value: Column, body) -> Column:
-    """``body(value)`` with ``value`` evaluated once."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+def let(name: str, value: str, body: str) -> str:
+    """``body`` with ``name`` standing for ``value``, evaluated once."""
+    return f"get(transform(array({value}), {name} -> {body}), 0)"
 
 
-def carried(h1: Column, h2: Column, h3: Column, changes: Column | None = None) -> Column:
-    """Carried headings that are all known."""
-    no = F.lit(False)
-    return F.struct(
-        h1.alias("h1"),
-        h2.alias("h2"),
-        h3.alias("h3"),
-        no.alias("u1"),
-        no.alias("u2"),
-        no.alias("u3"),
-        (F.lit(0) if changes is None else changes).cast("bigint").alias("changes"),
-    ).cast(HEADINGS_TYPE)
-
+# Headings of state s after a row r that changes them: h1 stays if the row has none; h2
+# stays only if the row has neither h1 nor h2; h3 is always the row's own.
+_NEXT_H1 = "if(r.h1 <> '', r.h1, s.h1)"
+_NEXT_H2 = "if(r.h1 <> '' OR r.h2 <> '', r.h2, s.h2)"
+_NEXT_H3 = "r.h3"
 
-def no_headings() -> Column:
-    none = F.lit(None).cast("string")
-    return carried(none, none, none)
+# A row changes the headings if one of its own, not empty, differs from the carried one.
+_CHANGED = " OR ".join(f"(r.h{i} <> '' AND NOT r.h{i} <=> s.h{i})" for i in (1, 2, 3))
 
+_DEEPEST = "coalesce(nullif(r.h3, ''), nullif(r.h2, ''), nullif(r.h1, ''))"
+_TEXT = "coalesce(r.content, '')"
 
-def heading_changed(state: Column, row: Column) -> Column:
-    """Any non-empty heading of the row that differs from the carried one.
+# The text of a row that changes the headings: below the deepest of them, unless the text
+# starts with it already.
+_OPENING_TEXT = (
+    f"if(startswith(ltrim({SQL_WHITESPACE}, {_TEXT}), {_DEEPEST}),"
+    f" {_TEXT}, concat({_DEEPEST}, '\\n', {_TEXT}))"
+)
 
-    ``u1`` to ``u3`` say that a carried heading is *unknown but different* from any heading
-    it is compared with; see :func:`nestweave.operators.stream.block_summary`.
-    """
+_WITH_OPEN_GROUP = """
+    if(s.rows > 0,
+       array_append(s.done, named_struct(
+         'no', s.changes, 'h1', s.h1, 'h2', s.h2, 'h3', s.h3, 'pageStart', s.pageStart,
+         'pageEnd', s.pageEnd, 'rows', s.rows, 'texts', s.texts)),
+       s.done)"""
 
-    def differs(name: str) -> Column:
-        heading = present(row[f"h{name}"])
-        same = heading.eqNullSafe(state[f"h{name}"]) & ~state[f"u{name}"]
-        return heading.isNotNull() & ~same
 
-    return differs("1") | differs("2") | differs("3")
+_NO_HEADINGS = "named_struct('h1', null, 'h2', null, 'h3', null, 'changes', 0)"
 
 
-def next_headings(state: Column, row: Column) -> Column:
-    """Carried headings after a row that changes them.
+def fold_sections(rows: str, start: str = _NO_HEADINGS) -> str:
+    """Groups of an ordered array of ``(content, h1, h2, h3, pageNumber)`` structs.
 
-    h1 stays if the row has none; h2 stays only if the row has neither h1 nor h2; h3 is
-    always the row's own.
+    ``start`` has the headings ``h1, h2, h3`` and ``changes`` before the array. A group holds
+    its texts, the first and last page that is not null, in order, and its number.
     """
-    has_h1 = present(row["h1"]).isNotNull()
-    has_h2 = present(row["h2"]).isNotNull()
-    sets_h2 = has_h1 | has_h2
-    return F.struct(
-        F.when(has_h1, row["h1"]).otherwise(state["h1"]).alias("h1"),
-        F.when(sets_h2, row["h2"]).otherwise(state["h2"]).alias("h2"),
-        row["h3"].alias("h3"),
-        (state["u1"] & ~has_h1).alias("u1"),
-        (state["u2"] & ~sets_h2).alias("u2"),
-        F.lit(False).alias("u3"),
-        (state["changes"] + 1).alias("changes"),
-    ).cast(HEADINGS_TYPE)
-
-
-def carry_headings(state: Column, row: Column) -> Column:
-    return F.when(heading_changed(state, row), next_headings(state, row)).otherwise(state)
-
-
-def _opening_text(row: Column) -> Column:
-    """The row's text under its deepest heading, unless it starts with it already."""
-    text = F.coalesce(row["content"], F.lit(""))
-    heading = F.coalesce(present(row["h3"]), present(row["h2"]), present(row["h1"]))
-    led = F.startswith(lstrip(text), heading)
-    return F.when(led, text).otherwise(F.concat(heading, F.lit("\n"), text))
-
-
-def _group(
-    headings: Column, start: Column, end: Column, rows: Column, texts: Column
-) -> Column:
-    return F.struct(
-        headings["changes"].alias("no"),
-        headings["h1"].alias("h1"),
-        headings["h2"].alias("h2"),
-        headings["h3"].alias("h3"),
-        start.alias("pageStart"),
-        end.alias("pageEnd"),
-        rows.cast("bigint").alias("rows"),
-        texts.alias("texts"),
-    ).cast(GROUP_TYPE)
-
-
-def _filled(groups: Column, group: Column) -> Column:
-    return F.when(group["rows"] > 0, F.array_append(groups, group)).otherwise(groups)
-
+    return f"""
+    {let("o", start, f'''aggregate({rows},
+      cast(struct(o.h1, o.h2, o.h3, o.changes, null, null, 0, array(), array()) AS {FOLD_TYPE}),
+      (s, r) -> if({_CHANGED},
+        named_struct(
+          'h1', {_NEXT_H1}, 'h2', {_NEXT_H2}, 'h3', {_NEXT_H3}, 'changes', s.changes + 1L,
+          'pageStart', r.pageNumber, 'pageEnd', r.pageNumber, 'rows', 1L,
+          'texts', array({_OPENING_TEXT}),
+          'done', {_WITH_OPEN_GROUP}),
+        named_struct(
+          'h1', s.h1, 'h2', s.h2, 'h3', s.h3, 'changes', s.changes,
+          'pageStart', coalesce(s.pageStart, r.pageNumber),
+          'pageEnd', coalesce(r.pageNumber, s.pageEnd), 'rows', s.rows + 1L,
+          'texts', array_append(s.texts, {_TEXT}),
+          'done', s.done)),
+      s -> {_WITH_OPEN_GROUP})''')}"""
+
+
+def heading_effect(rows: str, start: str) -> str:
+    """Headings after an array of ``(h1, h2, h3)`` structs, and the number of changes.
+
+    ``u1`` to ``u3`` of ``start`` say that a carried heading is not known, but differs from
+    any it will be compared with; in the result they say that it is still the same.
+    """
+    changed = " OR ".join(
+        f"(r.h{i} <> '' AND (s.u{i} OR NOT r.h{i} <=> s.h{i}))" for i in (1, 2, 3)
+    )
+    return f"""aggregate({rows}, cast({start} AS {EFFECT_TYPE}), (s, r) -> if({changed},
+        named_struct(
+          'h1', {_NEXT_H1}, 'h2', {_NEXT_H2}, 'h3', {_NEXT_H3},
+          'u1', s.u1 AND NOT coalesce(r.h1 <> '', false),
+          'u2', s.u2 AND NOT coalesce(r.h1 <> '' OR r.h2 <> '', false),
+          'u3', false,
+          'changes', s.changes + 1L),
+        s))"""
 
-def fold_sections(rows: Column, headings: Column | None = None) -> Column:
-    """Groups of an ordered array of ``(content, h1, h2, h3, pageNumber)`` structs.
 
-    ``headings`` are those carried in from before the array. A group holds its texts, the
-    first and last page that is not null, in order, and its number in the document.
-    """
-    headings = no_headings() if headings is None else headings
-    no_page = F.lit(None).cast("int")
-    no_texts = F.array().cast("array<string>")
-
-    def empty_group(state: Column) -> Column:
-        return _group(state, no_page, no_page, F.lit(0), no_texts)
-
-    start = F.struct(
-        headings.alias("headings"),
-        F.array().cast(f"array<{GROUP_TYPE}>").alias("done"),
-        empty_group(headings).alias("open"),
-    ).cast(FOLD_TYPE)
-
-    def begin(state: Column, row: Column) -> Column:
-        def with_headings(after: Column) -> Column:
-            page = row["pageNumber"]
-            return F.struct(
-                after.alias("headings"),
-                _filled(state["done"], state["open"]).alias("done"),
-                _group(after, page, page, F.lit(1), F.array(_opening_text(row))).alias("open"),
-            ).cast(FOLD_TYPE)
-
-        return let(next_headings(state["headings"], row), with_headings)
-
-    def extend(state: Column, row: Column) -> Column:
-        group, page = state["open"], row["pageNumber"]
-        text = F.coalesce(row["content"], F.lit(""))
-        return F.struct(
-            state["headings"].alias("headings"),
-            state["done"].alias("done"),
-            _group(
-                state["headings"],
-                F.coalesce(group["pageStart"], page),
-                F.coalesce(page, group["pageEnd"]),
-                group["rows"] + 1,
-                F.array_append(group["texts"], text),
-            ).alias("open"),
-        ).cast(FOLD_TYPE)
-
-    def step(state: Column, row: Column) -> Column:
-        return F.when(
-            heading_changed(state["headings"], row), begin(state, row)
-        ).otherwise(extend(state, row))
-
-    return F.aggregate(rows, start, step, lambda state: _filled(state["done"], state["open"]))
-
-
-def fold_texts(
-    texts: Column, max_length: int, overlap: int, buffer: Column | None = None
-) -> Column:
+def fold_texts(texts: str, max_length: int, overlap: int, buffer: str = "''") -> str:
     """Finished chunks and the open buffer after packing ``texts`` in order.
 
     A text that would overflow the buffer closes it and starts the next one after the last
     ``overlap`` characters. Texts are never split, so a chunk can exceed ``max_length``.
     With ``overlap`` 0 nothing is repeated.
     """
-    start = F.struct(
-        F.array().cast("array<string>").alias("out"),
-        (F.lit("") if buffer is None else buffer).alias("buf"),
-    ).cast(PACK_TYPE)
-
-    def step(state: Column, text: Column) -> Column:
-        buf = state["buf"]
-        fits = F.length(buf) + F.length(text) + 1 <= max_length
-        return F.when(
-            fits,
-            F.struct(state["out"].alias("out"), F.concat(buf, text, F.lit("\n")).alias("buf")),
-        ).otherwise(
-            F.struct(
-                F.array_append(state["out"], strip(buf)).alias("out"),
-                F.concat(F.right(buf, F.lit(overlap)), text, F.lit("\n")).alias("buf"),
-            )
-        )
-
-    return F.aggregate(texts, start, step)
+    return f"""aggregate({texts}, cast(struct(array(), {buffer}) AS {PACK_TYPE}),
+      (s, t) -> if(length(s.buf) + length(t) + 1 <= {int(max_length)},
+        named_struct('out', s.out, 'buf', concat(s.buf, t, '\\n')),
+        named_struct('out', array_append(s.out, btrim(s.buf, {SQL_WHITESPACE})),
+                     'buf', concat(right(s.buf, {int(overlap)}), t, '\\n'))))"""
 
 
-def closed(state: Column) -> Column:
+def closed(state: str) -> str:
     """All chunks once the texts have ended: a buffer that is not blank is the last one."""
-    last = strip(state["buf"])
-    return F.when(last != "", F.array_append(state["out"], last)).otherwise(state["out"])
+    last = f"btrim({state}.buf, {SQL_WHITESPACE})"
+    return f"if({last} <> '', array_append({state}.out, {last}), {state}.out)"
 
 
 def pack_texts(
-    texts: Column,
+    texts: str,
     max_length: int = CHUNK_MAX,
     overlap: int = CHUNK_OVERLAP,
     drop_empty: bool = False,
-) -> Column:
+) -> str:
     """Chunk texts of an array of texts.
 
     A first text that is too long gives an empty chunk before it, unless ``drop_empty``.
     """
-    chunks = let(fold_texts(texts, max_length, overlap), closed)
-    return F.filter(chunks, lambda c: c != "") if drop_empty else chunks
+    chunks = let("p", fold_texts(texts, max_length, overlap), closed("p"))
+    return f"filter({chunks}, c -> c <> '')" if drop_empty else chunks
 
 
 def chunk_struct(content: Column, group: Column) -> Column:
@@ -242,22 +163,21 @@ def chunk_struct(content: Column, group: Column) -> Column:
         section_level(h1, h2, h3).alias("sectionLevel"),
         group["pageStart"].alias("pageStart"),
         group["pageEnd"].alias("pageEnd"),
-    ).cast(CHUNK_TYPE)
+    )
 
 
 def group_chunks(
-    groups: Column,
+    groups: str,
     max_length: int = CHUNK_MAX,
     overlap: int = CHUNK_OVERLAP,
     drop_empty: bool = False,
 ) -> Column:
-    """All chunks of an array of groups, in order."""
+    """All chunks of an array column of groups, in order."""
+    packed = pack_texts("g.texts", max_length, overlap, drop_empty)
+    with_texts = F.expr(f"transform({groups}, g -> struct(g AS group, {packed} AS texts))")
     return F.flatten(
         F.transform(
-            groups,
-            lambda group: F.transform(
-                pack_texts(group["texts"], max_length, overlap, drop_empty),
-                lambda content: chunk_struct(content, group),
-            ),
+            with_texts,
+            lambda g: F.transform(g["texts"], lambda text: chunk_struct(text, g["group"])),
         )
     )

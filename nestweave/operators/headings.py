@@ -15,8 +15,12 @@ BLOCK_ROWS = 4096
 
 
 def with_block(stream: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """Add ``block``, which cuts a document into runs of at most ``block_rows`` positions."""
-    return stream.withColumn("block", F.floor(F.col("seq") / block_rows))
+    """Add the key ``at``: the document, and a run of at most ``block_rows`` positions in it.
+
+    As a struct the key is never null, even if ``doc`` is, so joins on it lose nothing.
+    """
+    block = F.floor(F.col("seq") / block_rows).alias("block")
+    return stream.withColumn("at", F.struct("doc", block))
 
 
 def h1_groups(stream: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
@@ -26,7 +30,7 @@ def h1_groups(stream: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     within blocks instead; what a block must know of the rows before it (last heading,
     number of changes) comes from a window over one summary row per block.
     """
-    block = Window.partitionBy("doc", "block").orderBy("seq")
+    block = Window.partitionBy("at").orderBy("seq")
     up_to_here = block.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     before_here = block.rowsBetween(Window.unboundedPreceding, -1)
     rows = (
@@ -37,14 +41,14 @@ def h1_groups(stream: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     )
 
     at_heading = F.when(F.col("own").isNotNull(), F.col("seq"))
-    blocks = rows.groupBy("doc", "block").agg(
+    blocks = rows.groupBy("at").agg(
         F.min_by("own", at_heading).alias("first_own"),
         F.max_by("own", at_heading).alias("last_own"),
         F.count_if(F.col("own") != F.col("previous")).alias("inner_changes"),
     )
     earlier = (
-        Window.partitionBy("doc")
-        .orderBy("block")
+        Window.partitionBy("at.doc")
+        .orderBy("at.block")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     entries = (
@@ -58,8 +62,7 @@ def h1_groups(stream: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
             ).cast("bigint"),
         )
         .select(
-            "doc",
-            "block",
+            "at",
             "entry",
             F.coalesce(F.sum("block_changes").over(earlier), F.lit(0)).alias("changes_before"),
         )
@@ -69,14 +72,14 @@ def h1_groups(stream: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
         F.coalesce("previous", "entry")
     )
     return (
-        rows.join(entries, ["doc", "block"])
+        rows.join(entries, "at")
         .withColumn("changed", changed)
         .withColumn("heading", F.coalesce("latest", "entry"))
         .withColumn(
             "group",
             F.col("changes_before") + F.sum(F.col("changed").cast("bigint")).over(up_to_here),
         )
-        .drop("block", "own", "latest", "previous", "entry", "changes_before")
+        .drop("at", "own", "latest", "previous", "entry", "changes_before")
     )
 
 

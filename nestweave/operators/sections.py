@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from nestweave.functions.generators import elements
 from nestweave.functions.geometry import centroid_y, centroid_y_of_json
-from nestweave.functions.text import FOOTER_PHRASE, contains_phrase, is_blank, is_page_number
+from nestweave.functions.text import FOOTER_PHRASE, contains_phrase, is_blank_or_page_number
 
 # Default page-margin bounds, and the category that marks a heading.
 FOOTER_Y_HIGH = 0.85
@@ -64,7 +65,7 @@ def document_sections(layouts: DataFrame) -> DataFrame:
 
 def explode_sections(documents: DataFrame) -> DataFrame:
     """The section stream: one row per section, its position in the document as ``seq``."""
-    return documents.select("doc", F.posexplode("sections").alias("seq", "section")).select(
+    return elements(documents, ["doc"], "sections", "seq", "section").select(
         "doc",
         F.col("seq").cast("bigint").alias("seq"),
         "section.content",
@@ -84,13 +85,8 @@ def is_footer(
     phrase: str = FOOTER_PHRASE,
 ) -> Column:
     """Blank, a bare page number, the footer phrase, or strictly outside the y bounds."""
-    return (
-        is_blank(content)
-        | is_page_number(content)
-        | contains_phrase(content, phrase)
-        | (y > high)
-        | (y < low)
-    )
+    outside = F.get(F.transform(F.array(y), lambda v: (v > high) | (v < low)), F.lit(0))
+    return is_blank_or_page_number(content) | contains_phrase(content, phrase) | outside
 
 
 def drop_footers(

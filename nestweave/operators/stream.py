@@ -17,22 +17,20 @@ Documents of one block skip 2 and 4, their joins find nothing.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from nestweave.functions.text import present, strip
+from nestweave.functions.generators import elements
+from nestweave.functions.text import SQL_WHITESPACE, present
 from nestweave.operators.folds import (
     CHUNK_MAX,
     CHUNK_OVERLAP,
-    HEADINGS_TYPE,
-    carried,
-    carry_headings,
     chunk_struct,
     closed,
     fold_sections,
     fold_texts,
+    heading_effect,
     let,
-    no_headings,
     pack_texts,
 )
 from nestweave.operators.headings import BLOCK_ROWS, with_block
@@ -49,12 +47,14 @@ def block_summary(stream: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     eight cases; ``outcomes`` holds the result of each, where ``u1`` to ``u3`` stand for
     "still what the block started with".
     """
-    long_documents = stream.where(F.col("seq") >= block_rows).select("doc").distinct()
+    document = F.struct("doc").alias("document")
+    long_documents = stream.where(F.col("seq") >= block_rows).select(document).distinct()
     has_heading = F.coalesce(*[present(F.col(h)) for h in HEADINGS]).isNotNull()
     rows = (
         with_block(stream.select("doc", "seq", *HEADINGS), block_rows)
-        .join(long_documents, "doc", "left_semi")
-        .groupBy("doc", "block")
+        .withColumn("document", document)
+        .join(long_documents, "document", "left_semi")
+        .groupBy("at")
         .agg(
             F.array_sort(
                 F.collect_list(F.when(has_heading, F.struct("seq", *HEADINGS)))
@@ -62,35 +62,27 @@ def block_summary(stream: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
         )
     )
 
-    def first_heading(level: str) -> Column:
-        own = F.transform("rows", lambda row: present(row[level]))
-        return F.get(F.filter(own, lambda heading: heading.isNotNull()), F.lit(0))
+    firsts = {
+        f"first_{h}": F.expr(f"get(filter(rows.{h}, h -> h <> ''), 0)") for h in HEADINGS
+    }
 
-    rows = rows.withColumns({f"first_{h}": first_heading(h) for h in HEADINGS})
-
-    def case(number: int) -> Column:
+    def case(number: int) -> str:
         equal = [bool(number >> i & 1) for i in range(3)]
-        values = [
-            F.col(f"first_{h}") if e else F.lit(None).cast("string")
-            for h, e in zip(HEADINGS, equal)
-        ]
-        unknown = [
-            F.col(f"first_{h}").isNull() if e else F.lit(True) for h, e in zip(HEADINGS, equal)
-        ]
-        return F.struct(*values, *unknown, F.lit(0)).cast(HEADINGS_TYPE)
-
-    cases = F.array(*[case(number) for number in range(8)])
-    outcomes = F.transform(cases, lambda start: F.aggregate("rows", start, carry_headings))
-    return rows.select(
-        "doc",
-        "block",
-        F.array(*[f"first_{h}" for h in HEADINGS]).alias("firsts"),
-        outcomes.alias("outcomes"),
+        values = [f"first_{h}" if e else "null" for h, e in zip(HEADINGS, equal)]
+        unknown = [f"first_{h} IS NULL" if e else "true" for h, e in zip(HEADINGS, equal)]
+        start = f"struct({', '.join([*values, *unknown])}, 0)"
+        return heading_effect("rows", start)
+
+    return rows.withColumns(firsts).select(
+        "at.doc",
+        "at.block",
+        F.array(*firsts).alias("firsts"),
+        F.expr(f"array({', '.join(case(number) for number in range(8))})").alias("outcomes"),
     )
 
 
 def block_entries(stream: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """``(doc, block, h1, h2, h3, changes)`` each block of a long document starts with.
+    """``(at, h1, h2, h3, changes)`` each block of a long document starts with.
 
     One record per block goes by in order; nothing but the current headings is kept.
     """
@@ -125,7 +117,7 @@ def block_entries(stream: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
             )
 
     doc_type = stream.schema["doc"].dataType.simpleString()
-    return (
+    entries = (
         block_summary(stream, block_rows)
         .repartition("doc")
         .sortWithinPartitions("doc", "block")
@@ -134,39 +126,26 @@ def block_entries(stream: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
             f"doc {doc_type}, block bigint, h1 string, h2 string, h3 string, changes bigint",
         )
     )
+    return entries.select(F.struct("doc", "block").alias("at"), *HEADINGS, "changes")
 
 
 def _blocks(stream: DataFrame, block_rows: int) -> DataFrame:
     row = F.struct("seq", "content", *HEADINGS, "pageNumber")
     return (
         with_block(stream, block_rows)
-        .groupBy("doc", "block")
+        .groupBy("at")
         .agg(F.array_sort(F.collect_list(row)).alias("rows"))
     )
 
 
 def _pieces(blocks: DataFrame, entries: DataFrame, how: str) -> DataFrame:
     """Groups as far as they lie in one block; ``border`` marks those that may go on."""
-    long = F.col("changes").isNotNull()
-    start = F.when(
-        long, carried(F.col("h1"), F.col("h2"), F.col("h3"), F.col("changes"))
-    ).otherwise(no_headings())
-
-    def mark_borders(groups: Column) -> Column:
-        return F.transform(
-            groups,
-            lambda group, i: F.struct(
-                group.alias("group"),
-                (long & ((i == 0) | (i == F.size(groups) - 1))).alias("border"),
-            ),
-        )
-
-    groups = let(fold_sections(F.col("rows"), start), mark_borders)
-    return (
-        blocks.join(entries, ["doc", "block"], how)
-        .select("doc", "block", F.inline(groups))
-        .select("doc", "block", "group", "border")
-    )
+    start = "named_struct('h1', h1, 'h2', h2, 'h3', h3, 'changes', coalesce(changes, 0L))"
+    groups = fold_sections("rows", start)
+    border = "changes IS NOT NULL AND (i = 0 OR i = size(gs) - 1)"
+    marked = let("gs", groups, f"transform(gs, (g, i) -> struct(g AS group, {border} AS border))")
+    joined = blocks.join(entries, "at", how)
+    return elements(joined, ["at"], F.expr(marked), "i", "piece").select("at.*", "piece.*")
 
 
 def _inner_and_border(stream: DataFrame, block_rows: int) -> tuple[DataFrame, DataFrame]:
@@ -208,28 +187,48 @@ def stream_groups(stream: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
 def buffer_effect(max_length: int, overlap: int):
     """A Pandas UDF: what a run of texts does to the length of the open buffer.
 
-    For each length the buffer may have before the run, up to "full", the length after it,
-    as the pairs ``(from, to)`` where it changes. Lengths soon fall together, so this is
-    short. All lengths from ``full`` on act alike.
+    The buffer may have any length before the run, up to "full", from where on all act
+    alike. The effect is a function of it in few pieces, as triples ``(from, value, slope)``:
+    from this length on, the length after the run is ``value``, or grows along with slope 1.
+    Lengths that were cut once share a value, so there are seldom more than a handful.
     """
     full = max(max_length, overlap)
 
     def effect(series):
-        import numpy as np
         import pandas as pd
 
+        def after(pieces, added):
+            ends = [start - 1 for start, _, _ in pieces[1:]] + [full]
+            out = []
+
+            def add(start, value, slope):
+                value = min(value, full)
+                slope = slope if value < full else 0
+                if not (out and slope == 0 and out[-1][1:] == (value, 0)):
+                    out.append((start, value, slope))
+
+            for (start, value, slope), end in zip(pieces, ends):
+                if slope == 0:
+                    kept = value if value + added <= max_length else min(value, overlap)
+                    add(start, kept + added, 0)
+                    continue
+                cut = start + max(max_length - added - value + 1, 0)
+                if cut > start:
+                    add(start, value + added, 1)
+                if cut <= end:
+                    length = value + cut - start
+                    if length < overlap:
+                        add(cut, length + added, 1)
+                        cut += overlap - length
+                    if cut <= end:
+                        add(cut, overlap + added, 0)
+            return out
+
         def one(lengths):
-            after = np.arange(full + 1)
-            before = after
-            for length in lengths:
-                longer = after + length + 1
-                restarted = np.minimum(after, overlap) + length + 1
-                after = np.minimum(np.where(longer <= max_length, longer, restarted), full)
-                after, same = np.unique(after, return_inverse=True)
-                before = same[before]
-            result = after[before]
-            starts = np.flatnonzero(np.r_[True, result[1:] != result[:-1]])
-            return np.stack([starts, result[starts]], axis=1).ravel().tolist()
+            pieces = [(0, 0, 1)]
+            for length in lengths.tolist():
+                pieces = after(pieces, length + 1)
+            return [number for piece in pieces for number in piece]
 
         return pd.Series([one(lengths) for lengths in series])
 
@@ -268,8 +267,10 @@ def _buffers(border: DataFrame, max_length: int, overlap: int) -> DataFrame:
                         record["pageEnd"],
                     )
                 )
-                starts, sizes = record["effect"][0::2], record["effect"][1::2]
-                size = sizes[bisect_right(starts, size) - 1]
+                effect = record["effect"]
+                piece = 3 * (bisect_right(effect[0::3], size) - 1)
+                start, value, slope = effect[piece : piece + 3]
+                size = min(value + slope * (size - start), full)
                 text = (text + record["tail"])[-full:]
             long, flag, small = pa.int64(), pa.bool_(), pa.int32()
             doc = batch.schema.field("doc").type
@@ -304,11 +305,15 @@ def _buffers(border: DataFrame, max_length: int, overlap: int) -> DataFrame:
         .sortWithinPartitions("doc", "no", "block")
     )
     doc_type = border.schema["doc"].dataType.simpleString()
-    return records.mapInArrow(
+    buffers = records.mapInArrow(
         pass_on,
         f"doc {doc_type}, no bigint, block bigint, buffer string, flushed boolean, "
         "last boolean, pageStart int, pageEnd int",
     )
+    return buffers.select(
+        F.struct("doc", "no", "block").alias("at"),
+        *("buffer", "flushed", "last", "pageStart", "pageEnd"),
+    )
 
 
 def _border_chunks(border: DataFrame, max_length: int, overlap: int) -> DataFrame:
@@ -317,30 +322,20 @@ def _border_chunks(border: DataFrame, max_length: int, overlap: int) -> DataFram
     A buffer that is full at the end of a piece is a finished chunk whatever follows; the
     piece emits it, and the next one starts after its last characters.
     """
-    pieces = border.select("doc", "block", F.col("group.no").alias("no"), "group").join(
-        _buffers(border, max_length, overlap), ["doc", "no", "block"]
-    )
-    texts, buffer, flushed = F.col("group.texts"), F.col("buffer"), F.col("flushed")
-    start = F.when(flushed, F.concat(buffer, F.get(texts, F.lit(0)), F.lit("\n"))).otherwise(
-        buffer
-    )
-    rest = F.when(flushed, F.slice(texts, 2, F.size(texts))).otherwise(texts)
-
-    def ended(state: Column) -> Column:
-        full = F.length(state["buf"]) >= max_length
-        return (
-            F.when(F.col("last"), closed(state))
-            .when(full, F.array_append(state["out"], strip(state["buf"])))
-            .otherwise(state["out"])
-        )
-
-    out = let(fold_texts(rest, max_length, overlap, start), ended)
+    key = F.struct("doc", F.col("group.no").alias("no"), "block").alias("at")
+    pieces = border.select(key, "group").join(_buffers(border, max_length, overlap), "at")
+    start = "if(flushed, concat(buffer, get(group.texts, 0), '\\n'), buffer)"
+    rest = "if(flushed, slice(group.texts, 2, size(group.texts)), group.texts)"
+    finished = f"array_append(p.out, btrim(p.buf, {SQL_WHITESPACE}))"
+    ended = f"""CASE WHEN last THEN {closed("p")}
+                     WHEN length(p.buf) >= {int(max_length)} THEN {finished}
+                     ELSE p.out END"""
+    out = F.expr(let("p", fold_texts(rest, max_length, overlap, start), ended))
     with_pages = F.col("group").withField("pageStart", F.col("pageStart")).withField(
         "pageEnd", F.col("pageEnd")
     )
-    return pieces.select(
-        "doc", "block", with_pages.alias("group"), F.posexplode(out).alias("part", "content")
-    )
+    packed = pieces.select("at.doc", "at.block", with_pages.alias("group"), out.alias("out"))
+    return elements(packed, ["doc", "block", "group"], "out", "part", "content")
 
 
 def stream_chunks(
@@ -355,14 +350,8 @@ def stream_chunks(
     ``(doc, group, block, part)`` orders the chunks of a document.
     """
     inner, border = _inner_and_border(stream, block_rows)
-    whole = inner.select(
-        "doc",
-        "block",
-        "group",
-        F.posexplode(pack_texts(F.col("group.texts"), max_length, overlap)).alias(
-            "part", "content"
-        ),
-    )
+    packed = F.expr(pack_texts("group.texts", max_length, overlap))
+    whole = elements(inner, ["doc", "block", "group"], packed, "part", "content")
     chunks = whole.unionByName(_border_chunks(border, max_length, overlap))
     if drop_empty:
         chunks = chunks.where("content != ''")

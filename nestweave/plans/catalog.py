@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from nestweave.session import spread
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -26,3 +28,8 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
+
+
+def texts(spark: SparkSession, folder: str) -> DataFrame:
+    """Document keys and texts, over all cores: what follows is costly per character."""
+    return spread(table(spark, folder, "documents").select("doc_id", "text"))

@@ -17,8 +17,8 @@ from nestweave.operators.headings import group_pages, h1_groups
 from nestweave.operators.responses import response_envelopes, responses
 from nestweave.operators.sections import document_sections, drop_footers, explode_sections
 from nestweave.operators.stream import stream_chunks, stream_groups
-from nestweave.plans.catalog import query, table
-from nestweave.session import scratch_dir
+from nestweave.plans.catalog import query, table, texts
+from nestweave.session import scratch_dir, spread
 from nestweave.sinks.tables import write_responses
 from nestweave.sources.documents import parse_layouts, read_layouts
 from nestweave.sources.envelope import decode_payload, parse_requests, route_payloads
@@ -52,7 +52,7 @@ def signed_urls(spark: SparkSession, folder: str) -> DataFrame:
 def base64_decode(spark: SparkSession, folder: str) -> DataFrame:
     encoded = F.base64(F.encode("text", "utf-8"))
     decoded = F.decode(decode_payload(encoded), "utf-8")
-    return table(spark, folder, "documents").select("doc_id", decoded.alias("decoded"))
+    return texts(spark, folder).select("doc_id", decoded.alias("decoded"))
 
 
 def _requests(spark: SparkSession, folder: str) -> DataFrame:
@@ -141,7 +141,7 @@ def _page_layouts(spark: SparkSession, folder: str) -> DataFrame:
     last = F.floor((F.size(_lines()) - 1) / LINES_PER_PAGE).cast("int")
     pages = F.transform(F.sequence(F.lit(0), last), page)
     layout = F.struct(F.struct(pages.alias("pages")).alias("analyzeResult"))
-    return table(spark, folder, "documents").select("doc_id", F.to_json(layout).alias("layout"))
+    return texts(spark, folder).select("doc_id", F.to_json(layout).alias("layout"))
 
 
 def _markdown_layouts(spark: SparkSession, folder: str) -> DataFrame:
@@ -158,7 +158,7 @@ def _markdown_layouts(spark: SparkSession, folder: str) -> DataFrame:
 
     sections = F.transform(_lines(), section)
     layout = F.struct(F.struct(F.struct(sections.alias("sections")).alias("markdown")).alias("analyzeResult"))
-    return table(spark, folder, "documents").select("doc_id", F.to_json(layout).alias("layout"))
+    return texts(spark, folder).select("doc_id", F.to_json(layout).alias("layout"))
 
 
 def _heading_columns(n: Column) -> list[Column]:
@@ -253,7 +253,10 @@ def polygon_centroid(spark: SparkSession, folder: str) -> DataFrame:
         .otherwise(F.lit('"x":1'))
     )
     polygons = F.concat(F.lit('[[{"x":0,"y":'), "l_discount", F.lit("},{"), second, F.lit('}],"junk"]'))
-    return table(spark, folder, "lineitem").select(
+    lines = table(spark, folder, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_discount", "l_tax", "l_returnflag"
+    )
+    return spread(lines).select(
         "l_orderkey", "l_partkey", centroid_y_of_json(polygons).alias("y")
     )
 
@@ -273,7 +276,7 @@ WHERE trim(content, {_SPACE}) <> ''
 """)
 def footer_filter(spark: SparkSession, folder: str) -> DataFrame:
     """Blank lines, page numbers, a phrase and the page margins go."""
-    lines = table(spark, folder, "documents").select(
+    lines = texts(spark, folder).select(
         F.col("doc_id").alias("doc"), F.posexplode(_lines()).alias("i", "line")
     )
     n = F.col("i") + 1
@@ -362,7 +365,7 @@ def _line_sections(spark: SparkSession, folder: str) -> DataFrame:
             F.lit(None).cast("variant").alias("polygons"),
         )
 
-    return table(spark, folder, "documents").select(
+    return texts(spark, folder).select(
         F.col("doc_id").alias("doc"), F.transform(_text_lines(), section).alias("sections")
     )
 
@@ -471,7 +474,7 @@ segments AS (
 SELECT doc_id AS doc, row_number() OVER (PARTITION BY doc_id ORDER BY k) - 1 AS chunk, content FROM chunks
 """)
 def text_chunks(spark: SparkSession, folder: str) -> DataFrame:
-    documents = table(spark, folder, "documents").select(
+    documents = texts(spark, folder).select(
         F.col("doc_id").alias("doc"), _text_lines().alias("texts")
     )
     return document_texts(documents).withColumn("chunk", F.col("chunk").cast("bigint"))

@@ -16,7 +16,7 @@ from nestweave.operators.drift import (
 from nestweave.operators.flatten import expand_structs, flatten
 from nestweave.operators.normalize import base_table, child_table, join_children, normalize
 from nestweave.operators.worklist import enrich, failed, pending_ids, succeeded
-from nestweave.plans.catalog import query, table
+from nestweave.plans.catalog import query, table, texts
 from nestweave.session import scratch_dir
 from nestweave.sinks.tables import (
     land,
@@ -409,7 +409,7 @@ FROM (SELECT doc_id AS id, unnest(string_split(text, chr(10))) AS line FROM docu
 def flatten_nested_arrays(spark: SparkSession, folder: str) -> DataFrame:
     """Arrays of arrays: the words of all lines of all documents."""
     words = F.transform(F.split("text", "\n"), lambda line: F.split(line, " "))
-    documents = table(spark, folder, "documents").select(F.col("doc_id").alias("id"), words.alias("lines"))
+    documents = texts(spark, folder).select(F.col("doc_id").alias("id"), words.alias("lines"))
     return child_table(documents, "lines")
 
 

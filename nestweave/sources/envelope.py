@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from nestweave.functions.generators import elements
 from nestweave.functions.text import signed_url
 
 FILE_DATA_TYPE = "struct<data:string,url:string,sasToken:string>"
@@ -41,7 +42,7 @@ def parse_requests(df: DataFrame, request: str, envelope: str) -> DataFrame:
 
 def explode_requests(envelopes: DataFrame) -> DataFrame:
     """Records of ``(request, values)`` envelopes, with their position kept."""
-    records = envelopes.select("request", F.posexplode("values").alias("position", "record"))
+    records = elements(envelopes, ["request"], "values", "position", "record")
     return records.select("request", "position", "record.recordId", "record.data.file_data.*")
 
 
