@@ -36,9 +36,9 @@ def enrich(
     """Call ``fetch(argument)`` for every row: ``(id, status, body)``.
 
     ``parallelism`` bounds the number of concurrent callers, for services that ask for it.
-    Rows are spread by ``id``, so a repeated task gets the same rows. ``fetch`` must stand
-    being called twice for one row, since a lost executor repeats its tasks. A call that
-    raises gives a null status, and the others go on.
+    Rows are dealt out evenly, whatever ids repeat. ``fetch`` must stand being called twice
+    for one row, since a lost executor repeats its tasks. A call that raises gives a null
+    status, and the others go on.
     """
 
     def call(batches):
@@ -58,7 +58,7 @@ def enrich(
     calls = work.select(
         F.col("id").cast("string").alias("id"), F.col(argument).cast("string").alias("argument")
     )
-    return calls.repartition(parallelism, "id").mapInPandas(call, FETCHED_SCHEMA)
+    return calls.repartition(parallelism).mapInPandas(call, FETCHED_SCHEMA)
 
 
 def succeeded(fetched: DataFrame) -> DataFrame:
