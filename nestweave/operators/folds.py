@@ -4,9 +4,10 @@
 changes, gather the group's texts and page range. *Texts to chunks*: pack texts greedily,
 each new chunk starting with the tail of the one before.
 
-They are written as SQL expressions over named columns. The start value of an ``aggregate``
-fixes its types; the steps build the same struct without casts, since a cast would copy
-the gathered arrays at every step.
+They are written as SQL expressions over named columns. The state an ``aggregate`` carries is
+copied at every element, so it must stay small: a fold only marks the positions at which
+something begins, as text, and groups and chunks are cut out of the array afterwards. That
+makes both linear in the length of a document.
 """
 
 from __future__ import annotations
@@ -24,19 +25,11 @@ GROUP_TYPE = (
     "struct<no:bigint,h1:string,h2:string,h3:string,"
     "pageStart:int,pageEnd:int,rows:bigint,texts:array<string>>"
 )
-FOLD_TYPE = (
-    "struct<h1:string,h2:string,h3:string,changes:bigint,"
-    "pageStart:int,pageEnd:int,rows:bigint,texts:array<string>,"
-    f"done:array<{GROUP_TYPE}>>"
-)
+FOLD_TYPE = "struct<h1:string,h2:string,h3:string,i:int,i1:int,i2:int,marks:string>"
 EFFECT_TYPE = (
     "struct<h1:string,h2:string,h3:string,u1:boolean,u2:boolean,u3:boolean,changes:bigint>"
 )
-PACK_TYPE = "struct<out:array<string>,buf:string>"
-CHUNK_TYPE = (
-    "struct<content:string,h1:string,h2:string,h3:string,"
-    "sectionPath:string,sectionLevel:int,pageStart:int,pageEnd:int>"
-)
+PACK_TYPE = "struct<i:int,size:int,cut:int,body:int,from:int,marks:string>"
 
 
 def let(name: str, value: str, body: str) -> str:
@@ -63,15 +56,16 @@ _OPENING_TEXT = (
     f" {_TEXT}, concat({_DEEPEST}, '\\n', {_TEXT}))"
 )
 
-_WITH_OPEN_GROUP = """
-    if(s.rows > 0,
-       array_append(s.done, named_struct(
-         'no', s.changes, 'h1', s.h1, 'h2', s.h2, 'h3', s.h3, 'pageStart', s.pageStart,
-         'pageEnd', s.pageEnd, 'rows', s.rows, 'texts', s.texts)),
-       s.done)"""
+def _marked(marks: str, first: str, names: list[str]) -> str:
+    """Marks ``a:b:c,`` as an array of int structs, after a first one."""
+    fields = ", ".join(f"'{n}', cast(split(m, ':')[{k}] AS int)" for k, n in enumerate(names))
+    return (
+        f"concat(array({first}), transform(filter(split({marks}, ','), m -> m <> ''),"
+        f" m -> named_struct({fields})))"
+    )
 
 
-_NO_HEADINGS = "named_struct('h1', null, 'h2', null, 'h3', null, 'changes', 0)"
+_NO_HEADINGS = "named_struct('h1', null, 'h2', null, 'h3', null, 'changes', 0L)"
 
 
 def fold_sections(rows: str, start: str = _NO_HEADINGS) -> str:
@@ -80,22 +74,36 @@ def fold_sections(rows: str, start: str = _NO_HEADINGS) -> str:
     ``start`` has the headings ``h1, h2, h3`` and ``changes`` before the array. A group holds
     its texts, the first and last page that is not null, in order, and its number.
     """
-    return f"""
-    {let("o", start, f'''aggregate({rows},
-      cast(struct(o.h1, o.h2, o.h3, o.changes, null, null, 0, array(), array()) AS {FOLD_TYPE}),
+    # A mark: the row that starts a group, and the rows its h1 and h2 come from, or -1.
+    marks = f"""aggregate({rows},
+      cast(struct(o.h1, o.h2, o.h3, 0, -1, -1, '') AS {FOLD_TYPE}),
       (s, r) -> if({_CHANGED},
         named_struct(
-          'h1', {_NEXT_H1}, 'h2', {_NEXT_H2}, 'h3', {_NEXT_H3}, 'changes', s.changes + 1L,
-          'pageStart', r.pageNumber, 'pageEnd', r.pageNumber, 'rows', 1L,
-          'texts', array({_OPENING_TEXT}),
-          'done', {_WITH_OPEN_GROUP}),
-        named_struct(
-          'h1', s.h1, 'h2', s.h2, 'h3', s.h3, 'changes', s.changes,
-          'pageStart', coalesce(s.pageStart, r.pageNumber),
-          'pageEnd', coalesce(r.pageNumber, s.pageEnd), 'rows', s.rows + 1L,
-          'texts', array_append(s.texts, {_TEXT}),
-          'done', s.done)),
-      s -> {_WITH_OPEN_GROUP})''')}"""
+          'h1', {_NEXT_H1}, 'h2', {_NEXT_H2}, 'h3', {_NEXT_H3}, 'i', s.i + 1,
+          'i1', if(r.h1 <> '', s.i, s.i1), 'i2', if(r.h1 <> '' OR r.h2 <> '', s.i, s.i2),
+          'marks', concat(s.marks, s.i, ':', if(r.h1 <> '', s.i, s.i1), ':',
+                          if(r.h1 <> '' OR r.h2 <> '', s.i, s.i2), ',')),
+        named_struct('h1', s.h1, 'h2', s.h2, 'h3', s.h3, 'i', s.i + 1,
+                     'i1', s.i1, 'i2', s.i2, 'marks', s.marks)),
+      s -> s.marks)"""
+    begins = _marked(marks, "named_struct('at', 0, 'i1', -1, 'i2', -1)", ["at", "i1", "i2"])
+    end = f"coalesce(get(bs, j + 1).at, size({rows}))"
+    pages = let(
+        "ps",
+        "filter(g.pageNumber, p -> p IS NOT NULL)",
+        f"""named_struct(
+          'no', o.changes + j,
+          'h1', if(b.i1 < 0, o.h1, get({rows}, b.i1).h1),
+          'h2', if(b.i2 < 0, o.h2, get({rows}, b.i2).h2),
+          'h3', if(j = 0, o.h3, get({rows}, b.at).h3),
+          'pageStart', get(ps, 0),
+          'pageEnd', get(ps, size(ps) - 1),
+          'rows', cast(size(g) AS bigint),
+          'texts', transform(g, (r, k) -> if(j > 0 AND k = 0, {_OPENING_TEXT}, {_TEXT})))""",
+    )
+    group = let("g", f"slice({rows}, b.at + 1, {end} - b.at)", pages)
+    groups = f"filter(transform(bs, (b, j) -> {group}), g -> g.rows > 0)"
+    return let("o", start, let("bs", begins, groups))
 
 
 def heading_effect(rows: str, start: str) -> str:
@@ -117,38 +125,54 @@ def heading_effect(rows: str, start: str) -> str:
         s))"""
 
 
-def fold_texts(texts: str, max_length: int, overlap: int, buffer: str = "''") -> str:
-    """Finished chunks and the open buffer after packing ``texts`` in order.
-
-    A text that would overflow the buffer closes it and starts the next one after the last
-    ``overlap`` characters. Texts are never split, so a chunk can exceed ``max_length``.
-    With ``overlap`` 0 nothing is repeated.
-    """
-    return f"""aggregate({texts}, cast(struct(array(), {buffer}) AS {PACK_TYPE}),
-      (s, t) -> if(length(s.buf) + length(t) + 1 <= {int(max_length)},
-        named_struct('out', s.out, 'buf', concat(s.buf, t, '\\n')),
-        named_struct('out', array_append(s.out, btrim(s.buf, {SQL_WHITESPACE})),
-                     'buf', concat(right(s.buf, {int(overlap)}), t, '\\n'))))"""
-
-
-def closed(state: str) -> str:
-    """All chunks once the texts have ended: a buffer that is not blank is the last one."""
-    last = f"btrim({state}.buf, {SQL_WHITESPACE})"
-    return f"if({last} <> '', array_append({state}.out, {last}), {state}.out)"
-
-
 def pack_texts(
     texts: str,
     max_length: int = CHUNK_MAX,
     overlap: int = CHUNK_OVERLAP,
     drop_empty: bool = False,
+    open_texts: str = "0",
+    ends: str = "true",
 ) -> str:
     """Chunk texts of an array of texts.
 
-    A first text that is too long gives an empty chunk before it, unless ``drop_empty``.
+    A text that would overflow the buffer closes it and starts the next one after the last
+    ``overlap`` characters. Texts are never split, so a chunk can exceed ``max_length``, and
+    a first text that is too long gives an empty chunk before it, unless ``drop_empty``.
+    With ``overlap`` 0 nothing is repeated.
+
+    The first ``open_texts`` texts, 0 or 1, are in the buffer from the start. Where the texts
+    do not end with the array (``ends`` is false), the last buffer is only a chunk if it is
+    full already.
     """
-    chunks = let("p", fold_texts(texts, max_length, overlap), closed("p"))
-    return f"filter({chunks}, c -> c <> '')" if drop_empty else chunks
+    max_length, overlap = int(max_length), int(overlap)
+    added = "length(t) + 1"
+    # A mark: the first text of a new buffer, a text at or before which what it keeps of the
+    # old one begins, and how many characters that is.
+    kept = f"least(s.size, {overlap})"
+    kept_from = f"if(s.body >= {kept}, s.cut, s.from)"
+    packed = f"""aggregate(slice({texts}, {open_texts} + 1, size({texts})),
+      cast({let("n", f"if({open_texts} = 0, 0, length(get({texts}, 0)) + 1)",
+                f"struct({open_texts}, n, 0, n, 0, '')")} AS {PACK_TYPE}),
+      (s, t) -> if(s.size + {added} <= {max_length},
+        named_struct('i', s.i + 1, 'size', s.size + {added}, 'cut', s.cut,
+                     'body', s.body + {added}, 'from', s.from, 'marks', s.marks),
+        named_struct('i', s.i + 1, 'size', {kept} + {added}, 'cut', s.i, 'body', {added},
+                     'from', {kept_from},
+                     'marks', concat(s.marks, s.i, ':', {kept_from}, ':', {kept}, ','))))"""
+    cuts = _marked(
+        "p.marks", "named_struct('at', 0, 'from', 0, 'kept', 0)", ["at", "from", "kept"]
+    )
+    before = f"concat(array_join(slice({texts}, c.from + 1, c.at - c.from), '\\n'), '\\n')"
+    body = f"slice({texts}, c.at + 1, coalesce(get(cs, i + 1).at, size({texts})) - c.at)"
+    chunk = (
+        f"btrim(concat(if(c.kept = 0, '', right({before}, c.kept)), array_join({body}, '\\n')),"
+        f" {SQL_WHITESPACE})"
+    )
+    is_chunk = f"i < size(cs) - 1 OR if({ends}, c <> '', p.size >= {max_length})"
+    if drop_empty:
+        is_chunk = f"c <> '' AND ({is_chunk})"
+    chunks = f"filter(transform(cs, (c, i) -> {chunk}), (c, i) -> {is_chunk})"
+    return let("p", packed, let("cs", cuts, chunks))
 
 
 def chunk_struct(content: Column, group: Column) -> Column:

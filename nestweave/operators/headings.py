@@ -46,9 +46,10 @@ def h1_groups(stream: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
         F.max_by("own", at_heading).alias("last_own"),
         F.count_if(F.col("own") != F.col("previous")).alias("inner_changes"),
     )
+    blocks = blocks.select("at.*", "first_own", "last_own", "inner_changes")
     earlier = (
-        Window.partitionBy("at.doc")
-        .orderBy("at.block")
+        Window.partitionBy("doc")
+        .orderBy("block")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     entries = (
@@ -62,7 +63,7 @@ def h1_groups(stream: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
             ).cast("bigint"),
         )
         .select(
-            "at",
+            F.struct("doc", "block").alias("at"),
             "entry",
             F.coalesce(F.sum("block_changes").over(earlier), F.lit(0)).alias("changes_before"),
         )

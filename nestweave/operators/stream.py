@@ -6,34 +6,36 @@ document may be any share of the stream, so no task may need all of one:
 
 1. Rows are gathered per ``(doc, block)``, at most ``block_rows`` of them.
 2. For documents of several blocks, each block's *effect* on the carried headings is
-   computed without knowing what comes before it, and one pass over these small records
-   gives every block the headings it starts with.
+   computed without knowing what comes before it; ordered passes over these small records
+   (:mod:`nestweave.operators.passes`) give every block the headings it starts with.
 3. Every block runs the section fold from there. Groups that lie inside a block are done.
 4. Groups that touch a block border are packed the same way: each piece's effect on the
-   length of the open buffer, one pass over the pieces, then packing from a known buffer.
+   length of the open buffer, the same passes, then packing from a known buffer.
 
-Documents of one block skip 2 and 4, their joins find nothing.
+Documents of one block skip 2 and 4, their joins find nothing. The stream is read by
+several of these steps, by most of them in a few columns only: pass a stored table, or a
+staged one (:func:`nestweave.session.staged`), rather than a long computation.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from nestweave.functions.generators import elements
-from nestweave.functions.text import SQL_WHITESPACE, present
+from nestweave.functions.text import present
 from nestweave.operators.folds import (
     CHUNK_MAX,
     CHUNK_OVERLAP,
     chunk_struct,
-    closed,
     fold_sections,
-    fold_texts,
     heading_effect,
     let,
     pack_texts,
 )
 from nestweave.operators.headings import BLOCK_ROWS, with_block
+from nestweave.operators.passes import BLOCKS_PER_RUN, states_before
 
 HEADINGS = ("h1", "h2", "h3")
 
@@ -81,52 +83,53 @@ def block_summary(stream: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     )
 
 
-def block_entries(stream: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """``(at, h1, h2, h3, changes)`` each block of a long document starts with.
-
-    One record per block goes by in order; nothing but the current headings is kept.
-    """
-
-    def pass_on(batches):
-        import pyarrow as pa
-
-        document, headings, changes = object(), [], 0
-        for batch in batches:
-            out = []
-            for record in batch.to_pylist():
-                if record["doc"] != document:
-                    document, headings, changes = record["doc"], [None] * 3, 0
-                out.append((record["doc"], record["block"], *headings, changes))
-                case = sum(
-                    1 << i
-                    for i, first in enumerate(record["firsts"])
-                    if first is not None and first == headings[i]
-                )
-                result = record["outcomes"][case]
-                headings = [
-                    headings[i] if result[f"u{i + 1}"] else result[f"h{i + 1}"]
-                    for i in range(3)
-                ]
-                changes += result["changes"]
-            text, number = pa.string(), pa.int64()
-            types = [batch.schema.field("doc").type, number, text, text, text, number]
-            names = ["doc", "block", "h1", "h2", "h3", "changes"]
-            columns = list(zip(*out)) or [()] * len(names)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, types)], names
-            )
-
-    doc_type = stream.schema["doc"].dataType.simpleString()
-    entries = (
-        block_summary(stream, block_rows)
-        .repartition("doc")
-        .sortWithinPartitions("doc", "block")
-        .mapInArrow(
-            pass_on,
-            f"doc {doc_type}, block bigint, h1 string, h2 string, h3 string, changes bigint",
+def block_entries(
+    stream: DataFrame, block_rows: int = BLOCK_ROWS, blocks_per_run: int = BLOCKS_PER_RUN
+) -> DataFrame:
+    """``(at, h1, h2, h3, changes)`` each block of a long document starts with."""
+    equal, other = 1, 0
+
+    def apply(state, record):
+        """A level is a heading, or stands for what a run started with: a heading that is
+        ``equal`` to the first one it will be compared with, or some ``other``."""
+        case = sum(
+            1 << i
+            for i, first in enumerate(record["firsts"])
+            if first is not None and state[i] in (first, equal)
         )
+        result = record["outcomes"][case]
+        levels = [state[i] if result[f"u{i + 1}"] else result[f"h{i + 1}"] for i in range(3)]
+        return (*levels, state[3] + result["changes"])
+
+    cases = [(*(equal if case >> i & 1 else other for i in range(3)), 0) for case in range(8)]
+
+    def combine(total, record):
+        firsts, states = total
+        firsts = [a if a is not None else b for a, b in zip(firsts, record["firsts"])]
+        return firsts, [apply(state, record) for state in states]
+
+    def combined(total):
+        firsts, states = total
+        outcomes = []
+        for *levels, changes in states:
+            same = [level in (equal, other) for level in levels]
+            known = [None if s else level for s, level in zip(same, levels)]
+            names = ["h1", "h2", "h3", "u1", "u2", "u3", "changes"]
+            outcomes.append(dict(zip(names, [*known, *same, changes])))
+        return firsts, outcomes
+
+    return states_before(
+        block_summary(stream, block_rows),
+        ["doc"],
+        ["firsts", "outcomes"],
+        StructType.fromDDL("h1 string, h2 string, h3 string, changes bigint"),
+        first=(None, None, None, 0),
+        apply=apply,
+        identity=([None] * 3, cases),
+        combine=combine,
+        combined=combined,
+        blocks_per_run=blocks_per_run,
     )
-    return entries.select(F.struct("doc", "block").alias("at"), *HEADINGS, "changes")
 
 
 def _blocks(stream: DataFrame, block_rows: int) -> DataFrame:
@@ -148,18 +151,22 @@ def _pieces(blocks: DataFrame, entries: DataFrame, how: str) -> DataFrame:
     return elements(joined, ["at"], F.expr(marked), "i", "piece").select("at.*", "piece.*")
 
 
-def _inner_and_border(stream: DataFrame, block_rows: int) -> tuple[DataFrame, DataFrame]:
+def _inner_and_border(
+    stream: DataFrame, block_rows: int, blocks_per_run: int
+) -> tuple[DataFrame, DataFrame]:
     blocks = _blocks(stream, block_rows)
-    entries = block_entries(stream, block_rows)
+    entries = block_entries(stream, block_rows, blocks_per_run)
     inner = _pieces(blocks, entries, "left").where(~F.col("border"))
     border = _pieces(blocks, entries, "inner").where("border")
     return inner, border
 
 
-def stream_groups(stream: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def stream_groups(
+    stream: DataFrame, block_rows: int = BLOCK_ROWS, blocks_per_run: int = BLOCKS_PER_RUN
+) -> DataFrame:
     """``(doc, group, h1, h2, h3, pageStart, pageEnd, rows)`` of a section stream."""
     without_text = stream.withColumn("content", F.lit(""))
-    inner, border = _inner_and_border(without_text, block_rows)
+    inner, border = _inner_and_border(without_text, block_rows, blocks_per_run)
 
     def columns(pieces: DataFrame) -> DataFrame:
         return pieces.select(
@@ -235,106 +242,133 @@ def buffer_effect(max_length: int, overlap: int):
     return F.pandas_udf(effect, "array<int>")
 
 
-def _buffers(border: DataFrame, max_length: int, overlap: int) -> DataFrame:
-    """The open buffer each border piece starts with, and its group's page range.
+def _open_buffers(
+    records: DataFrame, max_length: int, overlap: int, blocks_per_run: int
+) -> DataFrame:
+    """``(at, size, text)``: the open buffer before each piece, its length and its text.
 
-    Per piece one short record goes by in order: lengths, and the end of its text.
+    ``text`` may reach back further than the buffer; ``size`` counts up to "full".
     """
     full = max(max_length, overlap)
 
-    def pass_on(batches):
-        from bisect import bisect_right
-
-        import pyarrow as pa
+    def value_at(effect, size):
+        starts = effect[0::3]
+        piece = 3 * next(i for i in reversed(range(len(starts))) if starts[i] <= size)
+        start, value, slope = effect[piece : piece + 3]
+        return min(value + slope * (size - start), full)
+
+    def apply(state, record):
+        size, text = state
+        return value_at(record["effect"], size), (text + record["tail"])[-full:]
+
+    def combine(total, record):
+        """The second effect on the values of the first: on a constant it is a constant, on
+        a slope it is its own pieces as far as the slope goes."""
+        first, second = total[0], record["effect"]
+        starts = [*first[0::3], full + 1]
+        out = []
+        for i, (value, slope) in enumerate(zip(first[1::3], first[2::3])):
+            start, end = starts[i], starts[i + 1] - 1
+            out += [start, value_at(second, min(value, full)), 0]
+            if slope:
+                top = min(value + end - start, full)
+                inner = [t for t in zip(*[iter(second)] * 3) if t[0] <= top]
+                before = [t for t in inner if t[0] <= value][-1]
+                out[-1] = before[2]
+                for at, result, rises in inner:
+                    if at > value:
+                        out += [start + at - value, result, rises]
+        return out, (total[1] + record["tail"])[-full:]
+
+    return states_before(
+        records,
+        ["doc", "no"],
+        ["effect", "tail"],
+        StructType.fromDDL("size int, text string"),
+        first=(0, ""),
+        apply=apply,
+        identity=([0, 0, 1], ""),
+        combine=combine,
+        combined=lambda total: total,
+        blocks_per_run=blocks_per_run,
+    )
 
-        group, size, text = object(), 0, ""
-        for batch in batches:
-            out = []
-            for record in batch.to_pylist():
-                if (record["doc"], record["no"]) != group:
-                    group, size, text = (record["doc"], record["no"]), 0, ""
-                flushed = size >= max_length
-                kept = min(size, overlap) if flushed else size
-                out.append(
-                    (
-                        record["doc"],
-                        record["no"],
-                        record["block"],
-                        text[len(text) - kept :],
-                        flushed,
-                        record["block"] == record["last_block"],
-                        record["pageStart"],
-                        record["pageEnd"],
-                    )
-                )
-                effect = record["effect"]
-                piece = 3 * (bisect_right(effect[0::3], size) - 1)
-                start, value, slope = effect[piece : piece + 3]
-                size = min(value + slope * (size - start), full)
-                text = (text + record["tail"])[-full:]
-            long, flag, small = pa.int64(), pa.bool_(), pa.int32()
-            doc = batch.schema.field("doc").type
-            types = [doc, long, long, pa.string(), flag, flag, small, small]
-            names = ["doc", "no", "block", "buffer", "flushed", "last", "pageStart", "pageEnd"]
-            columns = list(zip(*out)) or [()] * len(names)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, types)], names
-            )
 
+def _buffers(
+    border: DataFrame, max_length: int, overlap: int, blocks_per_run: int
+) -> DataFrame:
+    """What each border piece starts with, and the last block and pages of its group."""
     texts = F.col("group.texts")
-    group = Window.partitionBy("doc", "no")
-    in_order = group.orderBy("block").rowsBetween(
-        Window.unboundedPreceding, Window.unboundedFollowing
+    full = max(max_length, overlap)
+    pieces = border.select(
+        "doc",
+        F.col("group.no").alias("no"),
+        "block",
+        F.col("group.pageStart").alias("pageStart"),
+        F.col("group.pageEnd").alias("pageEnd"),
+        F.right(F.concat(F.array_join(texts, "\n"), F.lit("\n")), F.lit(full)).alias("tail"),
+        F.transform(texts, F.length).alias("lengths"),
     )
-    records = (
-        border.select(
-            "doc",
-            F.col("group.no").alias("no"),
-            "block",
-            F.col("group.pageStart").alias("pageStart"),
-            F.col("group.pageEnd").alias("pageEnd"),
-            F.right(F.concat(F.array_join(texts, "\n"), F.lit("\n")), F.lit(full)).alias("tail"),
-            F.transform(texts, F.length).alias("lengths"),
-        )
-        .withColumn("effect", buffer_effect(max_length, overlap)("lengths"))
-        .drop("lengths")
-        .repartition("doc", "no")
-        .withColumn("pageStart", F.first("pageStart", True).over(in_order))
-        .withColumn("pageEnd", F.last("pageEnd", True).over(in_order))
-        .withColumn("last_block", F.max("block").over(in_order))
-        .sortWithinPartitions("doc", "no", "block")
+
+    def at(page: str) -> Column:
+        return F.when(F.col(page).isNotNull(), F.col("block"))
+
+    document_group = F.struct("doc", "no").alias("document_group")
+    groups = pieces.groupBy(document_group).agg(
+        F.min_by("pageStart", at("pageStart")).alias("pageStart"),
+        F.max_by("pageEnd", at("pageEnd")).alias("pageEnd"),
+        F.max("block").alias("last_block"),
     )
-    doc_type = border.schema["doc"].dataType.simpleString()
-    buffers = records.mapInArrow(
-        pass_on,
-        f"doc {doc_type}, no bigint, block bigint, buffer string, flushed boolean, "
-        "last boolean, pageStart int, pageEnd int",
+    records = pieces.select(
+        "doc", "no", "block", "tail", buffer_effect(max_length, overlap)("lengths").alias("effect")
     )
-    return buffers.select(
-        F.struct("doc", "no", "block").alias("at"),
-        *("buffer", "flushed", "last", "pageStart", "pageEnd"),
+    flushed = F.col("size") >= max_length
+    kept = F.when(flushed, F.least("size", F.lit(overlap))).otherwise(F.col("size"))
+    return (
+        _open_buffers(records, max_length, overlap, blocks_per_run)
+        .select(
+            "at",
+            F.struct("at.doc", "at.no").alias("document_group"),
+            F.right("text", kept).alias("buffer"),
+            flushed.alias("flushed"),
+        )
+        .join(groups, "document_group")
+        .select(
+            "at",
+            "buffer",
+            "flushed",
+            (F.col("at.block") == F.col("last_block")).alias("last"),
+            "pageStart",
+            "pageEnd",
+        )
     )
 
 
-def _border_chunks(border: DataFrame, max_length: int, overlap: int) -> DataFrame:
+def _border_chunks(
+    border: DataFrame, max_length: int, overlap: int, blocks_per_run: int
+) -> DataFrame:
     """Chunks of the pieces at block borders, each packed from the buffer it starts with.
 
     A buffer that is full at the end of a piece is a finished chunk whatever follows; the
     piece emits it, and the next one starts after its last characters.
     """
     key = F.struct("doc", F.col("group.no").alias("no"), "block").alias("at")
-    pieces = border.select(key, "group").join(_buffers(border, max_length, overlap), "at")
-    start = "if(flushed, concat(buffer, get(group.texts, 0), '\\n'), buffer)"
+    buffers = _buffers(border, max_length, overlap, blocks_per_run)
+    pieces = border.select(key, "group").join(buffers, "at")
+    # The buffer, with the first text after it if it was flushed, is in the buffer already.
+    start = "if(flushed, concat(buffer, get(group.texts, 0)), left(buffer, length(buffer) - 1))"
     rest = "if(flushed, slice(group.texts, 2, size(group.texts)), group.texts)"
-    finished = f"array_append(p.out, btrim(p.buf, {SQL_WHITESPACE}))"
-    ended = f"""CASE WHEN last THEN {closed("p")}
-                     WHEN length(p.buf) >= {int(max_length)} THEN {finished}
-                     ELSE p.out END"""
-    out = F.expr(let("p", fold_texts(rest, max_length, overlap, start), ended))
+    opened = "if(flushed OR buffer <> '', 1, 0)"
+    texts = F.expr(f"if({opened} = 1, concat(array({start}), {rest}), group.texts)")
+    out = F.expr(
+        pack_texts("texts", max_length, overlap, open_texts=opened, ends="last")
+    )
     with_pages = F.col("group").withField("pageStart", F.col("pageStart")).withField(
         "pageEnd", F.col("pageEnd")
     )
-    packed = pieces.select("at.doc", "at.block", with_pages.alias("group"), out.alias("out"))
+    packed = pieces.withColumn("texts", texts).select(
+        "at.doc", "at.block", with_pages.alias("group"), out.alias("out")
+    )
     return elements(packed, ["doc", "block", "group"], "out", "part", "content")
 
 
@@ -344,15 +378,16 @@ def stream_chunks(
     overlap: int = CHUNK_OVERLAP,
     drop_empty: bool = False,
     block_rows: int = BLOCK_ROWS,
+    blocks_per_run: int = BLOCKS_PER_RUN,
 ) -> DataFrame:
     """Chunks of a section stream, footers already dropped.
 
     ``(doc, group, block, part)`` orders the chunks of a document.
     """
-    inner, border = _inner_and_border(stream, block_rows)
+    inner, border = _inner_and_border(stream, block_rows, blocks_per_run)
     packed = F.expr(pack_texts("group.texts", max_length, overlap))
     whole = elements(inner, ["doc", "block", "group"], packed, "part", "content")
-    chunks = whole.unionByName(_border_chunks(border, max_length, overlap))
+    chunks = whole.unionByName(_border_chunks(border, max_length, overlap, blocks_per_run))
     if drop_empty:
         chunks = chunks.where("content != ''")
     return chunks.select(

@@ -15,16 +15,19 @@ FETCHED_SCHEMA = "id string, status int, body string"
 def pending_ids(work: DataFrame, landed: DataFrame | None, entity: Entity) -> DataFrame:
     """Ids to fetch: all of them, or distinct ones not landed yet, by entity.
 
-    Null ids are dropped. Both sides are reduced to distinct ids by partial aggregation
-    before the join, so an id repeated without end never meets itself in one task.
+    Null ids are dropped. Distinct ids not landed are found by one aggregate over both
+    lists, an anti join without the join: an id that repeats, in either list, shrinks to
+    one row per task before the only shuffle. (As a join, the optimizer would move it below
+    the ``distinct`` and shuffle every repetition.)
     """
     ids = work.select(F.col("id").cast("string").alias("id")).where("id is not null")
-    if entity.deduplicate:
-        ids = ids.distinct()
-    if entity.skip_landed and landed is not None:
-        known = landed.select(F.col("id").cast("string").alias("id")).distinct()
-        ids = ids.join(known, "id", "left_anti")
-    return ids
+    if not entity.skip_landed or landed is None:
+        return ids.distinct() if entity.deduplicate else ids
+    known = landed.select(F.col("id").cast("string").alias("id"))
+    if not entity.deduplicate:
+        return ids.join(known.distinct(), "id", "left_anti")
+    both = ids.withColumn("landed", F.lit(False)).unionByName(known.withColumn("landed", F.lit(True)))
+    return both.groupBy("id").agg(F.bool_or("landed").alias("landed")).where(~F.col("landed")).select("id")
 
 
 def enrich(

@@ -18,7 +18,7 @@ from nestweave.operators.responses import response_envelopes, responses
 from nestweave.operators.sections import document_sections, drop_footers, explode_sections
 from nestweave.operators.stream import stream_chunks, stream_groups
 from nestweave.plans.catalog import query, table, texts
-from nestweave.session import scratch_dir, spread
+from nestweave.session import scratch_dir, spread, staged
 from nestweave.sinks.tables import write_responses
 from nestweave.sources.documents import parse_layouts, read_layouts
 from nestweave.sources.envelope import decode_payload, parse_requests, route_payloads
@@ -27,6 +27,7 @@ RECORDS_PER_REQUEST = 20
 LINES_PER_PAGE = 10
 # Small blocks in the queries, so that documents of ordinary size span several.
 SMALL_BLOCK = 16
+SMALL_RUN = 2
 
 _SPACE = f"'{WHITESPACE}'"
 
@@ -434,7 +435,8 @@ SELECT doc_id AS doc, g AS "group", h1, h2, h3, CAST("pageStart" AS BIGINT) AS "
 """)
 def heading_fold_blocks(spark: SparkSession, folder: str) -> DataFrame:
     """The same from a row stream, documents cut into blocks."""
-    return _bigint_pages(stream_groups(_line_stream(spark, folder), SMALL_BLOCK))
+    stream = staged(_line_stream(spark, folder).drop("boundingPolygons"), "sections")
+    return _bigint_pages(stream_groups(stream, SMALL_BLOCK, SMALL_RUN))
 
 
 # ---------------------------------------------------------------- chunks
@@ -486,8 +488,10 @@ SELECT doc_id AS doc, content FROM chunks
 def text_chunks_blocks(spark: SparkSession, folder: str) -> DataFrame:
     """One heading-less group per document, packed across blocks, shorter chunks."""
     none = F.lit(None).cast("string")
-    stream = _line_stream(spark, folder).withColumns({"h1": none, "h2": none, "h3": none})
-    return stream_chunks(stream, 300, 50, block_rows=SMALL_BLOCK).select("doc", "content")
+    plain = _line_stream(spark, folder).drop("boundingPolygons")
+    stream = staged(plain.withColumns({"h1": none, "h2": none, "h3": none}), "sections")
+    chunks = stream_chunks(stream, 300, 50, block_rows=SMALL_BLOCK, blocks_per_run=SMALL_RUN)
+    return chunks.select("doc", "content")
 
 
 _DOC_CHUNKS_SQL = (
@@ -523,8 +527,8 @@ def doc_chunks(spark: SparkSession, folder: str) -> DataFrame:
 @query(_DOC_CHUNKS_SQL)
 def doc_chunks_blocks(spark: SparkSession, folder: str) -> DataFrame:
     """The same from a row stream, documents cut into blocks."""
-    stream = drop_footers(_line_stream(spark, folder))
-    return _chunk_rows(stream_chunks(stream, block_rows=SMALL_BLOCK))
+    stream = staged(drop_footers(_line_stream(spark, folder)), "sections")
+    return _chunk_rows(stream_chunks(stream, block_rows=SMALL_BLOCK, blocks_per_run=SMALL_RUN))
 
 
 _LAYOUT_GROUPS_SQL = f"""

@@ -17,7 +17,7 @@ from nestweave.operators.flatten import expand_structs, flatten
 from nestweave.operators.normalize import base_table, child_table, join_children, normalize
 from nestweave.operators.worklist import enrich, failed, pending_ids, succeeded
 from nestweave.plans.catalog import query, table, texts
-from nestweave.session import scratch_dir
+from nestweave.session import scratch_dir, spread
 from nestweave.sinks.tables import (
     land,
     landed_ids,
@@ -136,7 +136,7 @@ def status_split(spark: SparkSession, folder: str) -> DataFrame:
 def _landing(spark: SparkSession, folder: str) -> DataFrame:
     """Orders landed in two batches; urgent ones came twice."""
     root = scratch_dir(spark, "landing")
-    orders = table(spark, folder, "orders")
+    orders = spread(table(spark, folder, "orders"))
     for batch in (1, 2):
         document = F.struct(
             F.col("o_orderkey").alias("id"),
@@ -468,7 +468,7 @@ def name_collisions(spark: SparkSession, folder: str) -> DataFrame:
 
 def _event_json(spark: SparkSession, folder: str) -> str:
     path = scratch_dir(spark, "events")
-    events = table(spark, folder, "events")
+    events = spread(table(spark, folder, "events"))
     events.select(
         F.col("event_id").alias("id"),
         F.struct(F.col("user_id").alias("user"), "value").alias("by"),
@@ -507,7 +507,7 @@ def unreadable_documents(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_dir(spark, "broken")
     broken = F.concat(F.lit('{"id": '), "event_id", F.lit(", "), "event_type")
     good = F.to_json(F.struct(F.col("event_id").alias("id")))
-    table(spark, folder, "events").select(
+    spread(table(spark, folder, "events")).select(
         F.when(F.col("event_type") == "error", broken).otherwise(good).alias("value")
     ).write.text(path)
     schema = spark.createDataFrame([], "id bigint").schema
@@ -553,7 +553,7 @@ def _orders_json(spark: SparkSession, folder: str, later: bool) -> DataFrame:
     that no document has is not in them.
     """
     path = scratch_dir(spark, "orders")
-    orders = table(spark, folder, "orders")
+    orders = spread(table(spark, folder, "orders"))
     fields = [
         F.col("o_orderkey").alias("id"),
         F.struct(
