@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from nestweave.operators.drift import registry_records
 from nestweave.session import staged
@@ -43,29 +44,20 @@ def write_statements(feed: DataFrame, path: str) -> None:
 
 
 def land(fetched: DataFrame, root: str, batch: int) -> None:
-    """Write fetched objects once, as ``batch=<n>/ok=<bool>`` partitions of one table.
+    """Write fetched objects once, as the folder ``batch=<n>`` of one table.
 
     Good and failed calls come out of the same pass, so nothing is fetched twice. A batch
-    that is run again replaces its own partitions only.
+    that is run again replaces all it wrote before, and no other.
     """
-    (
-        fetched.select(
-            "id",
-            "status",
-            "body",
-            F.lit(batch).alias("batch"),
-            F.col("status").eqNullSafe(200).alias("ok"),
-        )
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("batch", "ok")
-        .parquet(root)
+    ok = F.col("status").eqNullSafe(200).alias("ok")
+    fetched.select("id", "status", "body", ok).write.mode("overwrite").parquet(
+        f"{root}/batch={batch}"
     )
 
 
 def read_landing(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.schema(
-        "id string, status int, body string, batch int, ok boolean"
+        "id string, status int, body string, ok boolean, batch int"
     ).parquet(root)
 
 
@@ -84,15 +76,18 @@ def latest_objects(landing: DataFrame) -> DataFrame:
 
 
 def parse_objects(
-    objects: DataFrame, schema: str | None = None, sampling_ratio: float | None = None
+    objects: DataFrame, schema: StructType | str | None = None, sampling_ratio: float = 1.0
 ) -> DataFrame:
-    """Nested documents from ``body``; the schema is inferred from the bodies if not given."""
+    """Nested documents from ``body``.
+
+    Without ``schema`` it is inferred from the bodies, in a pass of its own over all of them
+    or over a sample, which may miss rare fields. Give the schema where it is known.
+    """
     if schema is None:
-        bodies = objects.select("body").rdd.map(lambda row: row[0])
-        reader = objects.sparkSession.read
-        if sampling_ratio is not None:
-            reader = reader.option("samplingRatio", sampling_ratio)
-        schema = reader.json(bodies).schema
+        bodies = objects.select("body")
+        if sampling_ratio < 1.0:
+            bodies = bodies.sample(sampling_ratio, seed=0)
+        schema = objects.sparkSession.read.json(bodies.rdd.map(lambda row: row[0])).schema
     return objects.select(F.from_json("body", schema).alias("doc")).select("doc.*")
 
 

@@ -5,14 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from pyspark.sql import functions as F
-
 from nestweave.entities import Entity
 from nestweave.operators.normalize import normalize
 
 
 def append_batch(documents: DataFrame, batch: int, entity: Entity, root: str) -> None:
-    """Write one micro-batch to all tables, as their ``batch=<n>`` partition.
+    """Write one micro-batch to all tables, as their folder ``batch=<n>``.
 
     A batch that is repeated after a failure replaces what it wrote before, so no document
     is stored twice.
@@ -20,13 +18,7 @@ def append_batch(documents: DataFrame, batch: int, entity: Entity, root: str) ->
     documents = documents.persist()
     try:
         for name, table in normalize(documents, entity).items():
-            (
-                table.withColumn("batch", F.lit(batch))
-                .write.mode("overwrite")
-                .option("partitionOverwriteMode", "dynamic")
-                .partitionBy("batch")
-                .parquet(f"{root}/{name}")
-            )
+            table.write.mode("overwrite").parquet(f"{root}/{name}/batch={batch}")
     finally:
         documents.unpersist()
 

@@ -107,7 +107,7 @@ def test_landing_replaces_a_batch_and_reads_the_latest(spark, tmp_path):
     schema = "id string, status int, body string"
     first = [("1", 200, '{"id":1,"v":"a"}'), ("2", 404, None), ("3", None, None)]
     land(spark.createDataFrame(first, schema), root, 1)
-    land(spark.createDataFrame([("1", 200, '{"id":1,"v":"b"}')], schema), root, 2)
+    land(spark.createDataFrame([("1", 200, '{"id":1,"v":"b"}'), ("4", 500, None)], schema), root, 2)
     land(spark.createDataFrame([("1", 200, '{"id":1,"v":"c"}')], schema), root, 2)
     landing = read_landing(spark, root)
     assert landing.count() == 4
