@@ -50,7 +50,7 @@ def new_columns(current: DataFrame, registered: DataFrame) -> DataFrame:
 
 
 def _sorted_columns() -> Column:
-    return F.array_sort(F.collect_list(F.struct("name", "type")))
+    return F.sort_array(F.collect_list(F.struct("name", "type")))
 
 
 def merged_registry(registered: DataFrame, new: DataFrame) -> DataFrame:

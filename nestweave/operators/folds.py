@@ -172,7 +172,14 @@ def pack_texts(
     if drop_empty:
         is_chunk = f"c <> '' AND ({is_chunk})"
     chunks = f"filter(transform(cs, (c, i) -> {chunk}), (c, i) -> {is_chunk})"
-    return let("p", packed, let("cs", cuts, chunks))
+    chunks = let("p", packed, let("cs", cuts, chunks))
+    if (open_texts, ends) != ("0", "true"):
+        return chunks
+    # Most groups fit into one chunk, which is then all there is.
+    only = f"filter(array(btrim(w, {SQL_WHITESPACE})), c -> c <> '')"
+    return let(
+        "w", f"array_join({texts}, '\\n')", f"if(length(w) < {max_length}, {only}, {chunks})"
+    )
 
 
 def chunk_struct(content: Column, group: Column) -> Column:

@@ -34,7 +34,7 @@ def response_envelopes(rows: DataFrame) -> DataFrame:
 
     A request came in as one JSON record, which bounds what is gathered for it.
     """
-    in_order = F.array_sort(F.collect_list(F.struct("position", "response")))
+    in_order = F.sort_array(F.collect_list(F.struct("position", "response")))
     values = F.array_join(F.transform(in_order, lambda r: r["response"]), ", ")
     return rows.groupBy("request").agg(
         F.concat(F.lit('{"values": ['), values, F.lit("]}")).alias("response")

@@ -58,7 +58,7 @@ def block_summary(stream: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
         .join(long_documents, "document", "left_semi")
         .groupBy("at")
         .agg(
-            F.array_sort(
+            F.sort_array(
                 F.collect_list(F.when(has_heading, F.struct("seq", *HEADINGS)))
             ).alias("rows")
         )
@@ -137,7 +137,7 @@ def _blocks(stream: DataFrame, block_rows: int) -> DataFrame:
     return (
         with_block(stream, block_rows)
         .groupBy("at")
-        .agg(F.array_sort(F.collect_list(row)).alias("rows"))
+        .agg(F.sort_array(F.collect_list(row)).alias("rows"))
     )
 
 

@@ -82,7 +82,7 @@ def _requests(spark: SparkSession, folder: str) -> DataFrame:
     return (
         table(spark, folder, "pages")
         .groupBy(F.floor(F.col("page_id") / RECORDS_PER_REQUEST).alias("request"))
-        .agg(F.array_sort(F.collect_list(record)).alias("values"))
+        .agg(F.sort_array(F.collect_list(record)).alias("values"))
         .select("request", F.to_json(F.struct("values")).alias("envelope"))
     )
 

@@ -292,7 +292,7 @@ def conversation_documents(spark: SparkSession, folder: str) -> DataFrame:
     return (
         table(spark, folder, "conversations")
         .groupBy("conv_id", F.floor(F.col("turn") / TURNS_PER_PAGE).alias("page"))
-        .agg(F.array_sort(F.collect_list(turn)).alias("turns"))
+        .agg(F.sort_array(F.collect_list(turn)).alias("turns"))
         .select(F.col("conv_id").alias("id"), F.struct("page").alias("meta"), "turns")
     )
 

@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+@functools.cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="run-")
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared ``spark.checkpoint.dir`` of the session.
 
@@ -18,8 +24,7 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="run-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = _local_root()
     return f"{root.rstrip('/')}/nestweave/{name}-{uuid.uuid4().hex}"
 
 

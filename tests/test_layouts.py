@@ -215,7 +215,7 @@ def random_documents(spark, request):
 def test_array_folds_equal_the_model(spark, random_documents):
     documents, stream, _ = random_documents
     row = F.struct("seq", "content", "h1", "h2", "h3", "pageNumber")
-    arrays = stream.groupBy("doc").agg(F.array_sort(F.collect_list(row)).alias("sections"))
+    arrays = stream.groupBy("doc").agg(F.sort_array(F.collect_list(row)).alias("sections"))
     found = {}
     for r in document_groups(arrays).orderBy("doc", "no").collect():
         found.setdefault(r["doc"], []).append(
