@@ -295,8 +295,8 @@ def footer_filter(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _turn_stream(spark: SparkSession, folder: str) -> DataFrame:
-    """Conversations as a section stream: what a user says first is the heading."""
-    heading = F.when(F.col("role") == "user", F.left("text", F.lit(20)))
+    """Conversations as a section stream: the first line of what a user says is the heading."""
+    heading = F.when(F.col("role") == "user", F.substring_index("text", "\n", 1))
     return table(spark, folder, "conversations").select(
         F.col("conv_id").alias("doc"),
         F.col("turn").alias("seq"),
@@ -310,7 +310,7 @@ def _turn_stream(spark: SparkSession, folder: str) -> DataFrame:
 
 _TURN_GROUPS_SQL = """
 WITH turns AS (
-  SELECT conv_id, turn, CASE WHEN role = 'user' THEN nullif(left(text, 20), '') END AS h FROM conversations),
+  SELECT conv_id, turn, CASE WHEN role = 'user' THEN nullif(split_part(text, chr(10), 1), '') END AS h FROM conversations),
 carry AS (
   SELECT *, last_value(h IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn
              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS heading,

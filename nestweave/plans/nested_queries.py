@@ -497,6 +497,18 @@ def pinned_json_flatten(spark: SparkSession, folder: str) -> DataFrame:
     return normalize(documents, CONVERSATIONS)[CONVERSATIONS.child_table("tags")]
 
 
+@query("SELECT page_id AS __id__, url AS __page_url__, html AS __page_html__ FROM pages")
+def multiline_json(spark: SparkSession, folder: str) -> DataFrame:
+    """One document per file, over several lines, as fetched objects are stored."""
+    path = scratch_dir(spark, "pages")
+    page = F.struct(F.col("page_id").alias("id"), F.struct("url", "html").alias("page"))
+    table(spark, folder, "pages").select(
+        F.col("page_id").alias("file"), F.to_json(page, {"pretty": "true"}).alias("value")
+    ).write.partitionBy("file").text(path)
+    documents = read_documents(spark, f"{path}/*", "id bigint, page struct<url:string,html:string>")
+    return base_table(documents)
+
+
 @query("""
 SELECT 'read' AS outcome, event_id AS id, NULL AS record FROM events WHERE event_type <> 'error'
 UNION ALL
