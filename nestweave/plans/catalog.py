@@ -32,4 +32,4 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def texts(spark: SparkSession, folder: str) -> DataFrame:
     """Document keys and texts, over all cores: what follows is costly per character."""
-    return spread(table(spark, folder, "documents").select("doc_id", "text"))
+    return spread(table(spark, folder, "documents").select("doc_id", "text"), "doc_id")

@@ -147,33 +147,21 @@ def _page_layouts(spark: SparkSession, folder: str) -> DataFrame:
 
 def _markdown_layouts(spark: SparkSession, folder: str) -> DataFrame:
     """Documents as layout JSON by sections, with headings of three levels."""
-
-    def section(line: Column, i: Column) -> Column:
-        heading = _heading_columns(i + 1)
-        return F.struct(
-            line.alias("content"),
-            F.struct(*[h.alias(f"h{k + 1}") for k, h in enumerate(heading)]).alias("sections"),
-            _page_of(i + 1).alias("pageNumber"),
-            _polygon((i % 20) / 20).alias("boundingPolygons"),
-        )
-
-    sections = F.transform(_lines(), section)
-    layout = F.struct(F.struct(F.struct(sections.alias("sections")).alias("markdown")).alias("analyzeResult"))
-    return texts(spark, folder).select("doc_id", F.to_json(layout).alias("layout"))
-
-
-def _heading_columns(n: Column) -> list[Column]:
-    """Headings of line ``n``: three levels that come and go at different paces."""
-    number = lambda x: F.floor(x).cast("string")
-    return [
-        F.when((n % 7).isin(1, 4), F.concat(F.lit("H1-"), number(n / 14))),
-        F.when(n % 5 == 2, F.concat(F.lit("H2-"), (n % 3).cast("string"))),
-        F.when(n % 4 == 3, F.concat(F.lit("H3-"), (n % 2).cast("string"))),
-    ]
-
-
-def _page_of(n: Column) -> Column:
-    return (F.floor((n - 1) / LINES_PER_PAGE) + 1).cast("int")
+    sections = f"""transform(split(text, '\\n'), (line, i) -> named_struct(
+        'content', line, 'sections', named_struct({_HEADING_FIELDS}), {_PAGE_FIELD},
+        'boundingPolygons', array(array(named_struct('x', 0.5D, 'y', i % 20 / 20)))))"""
+    layout = f"""to_json(named_struct('analyzeResult',
+        named_struct('markdown', named_struct('sections', {sections}))))"""
+    return texts(spark, folder).select("doc_id", F.expr(layout).alias("layout"))
+
+
+# Headings and page of line i + 1: three levels that come and go at different paces.
+_HEADING_FIELDS = """
+'h1', if((i + 1) % 7 IN (1, 4), concat('H1-', (i + 1) DIV 14), null),
+'h2', if((i + 1) % 5 = 2, concat('H2-', (i + 1) % 3), null),
+'h3', if((i + 1) % 4 = 3, concat('H3-', (i + 1) % 2), null)
+"""
+_PAGE_FIELD = f"'pageNumber', cast(i DIV {LINES_PER_PAGE} + 1 AS int)"
 
 
 _ALL_LINES_SQL = """
@@ -356,18 +344,12 @@ def _text_lines() -> Column:
 
 def _line_sections(spark: SparkSession, folder: str) -> DataFrame:
     """Documents as section arrays with headings of three levels."""
-
-    def section(line: Column, i: Column) -> Column:
-        headings = [h.alias(f"h{k + 1}") for k, h in enumerate(_heading_columns(i + 1))]
-        return F.struct(
-            line.alias("content"),
-            *headings,
-            _page_of(i + 1).alias("pageNumber"),
-            F.lit(None).cast("variant").alias("polygons"),
-        )
-
-    return texts(spark, folder).select(
-        F.col("doc_id").alias("doc"), F.transform(_text_lines(), section).alias("sections")
+    lines = texts(spark, folder).select("doc_id", _text_lines().alias("lines"))
+    section = f"""named_struct('content', line, {_HEADING_FIELDS}, {_PAGE_FIELD},
+                                'polygons', cast(null AS variant))"""
+    return lines.select(
+        F.col("doc_id").alias("doc"),
+        F.expr(f"transform(lines, (line, i) -> {section})").alias("sections"),
     )
 
 

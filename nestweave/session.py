@@ -28,14 +28,14 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/nestweave/{name}-{uuid.uuid4().hex}"
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Rows spread over all cores, if a scan has fewer splits than that.
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows spread over all cores, by key or evenly, if a scan has fewer splits than that.
 
     For expressions that cost far more than a shuffle of their input, over a file that is
     one large row group. A scan that already has enough splits is left as it is.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
