@@ -47,7 +47,7 @@ def block_summary(stream: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     row that has a heading of that level does. So all a block can ask of what it starts
     with is, per level: is it equal to the block's first heading of that level? That makes
     eight cases; ``outcomes`` holds the result of each, where ``u1`` to ``u3`` stand for
-    "still what the block started with".
+    "still what the block started with". It is null if the block has no headings.
     """
     document = F.struct("doc").alias("document")
     long_documents = stream.where(F.col("seq") >= block_rows).select(document).distinct()
@@ -75,11 +75,12 @@ def block_summary(stream: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
         start = f"struct({', '.join([*values, *unknown])}, 0)"
         return heading_effect("rows", start)
 
+    cases = ", ".join(case(number) for number in range(8))
     return rows.withColumns(firsts).select(
         "at.doc",
         "at.block",
         F.array(*firsts).alias("firsts"),
-        F.expr(f"array({', '.join(case(number) for number in range(8))})").alias("outcomes"),
+        F.expr(f"if(size(rows) = 0, null, array({cases}))").alias("outcomes"),
     )
 
 
@@ -92,6 +93,8 @@ def block_entries(
     def apply(state, record):
         """A level is a heading, or stands for what a run started with: a heading that is
         ``equal`` to the first one it will be compared with, or some ``other``."""
+        if record["outcomes"] is None:
+            return state
         case = sum(
             1 << i
             for i, first in enumerate(record["firsts"])
