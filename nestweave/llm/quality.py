@@ -8,7 +8,8 @@ model is a pair of arrays a language, sorted keys and log probabilities, looked
 
 Documents whose mean log probability lies outside their language's band are rejected. A band
 is the median plus and minus some widths, where a width is the interquartile range scaled to a
-standard deviation: bands follow the corpus, and keep all of it if it has no outliers.
+standard deviation and shrinks with the root of the text's length, as means do: bands follow
+the corpus, and keep all of it if it has no outliers.
 """
 
 from __future__ import annotations
@@ -31,10 +32,12 @@ MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 REPEAT_WINDOW = 8
 SYMBOLS = "#*$%&|<>"
-#: Widths below and above the median that a band spans, and the least width (nats a character).
-LOWER_WIDTHS = 6.0
-UPPER_WIDTHS = 6.0
-LEAST_WIDTH = 0.02
+#: Widths below and above the median that a band spans; the least width, in nats for a text of one
+#: character; the length beyond which bands get no narrower.
+LOWER_WIDTHS = 8.0
+UPPER_WIDTHS = 8.0
+LEAST_WIDTH = 0.2
+LONG_CHARS = 4096
 #: Model entries (12 bytes each) that are broadcast at most; beyond, documents meet their part of
 #: the model in groups of so many bytes of text.
 BROADCAST_ENTRIES = 4_000_000
@@ -183,11 +186,11 @@ def model(counts: DataFrame) -> DataFrame:
 
 def _discounts() -> list[Column]:
     """The three discounts from counts of counts; fixed ones where those give none."""
-    y = F.col("n1") / (F.col("n1") + 2 * F.col("n2"))
+    y = F.try_divide(F.col("n1"), F.col("n1") + 2 * F.col("n2"))
     enough = (F.col("n1") > 0) & (F.col("n2") > 0) & (F.col("n3") > 0) & (F.col("n4") > 0)
     out = []
     for k, fixed in ((1, 0.5), (2, 1.0), (3, 1.5)):
-        d = k - (k + 1) * y * F.col(f"n{k + 1}") / F.col(f"n{k}")
+        d = k - F.try_divide((k + 1) * y * F.col(f"n{k + 1}"), F.col(f"n{k}"))
         out.append(F.when(enough & (d > 0) & (d < k), d).otherwise(F.lit(fixed)).alias(f"d{k}"))
     return out
 
@@ -287,19 +290,21 @@ def _score_by_group(docs: DataFrame, fitted: DataFrame, keep: list[str], schema:
 
 
 def bands(scored: DataFrame) -> DataFrame:
-    """The band (class, lower, upper) of mean log probability of each language class."""
-    quartiles = F.percentile_approx("log_prob", [0.25, 0.5, 0.75], 10_000)
-    width = F.greatest((F.col("q")[2] - F.col("q")[0]) / 1.349, F.lit(LEAST_WIDTH))
-    return (
-        scored.where(f"log_prob is not null and n_words >= {MIN_WORDS}")
-        .groupBy("class")
-        .agg(quartiles.alias("q"))
-        .select(
-            "class",
-            (F.col("q")[1] - LOWER_WIDTHS * width).alias("lower"),
-            (F.col("q")[1] + UPPER_WIDTHS * width).alias("upper"),
-        )
-    )
+    """Middle and width (class, middle, width) of each language class, widths for one character.
+
+    A mean over more characters spreads less, so deviations count times the root of the length.
+    """
+    some = scored.where(f"log_prob is not null and n_words >= {MIN_WORDS}")
+    middles = some.groupBy("class").agg(F.percentile_approx("log_prob", 0.5, 10_000).alias("middle"))
+    away = some.join(F.broadcast(middles), "class").withColumn("d", (F.col("log_prob") - F.col("middle")) * _root())
+    quartiles = F.percentile_approx("d", [0.25, 0.75], 10_000)
+    spread = away.groupBy("class", "middle").agg(quartiles.alias("q"))
+    width = F.greatest((F.col("q")[1] - F.col("q")[0]) / 1.349, F.lit(LEAST_WIDTH))
+    return spread.select("class", "middle", width.alias("width"))
+
+
+def _root() -> Column:
+    return F.sqrt(F.greatest(F.lit(1), F.least("word_chars", F.lit(LONG_CHARS))))
 
 
 def judge_quality(docs: DataFrame, text: str = "text", lang: str = "lang", keep: list[str] | None = None) -> DataFrame:
@@ -325,13 +330,15 @@ def judge_quality(docs: DataFrame, text: str = "text", lang: str = "lang", keep:
     limits = bands(numbers)  # a row a language class
     scored = score(plain, fitted, held).join(F.broadcast(limits), "class", "left")
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
-    inside = F.coalesce(F.col("log_prob").between(F.col("lower"), F.col("upper")), F.lit(True))
+    width = F.col("width") / _root()
+    lower, upper = F.col("middle") - LOWER_WIDTHS * width, F.col("middle") + UPPER_WIDTHS * width
+    inside = F.coalesce(F.col("log_prob").between(lower, upper), F.lit(True))
     return scored.select(
         *(F.col(h).alias(c) for h, c in zip(held, names, strict=True)),
         *STATS,
         failed.alias("base_failed"),
         "log_prob",
-        "lower",
-        "upper",
+        lower.alias("lower"),
+        upper.alias("upper"),
         (~failed & inside).alias("kept"),
     )
