@@ -29,10 +29,15 @@ RADIUS = 23
 #: Items, and bytes of their texts, that a pass over the documents compares with.
 BLOCK_ITEMS = 20_000
 BLOCK_BYTES = 16 << 20
-#: Windows whose bits are summed at a time.
-_STEP = 1 << 15
+#: Windows whose bits are summed, and window-item pairs that are compared, at a time.
+_STEP = 1 << 10
+_PAIRS = 1 << 22
 
-_NEAR = [[v for v in range(256) if (u ^ v).bit_count() <= RADIUS // 8] for u in range(256)]
+#: Hash bits by which most shingles that no item has are told apart.
+_LOW = np.uint64((1 << 22) - 1)
+
+#: For every 8-bit part, which other parts are within its share of the radius.
+_NEAR = np.bitwise_count(np.arange(256)[:, None] ^ np.arange(256)[None]) <= RADIUS // 8
 
 
 def _shingles_of(found: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -53,15 +58,11 @@ def _print(sums: np.ndarray, total: np.ndarray) -> np.ndarray:
 
 def weighted_similarity(one: tuple, two: tuple) -> float:
     """Shared weight over joint weight of two multisets of (hash, weight)."""
-    counts: dict[int, list[int]] = {}
-    weights: dict[int, int] = {}
-    for side, (values, weight) in enumerate((one, two)):
-        for v, w in zip(values.tolist(), weight.tolist(), strict=True):
-            counts.setdefault(v, [0, 0])[side] += 1
-            weights[v] = w
-    shared = sum(min(c) * weights[v] for v, c in counts.items())
-    joint = sum(max(c) * weights[v] for v, c in counts.items())
-    return shared / joint if joint else 0.0
+    values, weights = np.concatenate((one[0], two[0])), np.concatenate((one[1], two[1]))
+    _, at, which = np.unique(values, return_index=True, return_inverse=True)
+    counts = [np.bincount(w, minlength=len(at)) for w in np.split(which, [len(one[0])])]
+    joint = (np.maximum(*counts) * weights[at]).sum()
+    return float((np.minimum(*counts) * weights[at]).sum() / joint) if joint else 0.0
 
 
 class Items:
@@ -72,6 +73,8 @@ class Items:
         at, value, weight = _shingles_of(found)
         row = found.row[at] if len(at) else at
         self.known = np.unique(value)
+        self.maybe = np.zeros(int(_LOW) + 1, bool)
+        self.maybe[value & _LOW] = True
         self.ids = ids
         self.sets: dict[int, tuple] = {}
         self.by_size: dict[int, tuple] = {}
@@ -93,7 +96,8 @@ class Items:
         for size, members in sizes.items():
             own = prints[members]
             parts = own.astype("<u8").view(np.uint8).reshape(-1, 8)
-            tables = [[np.flatnonzero(np.isin(parts[:, p], _NEAR[v])) for v in range(256)] for p in range(8)]
+            # for each part and each of its values, which items are near
+            tables = [_NEAR[:, parts[:, p]] for p in range(8)]
             self.by_size[size] = np.array(members), own, tables
 
 
@@ -123,16 +127,15 @@ def _matches(batch: pa.RecordBatch, items: Items, threshold: float) -> list[tupl
             for item in known[int(_whole(found.hash[at : at + size]))]:
                 add(row, item, 1.0, int(at - first[row]), size)
     at, value, weight = _shingles_of(found)
-    place = np.searchsorted(items.known, value)
-    hit = np.zeros(len(value), bool)
-    inside = place < len(items.known)
-    hit[inside] = items.known[place[inside]] == value[inside]
+    hit = items.maybe[value & _LOW]
+    hit[hit] = np.isin(value[hit], items.known)
     # only rows with a known shingle are looked at further
     row = found.row[at] if len(at) else at
-    for r in np.unique(row[hit]):
-        mine = slice(*np.searchsorted(row, [r, r + 1]))
-        for item, similarity, word, size in _row_matches(value[mine], weight[mine], hit[mine], items, threshold):
-            add(int(r), item, similarity, word, size)
+    some = np.isin(row, np.unique(row[hit]))
+    row, value, weight, hit = row[some], value[some], weight[some], hit[some]
+    head = np.searchsorted(row, row)  # each row's first shingle
+    for start, item, similarity, size in _similar(row, value, weight, hit, items, threshold):
+        add(int(row[start]), item, similarity, start - int(head[start]), size)
     return [(r, i, *v) for (r, i), v in best.items()]
 
 
@@ -143,35 +146,38 @@ def _whole_windows(hashes: np.ndarray, starts: np.ndarray, size: int) -> np.ndar
     return out
 
 
-def _row_matches(value, weight, hit, items: Items, threshold: float) -> Iterator[tuple]:
-    """(item, similarity, first word, words) of every window of one text that is similar to an item."""
+def _similar(row, value, weight, hit, items: Items, threshold: float) -> Iterator[tuple]:
+    """(first shingle, item, similarity, words) of every window that is similar to an item."""
     total = np.concatenate(([0], np.cumsum(weight)))
     known = np.concatenate(([0], np.cumsum(weight * hit)))
+    bits = _bits(value)
+    done: dict[tuple[int, bytes], float] = {}  # windows of common passages come again and again
     for size, (members, prints, tables) in items.by_size.items():
         n = size - SHINGLE + 1
         if n > len(value):
             continue
         whole, share = total[n:] - total[:-n], known[n:] - known[:-n]
-        starts = np.flatnonzero(share >= threshold * whole)
-        for k in range(0, len(starts), _STEP):
-            some = starts[k : k + _STEP]
-            for start, code in zip(some.tolist(), _window_prints(value, weight, some, n, whole[some]).tolist(), strict=True):
-                parts = code.to_bytes(8, "little")
-                near = np.unique(np.concatenate([tables[p][parts[p]] for p in range(8)]))
-                close = np.bitwise_count(prints[near] ^ np.uint64(code)) <= RADIUS
-                for item in members[near[close]].tolist():
-                    window = slice(start, start + n)
-                    similarity = weighted_similarity(items.sets[item], (value[window], weight[window]))
-                    if similarity >= threshold:
-                        yield item, similarity, start, size
-
-
-def _window_prints(value, weight, starts, n: int, whole: np.ndarray) -> np.ndarray:
-    """SimHash of the windows of ``n`` shingles at ``starts``, from running sums a bit."""
-    low, high = int(starts[0]), int(starts[-1]) + n
-    sums = np.zeros((high - low + 1, 64), np.int64)
-    np.cumsum(_bits(value[low:high]) * weight[low:high, None], axis=0, out=sums[1:])
-    return _print(sums[starts - low + n] - sums[starts - low], whole)
+        starts = np.flatnonzero((share >= threshold * whole) & (row[: len(row) - n + 1] == row[n - 1 :]))
+        step = max(1, min(_STEP, _PAIRS // len(members)))
+        for k in range(0, len(starts), step):
+            some = starts[k : k + step]
+            at = some[:, None] + np.arange(n)
+            codes = _print(np.einsum("wnb,wn->wb", bits[at], weight[at]), whole[some])
+            parts = codes.astype("<u8").view(np.uint8).reshape(-1, 8)
+            near = tables[0][parts[:, 0]]
+            for p in range(1, 8):
+                near |= tables[p][parts[:, p]]
+            window, member = np.nonzero(near)
+            close = np.bitwise_count(prints[member] ^ codes[window]) <= RADIUS
+            for w, m in zip(window[close].tolist(), member[close].tolist(), strict=True):
+                start, item = int(some[w]), int(members[m])
+                span = slice(start, start + n)
+                key = item, value[span].tobytes()
+                if key not in done:
+                    done[key] = weighted_similarity(items.sets[item], (value[span], weight[span]))
+                similarity = done[key]
+                if similarity >= threshold:
+                    yield start, item, similarity, size
 
 
 def _blocks(benchmark: DataFrame, id: str, text: str) -> Iterator[tuple[list, pa.Array]]:
