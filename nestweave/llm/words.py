@@ -97,6 +97,50 @@ def words(texts: pa.Array, lower: bool = False) -> Words:
     return Words(row, start, end, hashes, np.bincount(row, minlength=len(texts)))
 
 
+def _after_space(data: np.ndarray) -> np.ndarray:
+    """Whether the character that ends at each byte is white space of any kind or a separator."""
+    one = np.concatenate((np.zeros(1, np.uint8), data[:-1]))
+    two = np.concatenate((np.zeros(2, np.uint8), data[:-2]))[: len(data)]
+    ascii_space = SPACE[data] | ((data >= 0x1C) & (data <= 0x1F))
+    latin = (one == 0xC2) & ((data == 0x85) | (data == 0xA0))
+    general = (two == 0xE2) & (one == 0x80) & ((data <= 0x8A) | (data == 0xA8) | (data == 0xA9) | (data == 0xAF))
+    wide = (two == 0xE2) & (one == 0x81) & (data == 0x9F)
+    other = ((two == 0xE1) & (one == 0x9A) | (two == 0xE3) & (one == 0x80)) & (data == 0x80)
+    return ascii_space | latin | general | wide | other
+
+
+@dataclass
+class Units:
+    """Distinct units of a batch, which of them each unit is, and units per row."""
+
+    distinct: list[str]
+    which: np.ndarray
+    counts: np.ndarray
+
+
+def units(texts: pa.Array, only_blank: bool = False) -> Units:
+    """Each text cut before white space that follows other characters.
+
+    The units of a text make up the text: a run of white space and what stands up to the next.
+    With ``only_blank`` only the character 32 counts as white space.
+    """
+    data, bounds = text_bytes(texts)
+    if not len(data):
+        return Units([], np.zeros(0, np.int64), np.zeros(len(texts), np.int64))
+    space, gap = (data == 0x20, data == 0x20) if only_blank else (SPACE[data], _after_space(data))
+    cut = space & ~np.concatenate(([True], gap[:-1]))
+    cut[bounds[:-1][bounds[:-1] < len(data)]] = True
+    start = np.flatnonzero(cut)
+    offsets = np.append(start, len(data))
+    # equal units have equal hashes; the first of each stands for all
+    coded = pa.array(_hashes(data, start, offsets[1:])).dictionary_encode().indices.to_numpy()
+    first = np.zeros(coded.max() + 1, np.int64)
+    first[coded[::-1]] = np.arange(len(start))[::-1]
+    whole = pa.StringArray.from_buffers(len(start), pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(data))
+    row = np.searchsorted(bounds, start, side="right") - 1
+    return Units(whole.take(pa.array(first)).to_pylist(), coded, np.bincount(row, minlength=len(texts)))
+
+
 def _hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """A 64-bit hash of each byte range, eight bytes of all ranges at a time."""
     padded = np.concatenate((data, np.zeros(8, np.uint8)))
