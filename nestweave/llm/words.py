@@ -118,11 +118,12 @@ class Units:
     counts: np.ndarray
 
 
-def units(texts: pa.Array, only_blank: bool = False) -> Units:
+def units(texts: pa.Array, only_blank: bool = False, alone: np.ndarray | None = None) -> Units:
     """Each text cut before white space that follows other characters.
 
     The units of a text make up the text: a run of white space and what stands up to the next.
-    With ``only_blank`` only the character 32 counts as white space.
+    With ``only_blank`` only the character 32 counts as white space. Each byte that ``alone`` (a
+    flag a byte) has is a unit of its own.
     """
     data, bounds = text_bytes(texts)
     if not len(data):
@@ -130,6 +131,9 @@ def units(texts: pa.Array, only_blank: bool = False) -> Units:
     space, gap = (data == 0x20, data == 0x20) if only_blank else (SPACE[data], _after_space(data))
     cut = space & ~np.concatenate(([True], gap[:-1]))
     cut[bounds[:-1][bounds[:-1] < len(data)]] = True
+    if alone is not None:
+        single = alone[data]
+        cut |= single | np.concatenate(([False], single[:-1]))
     start = np.flatnonzero(cut)
     offsets = np.append(start, len(data))
     # equal units have equal hashes; the first of each stands for all
