@@ -155,16 +155,18 @@ def _ids(part: str, known: Pieces) -> list[int]:
 
 def best_ids(texts: list[str], known: Pieces) -> list[list[int]]:
     """Ids of the best segmentation of each text (blanks as in pieces)."""
-    parts, owners = [], []
+    parts, owners, easy = [], [], []
     for k, text in enumerate(texts):
         if _simple(text, known):
             parts.append(text)
             owners.append(k)
+            easy.append(True)
         else:
             bounds = [0, *cuts(text, known).tolist(), len(text)]
-            parts += [text[a:b] for a, b in zip(bounds, bounds[1:], strict=False)]
-            owners += [k] * (len(bounds) - 1)
-    easy = [_simple(part, known) for part in parts]
+            fresh = [text[a:b] for a, b in zip(bounds, bounds[1:], strict=False)]
+            parts += fresh
+            owners += [k] * len(fresh)
+            easy += [_simple(part, known) for part in fresh]
     done = known.library.encode([p for p, e in zip(parts, easy, strict=True) if e], out_type=int, num_threads=1)
     by_library = iter(done)
     out: list[list[int]] = [[] for _ in texts]
