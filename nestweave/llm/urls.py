@@ -129,12 +129,11 @@ def _lexical(urls: DataFrame) -> DataFrame:
 def _with_rates(urls: DataFrame, labelled: DataFrame) -> DataFrame:
     """Rates of blocked URLs by host suffix, over all labelled URLs, smoothed to their parent's."""
     counts = stage(labelled.groupBy("top", "site").agg(F.sum("label").alias("bad"), F.count("*").alias("n")), "sites")
-    whole = counts.agg(F.sum("bad").alias("bad_all"), F.sum("n").alias("n_all"))
-    overall = F.coalesce(F.try_divide(F.col("bad_all"), F.col("n_all")), F.lit(0.5))
+    bad, n = counts.agg(F.sum("bad"), F.sum("n")).first()
+    overall = bad / n if n else 0.5
     tops = (
         counts.groupBy("top")
         .agg(F.sum("bad").alias("bad"), F.sum("n").alias("n"))
-        .join(F.broadcast(whole), how="cross")  # one row
         .select("top", ((F.col("bad") + SMOOTHING * overall) / (F.col("n") + SMOOTHING)).alias("f_top_rate"))
     )
     sites = counts.join(tops, "top").select(

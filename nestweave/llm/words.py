@@ -80,14 +80,14 @@ class Words:
         return np.cumsum(self.counts) - self.counts
 
 
-def words(texts: pa.Array, lower: bool = False) -> Words:
-    """The words of each text; ``lower`` folds A to Z before hashing."""
+def words(texts: pa.Array, lower: bool = False, space: np.ndarray = SPACE) -> Words:
+    """The words of each text, between bytes that ``space`` flags; ``lower`` folds A to Z first."""
     data, bounds = text_bytes(texts)
     size = len(data)
     if not size:
         none = np.zeros(0, np.int64)
         return Words(none, none, none, none.astype(np.uint64), np.zeros(len(texts), np.int64))
-    inside = ~SPACE[data]
+    inside = ~space[data]
     edge = np.zeros(size + 1, bool)
     edge[bounds] = True
     start = np.flatnonzero(inside & (np.concatenate(([True], ~inside[:-1])) | edge[:-1]))
