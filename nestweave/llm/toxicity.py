@@ -102,7 +102,7 @@ class Index:
         self.begin = np.searchsorted(place, np.arange(terms * max(1, self.blocks) + 1)).reshape(-1)
         self.largest = np.zeros(terms * max(1, self.blocks))
         np.maximum.at(self.largest, place, self.weight)
-        self.largest = self.largest.reshape(terms, -1)
+        self.largest = self.largest.reshape(terms, max(1, self.blocks))
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int) -> list[tuple[float, int]]:
         """The ``k`` most similar examples as (similarity, place); equal ones by id."""
