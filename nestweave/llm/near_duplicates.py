@@ -33,6 +33,8 @@ BAND_ROWS = 5
 #: Hashes compared before the next look at the posterior.
 BATCH = 30
 MISS = 1e-6
+#: Leaders a bucket has at most in every round but the first, which has one.
+SLOTS = 64
 #: Ids of at most so many nodes (8 bytes each) are broadcast; beyond, the join shuffles.
 BROADCAST_NODES = 1_000_000
 #: Nodes of classes without any document id lie here; document ids are below.
@@ -213,20 +215,26 @@ def near_duplicates(
     )
 
 
+def _labelled(members: DataFrame, found: DataFrame | None) -> DataFrame:
+    """Members with the label of their component, a node without links being its own."""
+    if found is None:
+        return members.withColumn("label", F.col("node"))
+    return members.join(found, "node", "left").withColumn("label", F.coalesce("label", "node"))
+
+
 def _links(docs, nodes, id, text, size, threshold, bands, band_rows, looks) -> DataFrame:
     """The component label of each node that is linked with another, as (node, label)."""
-    spark = docs.sparkSession
     banded = _bands(nodes, bands, band_rows)
     shared = banded.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
-    members = stage(banded.join(shared.select("key"), "key", "left_semi").distinct(), "members")
-    found = spark.createDataFrame([], "node long, label long")
-    sets, tested, slots = None, None, 1
+    members = stage(banded.join(shared.select("key"), "key", "left_semi"), "members")
+    if members.isEmpty():
+        return docs.sparkSession.createDataFrame([], "node long, label long")
+    sets = stage(_sets(docs, members.select("node").distinct(), id, text, size), "sets")
+    found, slots = None, 1
     while not members.isEmpty():
-        if sets is None:
-            sets = stage(_sets(docs, members.select("node").distinct(), id, text, size), "sets")
         # leaders meet the members of other components, and leave their bucket
         slot = F.pmod(F.xxhash64("node", F.lit(slots)), F.lit(slots)) if slots > 1 else F.lit(0)
-        labelled = members.join(found, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        labelled = members if "label" in members.columns else _labelled(members, found)
         leaders = stage(
             labelled.groupBy("key", slot.alias("slot"))
             .agg(F.min(F.struct("node", "label")).alias("lead"))
@@ -239,23 +247,21 @@ def _links(docs, nodes, id, text, size, threshold, bands, band_rows, looks) -> D
             .select(F.least("node", "lead").alias("a"), F.greatest("node", "lead").alias("b"))
             .distinct()
         )
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = stage(pairs, "pairs")
-        tested = pairs if tested is None else tested.unionByName(pairs)
         linked = stage(_confirmed(_plausible(pairs, nodes, looks), sets, threshold), "confirmed")
         if not linked.isEmpty():
             found = stage(_merged(found, linked), "found")
-        rest = members.join(leaders.select("key", F.col("lead").alias("node")), ["key", "node"], "left_anti")
-        labelled = rest.join(found, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        mixed = labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
+        rest = members.drop("label").join(leaders.select("key", F.col("lead").alias("node")), ["key", "node"], "left_anti")
+        rest = stage(_labelled(rest, found), "rest")
+        mixed = rest.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
         members = stage(rest.join(mixed.select("key"), "key", "left_semi"), "members")
-        slots = min(8 * slots, 64)
-    return found
+        slots = SLOTS
+    return docs.sparkSession.createDataFrame([], "node long, label long") if found is None else found
 
 
-def _merged(found: DataFrame, linked: DataFrame) -> DataFrame:
+def _merged(found: DataFrame | None, linked: DataFrame) -> DataFrame:
     """Labels after more links: the links' components, and what pointed at their labels."""
+    if found is None:
+        return components(linked)
     ends = linked
     for side in ("a", "b"):
         known = found.select(F.col("node").alias(side), F.col("label").alias("was"))
