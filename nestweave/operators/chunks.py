@@ -32,13 +32,15 @@ def document_chunks(
 ) -> DataFrame:
     """``(doc, chunks)`` from ``(doc, sections)``: footers out, then both folds.
 
-    The sections of a document are already one row, so all of this is one projection.
+    The sections of a document are already one row, so all of this is one projection. A column
+    ``error`` is kept.
     """
+    kept = [c for c in ("doc", "error") if c in documents.columns]
     usable = usable_sections(F.col("sections"), footer_high, footer_low)
     return (
-        documents.select("doc", usable.alias("usable"))
-        .select("doc", F.expr(fold_sections("usable")).alias("groups"))
-        .select("doc", group_chunks("groups", max_length, overlap, drop_empty).alias("chunks"))
+        documents.select(*kept, usable.alias("usable"))
+        .select(*kept, F.expr(fold_sections("usable")).alias("groups"))
+        .select(*kept, group_chunks("groups", max_length, overlap, drop_empty).alias("chunks"))
     )
 
 

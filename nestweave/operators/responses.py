@@ -12,13 +12,16 @@ NO_LAYOUT = "no layout result"
 def responses(records: DataFrame, documents: DataFrame) -> DataFrame:
     """``(request, position, recordId, response)`` for routed records.
 
-    ``documents`` is ``(doc, chunks)`` with the record id as ``doc``. Nulls inside chunks
-    stay in the JSON text. A record with an error, or without chunks, says so; the others
-    are not affected.
+    ``documents`` is ``(doc, chunks)``, with ``error`` where a layout could not be read. ``doc`` is
+    ``struct<request, position>``: record ids repeat from request to request, a record's
+    place in its request does not. Nulls inside chunks stay in the JSON text. A record with an
+    error, or without chunks, says so; the others are not affected.
     """
     keep_nulls = {"ignoreNullFields": "false"}
-    joined = records.join(documents.withColumnRenamed("doc", "recordId"), "recordId", "left")
-    message = F.coalesce("error", F.when(F.col("chunks").isNull(), NO_LAYOUT))
+    unreadable = F.col("error") if "error" in documents.columns else F.lit(None).cast("string")
+    results = documents.select("doc.request", "doc.position", "chunks", unreadable.alias("unreadable"))
+    joined = records.join(results, ["request", "position"], "left")
+    message = F.coalesce("error", "unreadable", F.when(F.col("chunks").isNull(), NO_LAYOUT))
     good = F.to_json(F.struct("recordId", F.struct("chunks").alias("data")), keep_nulls)
     bad = F.to_json(
         F.struct("recordId", F.array(F.struct(message.alias("message"))).alias("errors")),

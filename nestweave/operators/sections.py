@@ -59,8 +59,12 @@ def layout_sections(result: Column) -> Column:
 
 
 def document_sections(layouts: DataFrame) -> DataFrame:
-    """``(doc, sections)`` from ``(doc, analyzeResult)``: one row per document, no shuffle."""
-    return layouts.select("doc", layout_sections(F.col("analyzeResult")).alias("sections"))
+    """``(doc, sections)`` from ``(doc, analyzeResult)``: one row per document, no shuffle.
+
+    A column ``error`` is kept.
+    """
+    kept = [c for c in ("doc", "error") if c in layouts.columns]
+    return layouts.select(*kept, layout_sections(F.col("analyzeResult")).alias("sections"))
 
 
 def explode_sections(documents: DataFrame) -> DataFrame:

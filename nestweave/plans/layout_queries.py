@@ -578,37 +578,48 @@ def section_paths(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(_layout_chunk_sql("""
-SELECT doc_id // 20 AS request, doc_id % 20 AS position, 'd' || doc_id AS "recordId",
-       CASE WHEN source = 'src1' OR d.lang = 'de' THEN NULL
+SELECT doc_id // 20 AS request, doc_id % 20 AS position, 'd' || (doc_id % 7) AS "recordId",
+       CASE WHEN source = 'src1' OR d.lang = 'de' OR source = 'src2' THEN NULL
             ELSE (SELECT count(*) FROM chunks c WHERE c.doc_id = d.doc_id) END AS n_chunks,
        CASE WHEN source = 'src1' THEN 'file_data missing ''data'' or ''url'''
-            WHEN d.lang = 'de' THEN 'no layout result' END AS message
+            WHEN d.lang = 'de' THEN 'no layout result'
+            WHEN source = 'src2' THEN 'layout result is not valid JSON' END AS message
 FROM documents d
 """))
 def response_records(spark: SparkSession, folder: str) -> DataFrame:
-    """Response envelopes through their sink: chunks of good records, errors of others."""
+    """Response envelopes through their sink: chunks of good records, errors of others.
+
+    Record ids repeat within and between requests; some layouts are cut off.
+    """
     documents = table(spark, folder, "documents")
     records = documents.select(
         F.floor(F.col("doc_id") / RECORDS_PER_REQUEST).alias("request"),
         (F.col("doc_id") % RECORDS_PER_REQUEST).alias("position"),
-        F.concat(F.lit("d"), "doc_id").alias("recordId"),
+        F.concat(F.lit("d"), F.col("doc_id") % 7).alias("recordId"),
         F.lit(None).cast("string").alias("data"),
         F.when(F.col("source") != "src1", F.concat(F.lit("https://files.example.com/"), "doc_id")).alias("url"),
         F.lit(None).cast("string").alias("sasToken"),
     )
-    analysed = documents.where("lang <> 'de'").select("doc_id")
-    layouts = _page_layouts(spark, folder).join(analysed, "doc_id", "left_semi")
-    keyed = layouts.select(F.concat(F.lit("d"), "doc_id").alias("key"), "layout")
+    analysed = documents.where("lang <> 'de'").select("doc_id", "source")
+    layouts = _page_layouts(spark, folder).join(analysed, "doc_id")
+    key = F.struct(
+        F.floor(F.col("doc_id") / RECORDS_PER_REQUEST).alias("request"),
+        (F.col("doc_id") % RECORDS_PER_REQUEST).alias("position"),
+    )
+    whole = F.when(F.col("source") == "src2", F.expr("left(layout, length(layout) - 3)")).otherwise(F.col("layout"))
+    keyed = layouts.select(key.alias("key"), whole.alias("layout"))
     chunks = document_chunks(document_sections(parse_layouts(keyed, "key", "layout")))
     path = scratch_dir(spark, "responses")
-    write_responses(response_envelopes(responses(route_payloads(records), chunks)), path)
+    envelopes = response_envelopes(responses(route_payloads(records), chunks))
+    with_request = envelopes.select(F.to_json(F.struct("request", "response")).alias("response"))
+    write_responses(with_request, path)
 
     record = "struct<recordId:string,data:struct<chunks:array<struct<content:string,h1:string>>>,errors:array<struct<message:string>>>"
     values = F.from_json("value", f"values array<{record}>").getField("values")
-    rows = spark.read.text(path).select(F.posexplode(values).alias("position", "r"))
-    number = F.substring("r.recordId", 2, 20).cast("bigint")
+    read = spark.read.schema("request long, response string").json(path)
+    rows = read.withColumnRenamed("response", "value").select("request", F.posexplode(values).alias("position", "r"))
     return rows.select(
-        F.floor(number / RECORDS_PER_REQUEST).alias("request"),
+        "request",
         F.col("position").cast("bigint").alias("position"),
         "r.recordId",
         F.when(F.col("r.data").isNotNull(), F.size("r.data.chunks")).cast("bigint").alias("n_chunks"),

@@ -2,29 +2,22 @@
 
 from __future__ import annotations
 
-import functools
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-@functools.cache
-def _local_root() -> str:
-    return tempfile.mkdtemp(prefix="run-")
-
-
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared ``spark.checkpoint.dir`` of the session.
 
-    Only a local session without that setting falls back to a temporary folder; on a
-    cluster a machine-local folder would be lost with its machine, so it is refused.
+    Only a local session without that setting falls back to its warehouse folder; on a
+    cluster the setting is asked for.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = _local_root()
+        root = spark.conf.get("spark.sql.warehouse.dir")
     return f"{root.rstrip('/')}/nestweave/{name}-{uuid.uuid4().hex}"
 
 

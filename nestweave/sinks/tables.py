@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from nestweave.operators.drift import registry_records
-from nestweave.session import staged
+from nestweave.session import scratch_dir, staged
 
 
 def write_tables(tables: dict[str, DataFrame], root: str, mode: str = "overwrite") -> None:
@@ -50,14 +50,16 @@ def land(fetched: DataFrame, root: str, batch: int) -> None:
     that is run again replaces all it wrote before, and no other.
     """
     ok = F.col("status").eqNullSafe(200).alias("ok")
-    fetched.select("id", "status", "body", ok).write.mode("overwrite").parquet(
+    # tells apart objects of one id in one batch; fixed once written
+    place = F.monotonically_increasing_id().alias("place")
+    fetched.select("id", "status", "body", ok, place).write.mode("overwrite").parquet(
         f"{root}/batch={batch}"
     )
 
 
 def read_landing(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.schema(
-        "id string, status int, body string, ok boolean, batch int"
+        "id string, status int, body string, ok boolean, place long, batch int"
     ).parquet(root)
 
 
@@ -71,23 +73,34 @@ def landing_failures(landing: DataFrame) -> DataFrame:
 
 
 def latest_objects(landing: DataFrame) -> DataFrame:
-    """The newest good body of each id, as if a later object had replaced an earlier one."""
-    return landing.where("ok").groupBy("id").agg(F.max_by("body", "batch").alias("body"))
+    """The newest good body of each id, as if a later object had replaced an earlier one.
+
+    Newest is the last batch and, within it, the last place (a batch landed without places counts
+    as one place). Which one is newest is found without the bodies.
+    """
+    good = landing.where("ok")
+    if "place" not in good.columns:
+        good = good.withColumn("place", F.lit(0).cast("long"))
+    good = good.withColumn("place", F.coalesce("place", F.lit(0).cast("long")))
+    newest = good.groupBy("id").agg(F.max(F.struct("batch", "place")).alias("last"))
+    last = newest.select("id", "last.batch", "last.place")
+    return good.join(last, ["id", "batch", "place"], "left_semi").select("id", "body")
 
 
 def parse_objects(
-    objects: DataFrame, schema: StructType | str | None = None, sampling_ratio: float = 1.0
+    objects: DataFrame, schema: StructType | str | None = None
 ) -> DataFrame:
     """Nested documents from ``body``.
 
-    Without ``schema`` it is inferred from the bodies, in a pass of its own over all of them
-    or over a sample, which may miss rare fields. Give the schema where it is known.
+    Without ``schema`` it is inferred from all bodies, written as lines of text for that pass, so
+    that no field is missed. Give the schema where it is known.
     """
     if schema is None:
-        bodies = objects.select("body")
-        if sampling_ratio < 1.0:
-            bodies = bodies.sample(sampling_ratio, seed=0)
-        schema = objects.sparkSession.read.json(bodies.rdd.map(lambda row: row[0])).schema
+        spark = objects.sparkSession
+        path = scratch_dir(spark, "bodies")
+        lines = F.translate("body", "\r\n", "  ")  # white space between JSON tokens
+        objects.where("body is not null").select(lines).write.text(path)
+        schema = spark.read.json(path).schema
     return objects.select(F.from_json("body", schema).alias("doc")).select("doc.*")
 
 

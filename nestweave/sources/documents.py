@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
@@ -22,6 +22,9 @@ analyzeResult struct<
 """
 
 CORRUPT = "_corrupt_record"
+#: Fixed value: message for a layout that is not valid JSON.
+UNREADABLE = "layout result is not valid JSON"
+_LAYOUT_OR_TEXT = LAYOUT_SCHEMA.replace("\n", " ").strip() + f", {CORRUPT} string"
 NO_INPUT = {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"}
 
 
@@ -30,17 +33,13 @@ def read_documents(
     path: str | list[str],
     schema: StructType | str | None = None,
     multiline: bool = True,
-    sampling_ratio: float | None = None,
 ) -> DataFrame:
     """JSON documents of a folder, one per file, or one per line with ``multiline=False``.
 
     A file is read by one task, so prefer JSON lines for large inputs. Without ``schema``
-    Spark reads the input once more to infer it; ``sampling_ratio`` makes that pass cheaper
-    at the risk of missing rare fields.
+    Spark reads all of the input once more to infer it, so that no field is missed.
     """
     reader = spark.read.option("multiLine", multiline)
-    if sampling_ratio is not None:
-        reader = reader.option("samplingRatio", sampling_ratio)
     if schema is not None:
         reader = reader.schema(schema)
     return reader.json(path)
@@ -85,21 +84,31 @@ def split_unreadable(
 def read_layouts(
     spark: SparkSession, path: str | list[str], multiline: bool = True
 ) -> DataFrame:
-    """Layout results ``(doc, analyzeResult)``, keyed by file path.
+    """Layout results ``(doc, analyzeResult, error)``, keyed by file path.
+
+    ``error`` tells those that are no valid JSON; a valid one without ``analyzeResult`` is an
+    empty document.
 
     The schema is fixed, so there is no inference pass. Polygons stay a VARIANT: malformed
     ones must not turn the whole record to null. With one layout per line, use a key inside
     the record instead of ``doc``.
     """
     return (
-        spark.read.schema(LAYOUT_SCHEMA)
+        spark.read.schema(_LAYOUT_OR_TEXT)
         .option("multiLine", multiline)
+        .option("columnNameOfCorruptRecord", CORRUPT)
         .json(path)
-        .select(F.col("_metadata.file_path").alias("doc"), "analyzeResult")
+        .select(F.col("_metadata.file_path").alias("doc"), "analyzeResult", _error(F.col(CORRUPT)))
     )
 
 
 def parse_layouts(df: DataFrame, doc: str, layout: str) -> DataFrame:
-    """Layout results held as JSON text in a column."""
-    parsed = F.from_json(layout, LAYOUT_SCHEMA.replace("\n", " "))
-    return df.select(F.col(doc).alias("doc"), parsed.getField("analyzeResult").alias("analyzeResult"))
+    """Layout results ``(doc, analyzeResult, error)`` held as JSON text in a column."""
+    parsed = F.from_json(layout, _LAYOUT_OR_TEXT, {"columnNameOfCorruptRecord": CORRUPT})
+    return df.select(F.col(doc).alias("doc"), parsed.alias("parsed")).select(
+        "doc", "parsed.analyzeResult", _error(F.col(f"parsed.{CORRUPT}"))
+    )
+
+
+def _error(corrupt: Column) -> Column:
+    return F.when(corrupt.isNotNull(), UNREADABLE).alias("error")

@@ -3,24 +3,33 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructType
 
 from nestweave.entities import Entity
 from nestweave.operators.normalize import normalize
+from nestweave.session import staged
+from nestweave.sources.documents import CORRUPT
+
+#: Files of a micro-batch at most, unless the caller says otherwise.
+MAX_FILES = 10_000
+#: Folder, beside the tables, of records that are no valid JSON.
+UNREADABLE = "_unreadable"
 
 
 def append_batch(documents: DataFrame, batch: int, entity: Entity, root: str) -> None:
     """Write one micro-batch to all tables, as their folder ``batch=<n>``.
 
     A batch that is repeated after a failure replaces what it wrote before, so no document
-    is stored twice.
+    is stored twice. Records that are no valid JSON go to a folder of their own.
     """
-    documents = documents.persist()
-    try:
-        for name, table in normalize(documents, entity).items():
-            table.write.mode("overwrite").parquet(f"{root}/{name}/batch={batch}")
-    finally:
-        documents.unpersist()
+    documents = staged(documents, f"batch-{batch}")
+    if CORRUPT in documents.columns:
+        broken = documents.where(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("record"))
+        broken.write.mode("overwrite").parquet(f"{root}/{UNREADABLE}/batch={batch}")
+        documents = documents.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    for name, table in normalize(documents, entity).items():
+        table.write.mode("overwrite").parquet(f"{root}/{name}/batch={batch}")
 
 
 def run_incremental(
@@ -31,15 +40,19 @@ def run_incremental(
     root: str,
     checkpoint: str,
     multiline: bool = True,
-    max_files: int | None = None,
+    max_files: int = MAX_FILES,
 ) -> None:
     """Handle all files of ``raw`` not seen before, then stop.
 
     The checkpoint remembers which files are done. ``max_files`` bounds a micro-batch.
     """
-    reader = spark.readStream.schema(schema).option("multiLine", multiline)
-    if max_files is not None:
-        reader = reader.option("maxFilesPerTrigger", max_files)
+    fields = StructType.fromDDL(schema) if isinstance(schema, str) else StructType(list(schema.fields))
+    reader = (
+        spark.readStream.schema(fields.add(CORRUPT, StringType()))
+        .option("columnNameOfCorruptRecord", CORRUPT)
+        .option("multiLine", multiline)
+        .option("maxFilesPerTrigger", max_files)
+    )
     query = (
         reader.json(raw)
         .writeStream.option("checkpointLocation", checkpoint)

@@ -349,8 +349,10 @@ def test_requests_to_responses(spark, tmp_path):
         ("f", b"", None, "Empty PDF bytes passed to di_layout"),
         ("g", b"ab", None, None),
     ]
-    data = [("a", json.dumps({"analyzeResult": markdown(section("é", "H"))})), ("b", "{}")]
-    parsed = parse_layouts(spark.createDataFrame(data, "k string, l string"), "k", "l")
+    request = routed.first()["request"]
+    data = [((request, 0), json.dumps({"analyzeResult": markdown(section("é", "H"))})), ((request, 1), "{}")]
+    data += [((request, 5), '{"analyzeResult": {"pages": [{'), (("another", 0), "{}")]
+    parsed = parse_layouts(spark.createDataFrame(data, "k struct<request:string,position:int>, l string"), "k", "l")
     chunks = document_chunks(document_sections(parsed))
     out = response_envelopes(responses(routed, chunks)).first()["response"]
     assert "é" in out
