@@ -67,7 +67,7 @@ class TextModel:
         many = np.bincount(row, minlength=len(texts))
         scale = np.minimum(1.0, ENOUGH / np.maximum(many, 1))
         sums = [np.bincount(row, weights=p[bucket], minlength=len(texts)) * scale for p in self.log_p]
-        return np.array(sums).T.tolist()
+        return np.array(sums).T.tolist() if sums else [[] for _ in texts]
 
 
 def fit_text_model(docs: DataFrame, text: str = "text", lang: str = "lang") -> TextModel:
