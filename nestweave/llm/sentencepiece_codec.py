@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import functools
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
@@ -36,6 +36,8 @@ CHUNK = 32_768
 #: best path of such a unit can take: its sums are then whole numbers that it adds exactly.
 LONG_UNIT = 64
 LEAST_SCORE = -32_768.0
+#: Units that a worker remembers at most before it starts anew.
+REMEMBERED = 300_000
 BLANK = "▁"
 #: What an unknown character scores below the lowest piece: the library's value.
 UNKNOWN_PENALTY = 10.0
@@ -57,6 +59,7 @@ class Pieces:
     plain: frozenset[str]
     alone: np.ndarray
     library: sentencepiece.SentencePieceProcessor
+    memory: dict[str, list[int]] = field(default_factory=dict)
 
 
 @functools.lru_cache(maxsize=2)
@@ -187,7 +190,7 @@ def _encoded(texts: pa.Array, known: Pieces) -> pa.ListArray:
     """Ids of each text that starts with its leading blank."""
     plain = pc.replace_substring(texts.fill_null(""), BLANK, " ")
     cut = units(plain, only_blank=True, alone=known.alone)
-    ids = best_ids([u.replace(" ", BLANK) for u in cut.distinct], known)
+    ids = _remembered(cut.distinct, known)
     sizes = np.fromiter(map(len, ids), np.int64, len(ids))
     flat = np.fromiter((i for one in ids for i in one), np.int32, int(sizes.sum()))
     begin = np.cumsum(sizes) - sizes
@@ -198,6 +201,15 @@ def _encoded(texts: pa.Array, known: Pieces) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat[at], pa.int32()))
 
 
+def _remembered(blank_units: list[str], known: Pieces) -> list[list[int]]:
+    """Ids of units, of which a worker remembers a bounded number."""
+    if len(known.memory) > REMEMBERED:
+        known.memory.clear()
+    new = [u for u in blank_units if u not in known.memory]
+    known.memory.update(zip(new, best_ids([u.replace(" ", BLANK) for u in new], known), strict=True))
+    return [known.memory[u] for u in blank_units]
+
+
 def _prefixed(texts: pa.Array) -> pa.Array:
     texts = texts.fill_null("")
     return pc.if_else(pc.equal(texts, ""), texts, pc.binary_join_element_wise(" ", texts, ""))
