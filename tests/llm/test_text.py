@@ -1,6 +1,7 @@
 """Operators on texts against brute force, and their edge cases."""
 
 import math
+import random
 import re
 
 import pytest
@@ -143,6 +144,26 @@ def test_quality_model_is_a_distribution(spark):
     assert all(0 < v <= 1 + 1e-4 for v in seen.values())
 
 
+def test_quality_bands_reject_planted_junk(spark):
+    """Junk of symbols and of table rows passes the base rules and leaves the band on either side."""
+    read = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    marks = ["***", "&&&", "%%%", "$$$", "###"]
+    rng = random.Random(4)
+    common = "of the as an is on and this that are".split()
+    symbols = " ".join(rng.choice(common) + rng.choice(marks) for _ in range(600))
+    first = read.where("lang = 'en' and length(text) > 4000").orderBy("doc_id").first()
+    cells = " | ".join(words(first.text)[:500])
+    planted = spark.createDataFrame([(-1, symbols, "en"), (-2, cells, "en")], "doc_id long, text string, lang string")
+    judged = quality.judge_quality(read.unionByName(planted), keep=["doc_id"])
+    found = {r.doc_id: r for r in judged.where("not base_failed").collect()}
+    assert found[-1].log_prob > found[-1].upper and not found[-1].kept
+    assert found[-2].log_prob < found[-2].lower and not found[-2].kept
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet").collect()
+    kept = {q: [found[r.doc_id].kept for r in labels if r.quality == q and r.doc_id in found] for q in (0, 1)}
+    assert kept[0].count(False) >= 0.5 * len(kept[0])
+    assert kept[1].count(True) >= 0.99 * len(kept[1])
+
+
 def test_quality_empty(spark):
     assert quality.judge_quality(spark.createDataFrame([], "doc_id long, text string, lang string")).count() == 0
 
