@@ -33,7 +33,12 @@ SMOOTHNESS = 2.0
 REGION_SCORE = 8.0
 
 # Element names of the markup language by their role.
-SKIPPED = "script|style|noscript|template|svg|math|head|iframe|object|select|textarea|button|canvas|audio|video"
+#: Their text is raw: without an end tag they reach to the end of the page.
+RAW = "script|style|noscript|iframe|textarea"
+#: Their text is not the page's. Any block element also ends the first ones.
+BROKEN_OUT = frozenset(["head", "svg", "math", "select"])
+#: These hide only what stands before an end tag of theirs.
+ENCLOSED = frozenset("template object button canvas audio video".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form"
@@ -55,7 +60,8 @@ CONTENT_WORDS = frozenset("article post entry content story body main mainconten
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    rf"|<(?P<skip>{SKIPPED})(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>.*?(?:</(?P=skip)\s*>|\Z)"
+    rf"|<(?P<skip>{RAW})(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>.*?(?:</(?P=skip)\s*>|\Z)"
+    r"|<title(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>.*?(?:</title\s*>|(?=</head[\s>]|<body[\s>])|\Z)"
     r"|<(?P<end>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
     r"|<[!?/][^>]*(?:>|\Z)|<[a-zA-Z][^>]*(?:>|\Z)",
     re.S | re.I,
@@ -78,6 +84,7 @@ class Element:
     parent: Element | None
     depth: int
     region: int  # 1 in an article, -1 elsewhere, 0 unknown
+    hidden: bool = False
 
 
 @dataclass
@@ -115,9 +122,28 @@ def blocks(page: str) -> list[Block]:
     block = Block(top)
     links = 0
     at = 0
+    last_end: dict[str, int] = {}
+
+    def leave(node: Element) -> None:
+        """End ``node`` and what is open inside it."""
+        nonlocal top, links
+        while top is not node:
+            links -= top.name == "a"
+            top = top.parent
+        links -= node.name == "a"
+        top = node.parent
+
+    def ends_later(name: str) -> bool:
+        if name not in last_end:
+            last_end[name] = max((m.start() for m in re.finditer(rf"</{name}[\s>]", page, re.I)), default=-1)
+        return last_end[name] > at
 
     def add(text: str) -> None:
         nonlocal block
+        if top.name == "head" and not text.isspace():
+            leave(top)  # text is no part of a head
+        if top.hidden:
+            return
         if block.parent is not top:
             block = Block(top)
         if not block.texts:
@@ -156,6 +182,22 @@ def blocks(page: str) -> list[Block]:
             continue
         if name in VOID:
             continue
+        if name in ("svg", "math") and match["rest"].endswith("/"):
+            continue
+        if top.name == "head" and name != "template":
+            leave(top)
+        elif name in BLOCK and top.hidden:
+            node = top
+            while node.parent is not None and node.name not in BROKEN_OUT and node.name not in ENCLOSED:
+                node = node.parent
+            if node.name in BROKEN_OUT:
+                leave(node)
+        elif name == "button":
+            node = top
+            while node.parent is not None and node.name != "button" and node.name not in BLOCK:
+                node = node.parent
+            if node.name == "button":
+                leave(node)
         if name in BLOCK:
             closes = SIBLINGS.get(name, ())
             node = top
@@ -169,7 +211,8 @@ def blocks(page: str) -> list[Block]:
                 node = node.parent
         links += name == "a"
         region = _region(name, match["rest"], top.region)
-        top = Element(name, top, top.depth + 1, region)
+        hidden = top.hidden or name in BROKEN_OUT or name in ENCLOSED and ends_later(name)
+        top = Element(name, top, top.depth + 1, region, hidden)
         if name in BLOCK:
             block = Block(top)
     if at < len(page) and not page[at:].isspace():
@@ -329,7 +372,7 @@ def extract_text(pages: DataFrame, body: str = "html", keep: tuple[str, ...] = (
     ``text`` is the page's main text: content blocks in page order, character references decoded,
     white space inside a block turned into one space, blocks joined by one space. Null, empty
     and text-free pages give an empty text. Broken markup is read as it stands; an open comment or
-    script reaches to the end. Columns named like a result are replaced; repeated rows are
+    element of raw text (script, style, noscript, iframe, textarea) reaches to the end, a head up to what no head has. Columns named like a result are replaced; repeated rows are
     read each.
     """
     weights, intercept = fit_classifier(pages, body)

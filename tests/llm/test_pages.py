@@ -88,6 +88,26 @@ def test_main_text_of_other_pages(spark):
     assert found[3] == odd[3]
 
 
+def test_skipped_elements_end(spark):
+    """Only raw text reaches to the end of a page: not an open head, a closed drawing or an open list of choices."""
+    told = "<p>The first long paragraph of the text, with some words, and more of them.</p><p>And the second one, as long as that.</p>"
+    bodies = [
+        f"<head><title>T</title><meta charset=x><script>a()</script><body>{told}",
+        f"<html><head><title>T</title>{told}",
+        f"<head><title>T<body>{told}",
+        f'<body><svg width="1"/><math />{told}',
+        f"<body><svg><title>no</title><text>no</text></svg><select><option>no</select>{told}",
+        f"<body><svg><path>{told}",
+        f"<body><div><button><div>no</div></button><select><option>no</div>{told}",
+        f"<body><video src=x>{told}",
+        f"<body>{told}<textarea>no",
+    ]
+    frame = spark.createDataFrame([(k, "", b) for k, b in enumerate(bodies)], "page_id long, url string, html string")
+    found = [r.text for r in html_text.extract_text(frame).orderBy("page_id").collect()]
+    expected = "The first long paragraph of the text, with some words, and more of them. And the second one, as long as that."
+    assert found == [expected] * len(bodies)
+
+
 def test_languages(spark, tables):
     odd = [(-1, None, None), (-2, "http://a.de/x", "<p></p>"), (-3, "http://zz.example.com", '<html lang="fr"><body></body>')]
     pages = tables["pages"].unionByName(spark.createDataFrame(odd, "page_id long, url string, html string"))
