@@ -29,8 +29,12 @@ from nestweave.llm.words import slices
 SAMPLE_PAGES = 1000
 #: Weight of an edge between blocks under one parent; halved for each step between parents.
 SMOOTHNESS = 2.0
-#: What the markup's own word on a region adds to a block's score.
-REGION_SCORE = 8.0
+#: The classifier's word counts up to this.
+LEARNED_SCORE = 4.0
+#: What the markup's own word adds to a block's score: in an article, less than a sure classifier;
+#: in other regions, less than a sure classifier and two edges between siblings.
+ARTICLE_SCORE = 3.0
+OTHER_SCORE = 4.25
 
 # Element names of the markup language by their role.
 #: Their text is raw: without an end tag they reach to the end of the page.
@@ -83,7 +87,7 @@ class Element:
     name: str
     parent: Element | None
     depth: int
-    region: int  # 1 in an article, -1 elsewhere, 0 unknown
+    region: int  # what it says itself: 1 an article, -1 not, 0 nothing
     hidden: bool = False
 
 
@@ -99,20 +103,58 @@ class Block:
     region: int = 0
 
 
-def _region(name: str, rest: str, outer: int) -> int:
-    if outer < 0:
-        return -1
+def _region(name: str, rest: str) -> int:
+    """What an element says of its own region."""
     words = set()
     if "=" in rest:
         for match in _NAMED.finditer(rest):
             words.update(_WORD.findall((match[1] or match[2] or match[3] or "").lower()))
     if name in OTHER_REGION or _HIDDEN.search(rest):
         return -1
-    if words & OTHER_WORDS and not (name in CONTENT_REGION or name in ("body", "html")):
-        return -1
-    if name in CONTENT_REGION or words & CONTENT_WORDS and name in ("div", "section"):
-        return 1
-    return -1 if name == "header" and outer == 0 else outer
+    other = bool(words & OTHER_WORDS) and name not in ("body", "html")
+    if name in CONTENT_REGION:
+        return 0 if other else 1
+    content = bool(words & CONTENT_WORDS) and name in ("div", "section")
+    # names of both kinds say nothing
+    return -1 if name == "header" and not content else content - other
+
+
+def _settle(found: list[Block]) -> None:
+    """Give each block its region: that of the nearest element that names one.
+
+    An element that names another region than the article but holds most of the page's text,
+    and no article besides it has text, is a wrapper and names none (pages inside a form, say). An article
+    inside another region counts as unknown.
+    """
+    held: dict[int, int] = {}
+    named: dict[int, int] = {}
+    total = articles = 0
+    for block in found:
+        size = block.chars - block.linked
+        total += size
+        node, inside = block.parent, False
+        while node is not None:
+            inside |= node.region > 0
+            node = node.parent
+        articles += size * inside
+        node = block.parent
+        while node is not None:
+            held[id(node)] = held.get(id(node), 0) + size
+            named[id(node)] = named.get(id(node), 0) + size * inside
+            node = node.parent
+
+    def wraps(node: Element) -> bool:
+        return 2 * held[id(node)] > total and named[id(node)] == articles
+
+    for block in found:
+        says, node = 0, block.parent
+        while node is not None:
+            if node.region < 0 and not wraps(node):
+                says = -1 if says <= 0 else 0
+                break
+            says = says or max(0, node.region)
+            node = node.parent
+        block.region = says
 
 
 def blocks(page: str) -> list[Block]:
@@ -210,13 +252,14 @@ def blocks(page: str) -> list[Block]:
                     top = node.parent
                 node = node.parent
         links += name == "a"
-        region = _region(name, match["rest"], top.region)
+        region = _region(name, match["rest"])
         hidden = top.hidden or name in BROKEN_OUT or name in ENCLOSED and ends_later(name)
         top = Element(name, top, top.depth + 1, region, hidden)
         if name in BLOCK:
             block = Block(top)
     if at < len(page) and not page[at:].isspace():
         add(page[at:])
+    _settle(out)
     return _merged(out)
 
 
@@ -231,7 +274,7 @@ def _merged(found: list[Block]) -> list[Block]:
     out: list[Block] = []
     for block in found:
         parent = holder(block.parent)
-        region = block.parent.region
+        region = block.region
         if out and out[-1].parent is parent and (region < 0) == (out[-1].region < 0):
             last = out[-1]
             last.texts += block.texts
@@ -239,7 +282,7 @@ def _merged(found: list[Block]) -> list[Block]:
             last.linked += block.linked
             last.marks += block.marks
         else:
-            block.parent, block.region = parent, region
+            block.parent = parent
             out.append(block)
     return out
 
@@ -336,8 +379,9 @@ def main_text(page: str, weights: np.ndarray, intercept: float) -> str:
     found = blocks(page)
     if not found:
         return ""
-    learned = np.clip(np.array([features(b) for b in found]) @ weights + intercept, -4.0, 4.0)
-    scores = [float(s) + REGION_SCORE * b.region for s, b in zip(learned, found, strict=True)]
+    learned = np.clip(np.array([features(b) for b in found]) @ weights + intercept, -LEARNED_SCORE, LEARNED_SCORE)
+    named = {1: ARTICLE_SCORE, 0: 0.0, -1: -OTHER_SCORE}
+    scores = [float(s) + named[b.region] for s, b in zip(learned, found, strict=True)]
     kept = content_side(scores, edges(found))
     texts = (" ".join(html.unescape("".join(b.texts)).split()) for b, k in zip(found, kept, strict=True) if k)
     return " ".join(t for t in texts if t)

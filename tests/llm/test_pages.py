@@ -108,6 +108,29 @@ def test_skipped_elements_end(spark):
     assert found == [expected] * len(bodies)
 
 
+def test_regions_can_be_outweighed(spark):
+    """Markup that names a region wrongly does not decide, and a wrapper of the whole page names none."""
+    first = "The first paragraph goes on for quite a while, with several words, marks, and nothing else in it. " * 4
+    second = "The second one, which is as long as the first, tells the rest of the story; it ends here. " * 4
+    told = f"<p>{first}</p><p>{second}</p>"
+    menu = "<ul class=menu><li><a href=1>Home</a></li><li><a href=2>About</a></li></ul>"
+    links = "".join(f"<li><a href={k}>Link {k}</a></li>" for k in range(8))
+    bodies = [
+        f"<form id=aspnetForm>{menu}<div>{told}</div><div class=footer>Imprint</div></form>",
+        f"<div class='content has-sidebar'>{menu}{told}</div>",
+        f"{menu}<div class='share-wrapper'>{told}</div><footer>Imprint</footer>",
+        f"{menu}<div class='sidebar'><article>{told}</article></div><footer>Imprint</footer>",
+        f"{menu}<article><p>{first}</p><ul>{links}</ul><p>{second}</p></article>",
+        f"{menu}<article>{told}</article><div class=comments><p>{first.upper()}</p></div>",
+        f"{menu}<article><p>{first}</p><p class=alert>{second * 2}</p><p>{first}</p></article>",
+    ]
+    frame = spark.createDataFrame([(k, "", f"<body>{b}</body>") for k, b in enumerate(bodies)], "page_id long, url string, html string")
+    pages = spark.read.parquet(f"{FOLDER}/pages.parquet").unionByName(frame.withColumn("page_id", -1 - frame["page_id"]))
+    found = [r.text for r in html_text.extract_text(pages).where("page_id < 0").orderBy("page_id", ascending=False).collect()]
+    assert found[:-1] == [" ".join(f"{first} {second}".split())] * (len(bodies) - 1)
+    assert found[-1] == " ".join(f"{first} {second * 2} {first}".split())
+
+
 def test_languages(spark, tables):
     odd = [(-1, None, None), (-2, "http://a.de/x", "<p></p>"), (-3, "http://zz.example.com", '<html lang="fr"><body></body>')]
     pages = tables["pages"].unionByName(spark.createDataFrame(odd, "page_id long, url string, html string"))
