@@ -24,6 +24,29 @@ LEAST_SCORE = 0.6
 #: Positions are summed in blocks of so many spans.
 _BLOCK = 128
 
+#: Characters of an account number after its country and check digits, by country.
+ACCOUNT_LENGTHS = {
+    11: "NO",
+    12: "BE",
+    14: "DK FI FK FO GL NL SD",
+    15: "MK SI",
+    16: "AT BA EE KZ LT LU MN XK",
+    17: "CH CR HR LI LV",
+    18: "BG BH DE GB GE IE ME RS",
+    19: "AE GI IL IQ OM SO TL",
+    20: "AD CZ ES MD PK RO SA SE SK TN VG",
+    21: "LY PT ST",
+    22: "IS TR",
+    23: "BI DJ FR GR IT MC MR SM",
+    24: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+    25: "BR EG PS QA UA",
+    26: "JO KW MU YE",
+    27: "MT SC",
+    29: "RU",
+    28: "LC",
+}
+_ACCOUNT = "|".join(f"(?:{'|'.join(c.split())})[0-9]{{2}}(?: ?[A-Z0-9]){{{n}}}" for n, c in ACCOUNT_LENGTHS.items())
+
 _BYTE = "0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]{1,2})"
 
 
@@ -114,7 +137,8 @@ KINDS = (
     ),
     Kind(
         "iban",
-        r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])",
+        # by the country's length; else (a country that is not listed) up to where capitals and digits end
+        rf"(?<![A-Za-z0-9])(?:{_ACCOUNT}|[A-Z]{{2}}[0-9]{{2}}(?: ?[A-Z0-9]){{11,30}})(?![A-Za-z0-9])",
         _mod_97,
         0.2,
         0.6,

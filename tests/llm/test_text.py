@@ -90,6 +90,24 @@ def test_checked_numbers_and_masks(spark):
     assert masked[3:] == [None, "", "nothing"]
 
 
+def test_account_numbers_before_other_capitals(spark):
+    texts = {
+        "IBAN DE89 3704 0044 0532 0130 00 BIC COBADEFF": (5, 32),
+        "IBAN DE89 3704 0044 0532 0130 00 12 EUR": (5, 32),
+        "GB82WEST12345698765432 AND NO9386011117947": (0, 22),
+        "pay DE89370400440532013000, thanks": (4, 26),
+        "NO93 8601 1117 947 BIC DNBANOKK": (0, 18),
+        "MT84 MALT 0110 0001 2345 MTLC AST0 01S 2024 EUR": (0, 38),
+        "XX89 3704 0044 0532 0130 00 BIC": None,
+    }
+    frame = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string")
+    found = [[tuple(s)[:2] for s in r.pii.iban] for r in find_personal_data(frame).orderBy("doc_id").collect()]
+    assert [f[:1] for f in found] == [[e] if e else [] for e in texts.values()]
+    assert found[2] == [(0, 22), (27, 42)]
+    masked = mask_personal_data(frame).orderBy("doc_id").first().text
+    assert masked == "IBAN [IBAN] BIC COBADEFF"
+
+
 def test_many_spans(spark):
     text = "a@b.co " * 1000 + "é 10.0.0.1"
     row = find_personal_data(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
