@@ -82,6 +82,7 @@ class Items:
         bits = _bits(value)
         sizes: dict[int, list[int]] = {}
         prints = np.zeros(len(ids), np.uint64)
+        self.mass = np.zeros(len(ids), np.int64)  # weight of all shingles
         for item in range(len(ids)):
             size = int(found.counts[item])
             if 0 < size < SHINGLE:
@@ -90,9 +91,12 @@ class Items:
             elif size:
                 mine = slice(*np.searchsorted(row, [item, item + 1]))
                 self.sets[item] = value[mine], weight[mine]
+                self.mass[item] = weight[mine].sum()
                 sums = (bits[mine] * weight[mine][:, None]).sum(axis=0)
                 prints[item] = _print(sums[None], weight[mine].sum()[None])[0]
                 sizes.setdefault(size, []).append(item)
+        #: Shingles of the largest item.
+        self.largest = max(sizes, default=0) - SHINGLE + 1
         for size, members in sizes.items():
             own = prints[members]
             parts = own.astype("<u8").view(np.uint8).reshape(-1, 8)
@@ -178,6 +182,32 @@ def _similar(row, value, weight, hit, items: Items, threshold: float) -> Iterato
                 similarity = done[key]
                 if similarity >= threshold:
                     yield start, item, similarity, size
+    yield from _similar_whole(row, value, weight, total, known, items, threshold)
+
+
+def _similar_whole(row, value, weight, total, known, items: Items, threshold: float) -> Iterator[tuple]:
+    """The same for texts with fewer words than an item: the whole text is the item's window.
+
+    A text that can reach the threshold has that share of the item's weight at least, and the item that
+    of the text's.
+    """
+    if not len(row):
+        return
+    heads = np.flatnonzero(np.concatenate(([True], row[1:] != row[:-1])))
+    ends = np.append(heads[1:], len(row))
+    some = (known[ends] - known[heads] >= threshold * (total[ends] - total[heads])) & (ends - heads < items.largest)
+    for start, end in zip(heads[some].tolist(), ends[some].tolist(), strict=True):
+        span, mass = slice(start, end), int(total[end] - total[start])
+        code = _print((weight[span] @ _bits(value[span]))[None], np.array([mass]))[0]
+        for size, (members, prints, _) in items.by_size.items():
+            if size - SHINGLE + 1 <= end - start:
+                continue
+            fits = items.mass[members] * threshold <= mass
+            close = fits & (mass * threshold <= items.mass[members]) & (np.bitwise_count(prints ^ code) <= RADIUS)
+            for item in members[close].tolist():
+                similarity = weighted_similarity(items.sets[item], (value[span], weight[span]))
+                if similarity >= threshold:
+                    yield start, item, similarity, end - start + SHINGLE - 1
 
 
 def _blocks(benchmark: DataFrame, id: str, text: str) -> Iterator[tuple[list, pa.Array]]:
@@ -205,7 +235,7 @@ def benchmark_matches(
 ) -> DataFrame:
     """A row (doc_id, item_id, similarity, word, n_words) for each item that a document holds.
 
-    An item is held if some window of as many words is similar to it at ``threshold`` or more:
+    An item is held if some window of as many words (of fewer, the whole text) is similar to it at ``threshold`` or more:
     shared over joint weight of the multisets of 5-word shingles, weighted by their length in
     bytes. ``word`` is the first such word of the best window, from 0. An item of fewer than five
     words is held where it stands word for word; an item without words nowhere. Null texts are

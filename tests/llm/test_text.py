@@ -307,3 +307,15 @@ def test_benchmark_matches(spark):
     assert {(r.word, r.n_words, r.similarity) for r in found if r.doc_id == 10} == {(2, 20, 1.0)}
     nothing = spark.createDataFrame([], "item_id long, text string")
     assert benchmark_matches(spark.createDataFrame(rows, "doc_id long, text string"), nothing).count() == 0
+
+
+def test_benchmark_items_in_shorter_texts(spark):
+    item = [f"w{k}" for k in range(40)]
+    items = spark.createDataFrame([(1, " ".join(item)), (2, "two words"), (5, " ".join(item))], "item_id long, text string")
+    rows = [(1, item[1:]), (2, item[1:10]), (3, item[:-3]), (4, ["so"]), (5, []), (6, item[9:] + ["x", "y", "z"]), (None, item[2:])]
+    found = benchmark_matches(spark.createDataFrame([(i, " ".join(t)) for i, t in rows], "doc_id long, text string"), items).collect()
+    expected = {(i, k, 0, n) for i, n in ((1, 39), (3, 37), (None, 38)) for k in (1, 5)}
+    assert {(r.doc_id, r.item_id, r.word, r.n_words) for r in found} == expected
+    assert all(0.9 < r.similarity < 1 for r in found if r.doc_id == 1)
+    empty = spark.createDataFrame([(1, "none of these")], "doc_id long, text string")
+    assert benchmark_matches(empty, items).count() == 0
