@@ -1,15 +1,18 @@
 """Toxicity by the nearest labelled examples under exact TF-IDF cosine.
 
-Terms are words in lower case and the stems of longer words (their first bytes), chosen by
-chi-squared on a bounded sample of labelled documents; their document counts cover all documents. Examples are indexed by term: postings in blocks of examples with the largest
-weight of each block. A query visits blocks by their bound, the sum of its weights times the
-blocks' largest, until no bound reaches the k-th best similarity: the neighbours are exact.
+Terms are words in lower case and the stems of longer words (their first bytes), all those of a bounded
+sample of labelled documents; their document counts cover all documents. A term's TF-IDF weight is
+multiplied by how strongly it goes with a class (the phi coefficient, chi-squared by the sample's size, so that
+the size is no switch) plus a floor, so that no term is dropped. Terms that no example has lengthen a text's
+vector. Examples are indexed by term: frequent terms as a dense matrix in single precision, the others as
+postings. What comes near the k-th best sum is summed again in double precision: the neighbours are exact.
 Neighbours vote with their similarity, weighted to the classes' true sizes, so that a score is the
 share of toxic documents among comparable ones.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -23,12 +26,14 @@ from nestweave.llm.words import mix, slices, text_bytes, words
 
 #: Labelled documents of each class that the index is fitted on at most, the first by a hash of the id.
 SAMPLE = 4096
-#: Terms at most, the least chi-squared of a term, and the fewest toxic examples that have it.
-TERMS = 512
-LEAST_CHI = 60.0
-LEAST_EXAMPLES = 5
+#: Weight of a term that goes with neither class.
+FLOOR = 0.01
 NEIGHBOURS = 25
-BLOCK = 64
+#: Terms of a larger share of the examples are kept as a dense matrix; texts that meet it at a time.
+DENSE_SHARE = 1 / 16
+TEXTS = 64
+#: Share by which sums of single precision may be off.
+MARGIN = 1e-3
 THRESHOLD = 0.3
 #: Weight of the classes' overall share in a vote.
 PRIOR_WEIGHT = 0.1
@@ -64,15 +69,21 @@ class Known:
         self.maybe = np.zeros(int(_LOW) + 1, bool)
         self.maybe[self.keys & _LOW] = True
 
-    def find(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Row, term and how often it occurs, by row and term."""
+    def find(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Row, term and how often it occurs, by row and term; row and number of each other term."""
         row, key = _terms(texts)
         some = self.maybe[key & _LOW]
-        row, key = row[some], key[some]
-        some = np.isin(key, self.keys)
-        place = row[some] * (len(self.keys) + 1) + np.searchsorted(self.keys, key[some])
+        at = np.searchsorted(self.keys, key[some])
+        known = np.zeros(len(key), bool)
+        known[some] = self.keys[np.minimum(at, len(self.keys) - 1)] == key[some] if len(self.keys) else False
+        place = row[known] * (len(self.keys) + 1) + at[known[some]]
         place, n = np.unique(place, return_counts=True)
-        return place // (len(self.keys) + 1), place % (len(self.keys) + 1), n
+        row, key = row[~known], key[~known]
+        order = np.lexsort((key, row))
+        row, key = row[order], key[order]
+        new = np.flatnonzero(np.concatenate(([True], (row[1:] != row[:-1]) | (key[1:] != key[:-1])))) if len(row) else row
+        times = np.diff(np.append(new, len(row)))
+        return place // (len(self.keys) + 1), place % (len(self.keys) + 1), n, row[new], times
 
 
 @dataclass
@@ -83,53 +94,88 @@ class Example:
     weights: np.ndarray
 
 
+def _ranges(begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """The integers of all the ranges."""
+    size = end - begin
+    return np.repeat(begin - np.cumsum(size) + size, size) + np.arange(size.sum())
+
+
 class Index:
-    """Postings of the examples by term, in blocks, with each block's largest weight."""
+    """The examples by term: a dense matrix of frequent terms, postings of the others."""
 
     def __init__(self, examples: list[Example], terms: int):
-        # similar examples stand together, so that bounds are tight
-        order = sorted(examples, key=lambda e: (tuple(e.terms[np.argsort(-e.weights, kind="stable")][:2]), e.doc_id))
+        order = sorted(examples, key=lambda e: e.doc_id)
         self.ids = np.array([e.doc_id for e in order], np.int64)
         self.toxic = np.array([e.toxic for e in order], np.int64)
-        self.blocks = -(-len(order) // BLOCK)
         sizes = [len(e.terms) for e in order]
-        example = np.repeat(np.arange(len(order)), sizes)
-        term = np.concatenate([e.terms for e in order]) if order else np.zeros(0, np.int64)
-        weight = np.concatenate([e.weights for e in order]) if order else np.zeros(0)
-        by = np.lexsort((example, term))
-        self.example, self.weight = example[by], weight[by]
-        place = term[by] * max(1, self.blocks) + self.example // BLOCK
-        self.begin = np.searchsorted(place, np.arange(terms * max(1, self.blocks) + 1)).reshape(-1)
-        self.largest = np.zeros(terms * max(1, self.blocks))
-        np.maximum.at(self.largest, place, self.weight)
-        self.largest = self.largest.reshape(terms, max(1, self.blocks))
+        # as given, by example
+        self.first = np.concatenate(([0], np.cumsum(sizes))).astype(np.int64)
+        self.terms = np.concatenate([e.terms for e in order]).astype(np.int32) if order else np.zeros(0, np.int32)
+        self.weights = np.concatenate([e.weights for e in order]) if order else np.zeros(0)
+        self.build(terms)
+
+    def __getstate__(self):
+        """What was given; what follows from it is several times as large and built where it is used."""
+        return self.ids, self.toxic, self.first, self.terms, self.weights, len(self.column)
+
+    def __setstate__(self, state):
+        self.ids, self.toxic, self.first, self.terms, self.weights, terms = state
+        self.build(terms)
+
+    def build(self, terms: int) -> None:
+        """The examples by term."""
+        example = np.repeat(np.arange(len(self.ids)), np.diff(self.first))
+        by = np.lexsort((example, self.terms))
+        self.example, self.weight = example[by], self.weights[by]
+        self.begin = np.searchsorted(self.terms[by], np.arange(terms + 1))
+        frequent = np.flatnonzero(np.diff(self.begin) > DENSE_SHARE * len(self.ids))
+        self.column = np.full(terms, -1)
+        self.column[frequent] = np.arange(len(frequent))
+        self.dense = np.zeros((len(frequent), len(self.ids)), np.float32)
+        at = _ranges(self.begin[frequent], self.begin[frequent + 1])
+        self.dense[np.repeat(np.arange(len(frequent)), np.diff(self.begin)[frequent]), self.example[at]] = self.weight[at]
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int) -> list[tuple[float, int]]:
         """The ``k`` most similar examples as (similarity, place); equal ones by id."""
-        if not self.blocks:
-            return []
-        bounds = weights @ self.largest[terms]
-        best: list[tuple[float, int, int]] = []
-        for block in np.argsort(-bounds, kind="stable").tolist():
-            if bounds[block] <= 0 or len(best) == k and bounds[block] < -best[-1][0] - 1e-12:
-                break
-            sums = np.zeros(BLOCK)
-            for term, weight in zip(terms.tolist(), weights.tolist(), strict=True):
-                cell = term * self.blocks + block
-                at = slice(self.begin[cell], self.begin[cell + 1])
-                sums[self.example[at] - block * BLOCK] += weight * self.weight[at]
-            hits = np.flatnonzero(sums > 0)
-            best += [(-float(sums[h]), int(self.ids[block * BLOCK + h]), int(block * BLOCK + h)) for h in hits]
-            best = sorted(best)[:k]
-        return [(-s, place) for s, _, place in best]
-
-
-def _vectors(texts: pa.Array, known: Known, idf: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Terms and unit-length weights of each text."""
-    row, term, n = known.find(texts)
-    weight = (1 + np.log(n)) * idf[term]
-    norm = np.sqrt(np.bincount(row, weights=weight**2, minlength=len(texts)))
-    weight = weight / norm[row]
+        return self.nearest_of([(terms, weights)], k)[0]
+
+    def nearest_of(self, vectors: list[tuple[np.ndarray, np.ndarray]], k: int) -> list[list[tuple[float, int]]]:
+        """The same for each vector."""
+        if not len(self.ids):
+            return [[] for _ in vectors]
+        out = []
+        full = np.zeros(len(self.column))
+        for first in range(0, len(vectors), TEXTS):
+            some = vectors[first : first + TEXTS]
+            asked = np.zeros((len(some), len(self.dense)), np.float32)
+            for k_, (terms, weights) in enumerate(some):
+                column = self.column[terms]
+                asked[k_, column[column >= 0]] = weights[column >= 0]
+            for sums, (terms, weights) in zip(asked @ self.dense, some, strict=True):
+                rare = self.column[terms] < 0
+                begin, end = self.begin[terms[rare]], self.begin[terms[rare] + 1]
+                at = _ranges(begin, end)
+                more = np.bincount(self.example[at], np.repeat(weights[rare], end - begin) * self.weight[at], len(self.ids))
+                about = sums + more
+                least = np.partition(about, -k)[-k] if k < len(about) else 0.0
+                near = np.flatnonzero((about > 0) & (about >= least * (1 - MARGIN)))
+                full[terms] = weights
+                begin, end = self.first[near], self.first[near + 1]
+                at = _ranges(begin, end)
+                exact = np.bincount(np.repeat(np.arange(len(near)), end - begin), full[self.terms[at]] * self.weights[at], len(near))
+                full[terms] = 0.0
+                best = np.lexsort((near, -exact))[:k]
+                out.append(list(zip(exact[best].tolist(), near[best].tolist(), strict=True)))
+        return out
+
+
+def _vectors(texts: pa.Array, known: Known, weight_of: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Terms and weights of each text, of unit length with the terms that no example has."""
+    row, term, n, other, times = known.find(texts)
+    weight = (1 + np.log(n)) * weight_of[term]
+    squares = np.bincount(row, weights=weight**2, minlength=len(texts))
+    squares = squares + np.bincount(other, weights=((1 + np.log(times)) * weight_of[-1]) ** 2, minlength=len(texts))
+    weight = weight / np.sqrt(squares)[row]
     bounds = np.searchsorted(row, np.arange(len(texts) + 1))
     for a, b in zip(bounds, bounds[1:], strict=False):
         yield term[a:b], weight[a:b]
@@ -140,24 +186,20 @@ class Scorer:
 
     def __init__(self, known: Known, idf: np.ndarray, index: Index, shares: tuple[float, float], overall: float):
         self.known, self.idf, self.index, self.shares, self.overall = known, idf, index, shares, overall
-        self.done: dict[bytes, tuple[float, str]] = {}
 
     def scores(self, texts: pa.Array) -> list[tuple[float, str]]:
-        out = []
-        for terms, weights in _vectors(texts, self.known, self.idf):
-            key = terms.tobytes() + weights.tobytes()
-            if key not in self.done:
-                if len(self.done) > 100_000:
-                    self.done.clear()
-                self.done[key] = self.vote(terms, weights)
-            out.append(self.done[key])
-        return out
-
-    def vote(self, terms: np.ndarray, weights: np.ndarray) -> tuple[float, str]:
+        vectors = list(_vectors(texts, self.known, self.idf))
+        # copies are looked up once
+        places: dict[bytes, int] = {}
+        which = [places.setdefault(hashlib.sha256(t.tobytes() + w.tobytes()).digest(), len(places)) for t, w in vectors]
+        once = [vectors[i] for i in np.unique(np.array(which, np.int64), return_index=True)[1]]
+        found = [self.vote(t, near) for (t, _), near in zip(once, self.index.nearest_of(once, NEIGHBOURS), strict=True)]
+        return [found[k] for k in which]
+
+    def vote(self, terms: np.ndarray, near: list[tuple[float, int]]) -> tuple[float, str]:
         """Weighted share of toxic neighbours, and the first neighbours by id and similarity."""
         if not len(terms):
             return self.shares[1] * self.index_free, ""
-        near = self.index.nearest(terms, weights, NEIGHBOURS)
         for_, all_ = PRIOR_WEIGHT * self.overall * min(self.shares), PRIOR_WEIGHT * min(self.shares)
         for similarity, place in near:
             share = self.shares[self.index.toxic[place]]
@@ -193,9 +235,10 @@ def fit(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "tex
     # at most 8192 ids
     examples = stage(plain.join(F.broadcast(stage(sample, "sample")), "doc_id"), "examples")
     counts = {r["toxic"]: r["count"] for r in examples.groupBy("toxic").count().collect()}
-    known, chosen = _choose_terms(examples, counts.get(1, 0), counts.get(0, 0))
-    total, idf = _document_counts(plain, known)
-    idf = np.log((1 + total) / (1 + idf)) + 1
+    known, strength = _weigh_terms(examples, counts.get(1, 0), counts.get(0, 0))
+    total, held = _document_counts(plain, known)
+    # the last entry is for terms that no example has
+    idf = (np.log((1 + total) / (1 + np.append(held, 0.0))) + 1) * np.append(FLOOR + strength, FLOOR)
     shared = docs.sparkSession.sparkContext.broadcast((known, idf))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -212,7 +255,13 @@ def fit(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "tex
             )
 
     vectors = examples.mapInArrow(run, "doc_id long, toxic int, terms array<long>, weights array<double>")
-    rows = [Example(r[0], r[1], np.array(r[2], np.int64), np.array(r[3])) for r in vectors.toLocalIterator()]
+    rows = []
+    for batch in vectors.toArrow().to_batches():
+        ids, toxic, terms, weights = batch.columns
+        ends = terms.offsets.to_numpy()
+        values = terms.values.to_numpy(), weights.values.to_numpy()
+        for k, (a, b) in enumerate(zip(ends, ends[1:], strict=False)):
+            rows.append(Example(ids[k].as_py(), toxic[k].as_py(), values[0][a:b], values[1][a:b]))
     # how many documents an example of either class stands for
     shares = tuple(sizes.get(c, 0) / counts[c] if counts.get(c) else 0.0 for c in (0, 1))
     everything = sum(sizes.values())
@@ -225,8 +274,8 @@ def fit(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "tex
     return scorer
 
 
-def _choose_terms(examples: DataFrame, toxic: int, other: int) -> tuple[Known, int]:
-    """The terms that set toxic examples most apart."""
+def _weigh_terms(examples: DataFrame, toxic: int, other: int) -> tuple[Known, np.ndarray]:
+    """All terms of the examples, and how strongly each goes with a class, from 0 to 1."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
@@ -246,10 +295,11 @@ def _choose_terms(examples: DataFrame, toxic: int, other: int) -> tuple[Known, i
     c, d = F.lit(float(toxic)) - F.col("a"), F.lit(float(other)) - F.col("b")
     n = float(toxic + other)
     chi = F.try_divide(n * (F.col("a") * d - F.col("b") * c) ** 2, (F.col("a") + F.col("b")) * (c + d) * float(toxic) * float(other))
-    marked = (F.col("a") * float(other) > F.col("b") * float(toxic)) & (F.col("a") >= LEAST_EXAMPLES)
-    top = counted.where(marked).withColumn("chi", chi).where(F.col("chi") >= LEAST_CHI).orderBy(F.desc("chi"), "key").limit(TERMS)
-    keys = np.array([r["key"] for r in top.collect()], np.int64).view(np.uint64)
-    return Known(keys), len(keys)
+    # less what chance alone gives
+    phi = F.sqrt(F.greatest(F.lit(0.0), F.coalesce(chi, F.lit(0.0)) - 1) / n) if n else F.lit(0.0)
+    table = counted.select("key", phi.alias("phi")).toArrow()
+    keys = table.column("key").to_numpy().view(np.uint64)
+    return Known(keys), table.column("phi").to_numpy()[np.argsort(keys)]
 
 
 def _document_counts(docs: DataFrame, known: Known) -> tuple[int, np.ndarray]:
@@ -261,12 +311,13 @@ def _document_counts(docs: DataFrame, known: Known) -> tuple[int, np.ndarray]:
         for batch in slices(batches, "text"):
             n += np.bincount(shared.value.find(batch.column("text"))[1], minlength=len(n))
             total += batch.num_rows
-        yield pa.RecordBatch.from_arrays([pa.array([-1, *range(len(n))], pa.int64()), pa.array([total, *n], pa.int64())], ["term", "n"])
+        seen = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(-1, seen)), pa.array(np.append(total, n[seen]))], ["term", "n"])
 
     counted = docs.select("text").mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
     out = np.zeros(len(known.keys) + 1)
-    for term, n in counted.collect():
-        out[term + 1] = n
+    table = counted.toArrow()
+    out[table.column("term").to_numpy() + 1] = table.column("n").to_numpy()
     return int(out[0]), out[1:]
 
 

@@ -166,6 +166,28 @@ def test_toxicity(spark):
     assert {r.score for r in none} == {0.0}
 
 
+def test_toxicity_of_small_samples_and_rare_insults(spark):
+    """Few examples, and an insult that few of many have, are enough."""
+
+    def scored(n, rare):
+        insults = ["moron", *[f"insult{j}" for j in range(rare)]]
+        rows, labels = [], []
+        for k in range(n):
+            filler = [f"w{(k * 7 + j * j) % 97}" for j in range(40)]
+            if k % 4 == 0:
+                filler[::10] = [insults[k // 4 % len(insults)]] * 4
+            rows.append((k, " ".join(filler)))
+            labels.append((k, int(k % 4 == 0)))
+        docs = spark.createDataFrame(rows, "doc_id long, text string")
+        found = toxicity.score_toxicity(docs, spark.createDataFrame(labels, "doc_id long, toxic int")).collect()
+        tested = [r for r in found if r.held_out]
+        return [sum(r.predicted == (r.doc_id % 4 == 0) for r in tested if (r.doc_id % 4 == 0) == t) / sum((r.doc_id % 4 == 0) == t for r in tested) for t in (True, False)]
+
+    for n, rare in ((60, 0), (1000, 40)):
+        toxic, clean = scored(n, rare)
+        assert toxic >= 0.8 and clean >= 0.9, (n, toxic, clean)
+
+
 def test_nearest_examples_are_exact():
     rng = np.random.default_rng(2)
     examples = []
