@@ -32,31 +32,29 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, the one with the smallest id.
 
     Rows that repeat a document's id count as copies of it: one of them stays, the first by text and
-    the other columns. Rows without an id stay unless a document with an id is their copy, and
-    equal ones once.
+    the other columns. Rows without an id get ids after all others for this stage, in a written column, so
+    that they are compared like the rest and go if a document with an id is their copy; equal ones stay once.
     """
-    groups = near_duplicates(docs)
-    gone = groups.where("not kept").select("doc_id").distinct()
-    anonymous = docs.where("doc_id is null")
     ids = docs.where("doc_id is not null")
-    left = ids.join(gone.where("doc_id is not null"), "doc_id", "left_anti")
+    anonymous = docs.where("doc_id is null").dropDuplicates(["text"])
+    last = None
+    if not anonymous.isEmpty():
+        last = max(-1, ids.agg(F.coalesce(F.max("doc_id"), F.lit(-1))).first()[0])
+        named = stage(anonymous.withColumn("doc_id", F.lit(last + 1) + F.monotonically_increasing_id()), "anonymous")
+        ids = ids.unionByName(named)
+    groups = near_duplicates(ids)
+    gone = groups.where("not kept").select("doc_id").distinct()
+    left = ids.join(gone, "doc_id", "left_anti")
     repeated = stage(ids.groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
     if not repeated.isEmpty():
         again = left.join(repeated, "doc_id", "left_semi")
         first = again.groupBy("doc_id").agg(F.min(F.struct("text", "lang", "source", "n_chars")).alias("first"))
         left = left.join(repeated, "doc_id", "left_anti").unionByName(first.select("doc_id", "first.*"))
-    if not anonymous.isEmpty():
-        left = left.unionByName(_new_texts(left, anonymous))
+    if last is not None:
+        left = left.withColumn("doc_id", F.when(F.col("doc_id") <= last, F.col("doc_id")))
     return left.select(*COLUMNS)
 
 
-def _new_texts(left: DataFrame, anonymous: DataFrame) -> DataFrame:
-    """Rows without an id whose text no document has."""
-    once = anonymous.dropDuplicates(["text"])
-    known = left.select(F.col("text").alias("known")).where("known is not null").distinct()
-    return once.join(known, once["text"] == known["known"], "left_anti")
-
-
 def benchmark_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")

@@ -241,3 +241,28 @@ def test_pipeline(spark, tables):
     assert all("a@b.co" not in r.text and r.n_chars == len(r.text) for r in kept.values())
     last = corpus_pipeline.STAGES[-1][1](spark, docs, FOLDER).collect()
     assert len(last) == len(kept) and all(r.round_trip for r in last)
+
+
+def test_near_copies_without_ids(spark):
+    base = [f"w{k}" for k in range(60)]
+    other = [f"v{k}" for k in range(60)]
+    texts = [
+        (7, base),
+        (None, [*base[:-1], "x"]),  # a near copy of a document with an id
+        (None, base),
+        (None, other),
+        (None, other),
+        (None, [*other[:-1], "x"]),  # of one without
+        (None, ["alone", "here"]),
+        (9, ["something", "else"]),
+    ]
+    rows = [(i, " ".join(t), "en", "x", 1) for i, t in texts]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    left = corpus_pipeline.near_copies(spark, docs, FOLDER)
+    assert left.columns == docs.columns
+    found = left.collect()
+    assert sorted(r.doc_id for r in found if r.doc_id is not None) == [7, 9]
+    loose = [r.text for r in found if r.doc_id is None]
+    assert len(loose) == 2 and "alone here" in loose
+    none = corpus_pipeline.near_copies(spark, docs.where("doc_id is null"), FOLDER).collect()
+    assert len(none) == 3 and {r.doc_id for r in none} == {None}
