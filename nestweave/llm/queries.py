@@ -9,15 +9,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from nestweave.llm.decontaminate import benchmark_matches
+from nestweave.llm.hard_negatives import hard_negatives
 from nestweave.llm.html_text import extract_text
 from nestweave.llm.language import identify_languages
 from nestweave.llm.near_duplicates import near_duplicates
 from nestweave.llm.pii import KINDS, find_personal_data, joined
 from nestweave.llm.quality import judge_quality
+from nestweave.llm.semantic_votes import score_quality
 from nestweave.llm.sentencepiece_codec import BLANK, decode, encode
 from nestweave.llm.token_counts import count_tokens
 from nestweave.llm.toxicity import score_toxicity
 from nestweave.llm.urls import judge_urls
+from nestweave.llm.whitening import whiten
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -119,3 +122,46 @@ def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 def op10_language(spark: SparkSession, folder: str) -> DataFrame:
     """Language of every page."""
     return identify_languages(table(spark, folder, "pages"), table(spark, folder, "documents"))
+
+
+@query(
+    """
+    WITH v AS (
+      SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+             [floor(256 * c::DOUBLE) for c in embedding] AS x
+      FROM embeddings
+      WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+        AND len([1 for c in embedding if c IS NULL OR NOT isfinite(c)]) = 0),
+    s AS (
+      SELECT a.id AS anchor, a.label AS own, b.id, b.label, list_dot_product(a.x, b.x)::BIGINT AS score
+      FROM v a JOIN v b ON a.id % 50 = 0 AND a.id <> b.id),
+    p AS (
+      SELECT * FROM s WHERE own = label
+      QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, id) <= 5),
+    n AS (
+      SELECT p.anchor, p.id AS positive, p.score AS positive_score, s.id, s.score,
+             row_number() OVER (PARTITION BY p.anchor, p.id ORDER BY s.score DESC, s.id) AS rank
+      FROM p JOIN s ON s.anchor = p.anchor AND s.own <> s.label
+        AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score)
+    SELECT anchor AS anchor_id, positive AS positive_id, rank::INTEGER AS rank, id AS negative_id,
+           positive_score, score AS negative_score
+    FROM n WHERE rank <= 3
+    """
+)
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Hard negatives of every 50th vector; the labels of every 7th are moved by one."""
+    moved = F.expr("if(vec_id % 7 = 0, (label + 1) % 10, label)")
+    vectors = table(spark, folder, "embeddings").withColumn("label", moved)
+    return hard_negatives(vectors, F.col("vec_id") % 50 == 0)
+
+
+@query()
+def op12_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality score of every document."""
+    return score_quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query()
+def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    """Every embedding along the four leading components."""
+    return whiten(table(spark, folder, "embeddings"))
