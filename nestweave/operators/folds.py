@@ -7,12 +7,15 @@ each new chunk starting with the tail of the one before.
 They are written as SQL expressions over named columns. The state an ``aggregate`` carries is
 copied at every element, so it must stay small: a fold only marks the positions at which
 something begins, as text, and groups and chunks are cut out of the array afterwards. That
-keeps the elements out of the state. The marks themselves are a text that grows with every change, so
-a document with tens of thousands of headings or chunks costs more than its length.
+keeps the elements out of the state. The marks would grow with the array, so it is cut into segments
+of :data:`SEGMENT` elements: a first fold finds the state before each segment, then each
+segment is folded from there with marks of its own. The work grows with the length.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -26,11 +29,14 @@ GROUP_TYPE = (
     "struct<no:bigint,h1:string,h2:string,h3:string,"
     "pageStart:int,pageEnd:int,rows:bigint,texts:array<string>>"
 )
-FOLD_TYPE = "struct<h1:string,h2:string,h3:string,i:int,i1:int,i2:int,marks:string>"
+#: Elements of a segment, and segments that are carried on together.
+SEGMENT = 256
+
+FOLD_TYPE = "struct<h1:string,h2:string,h3:string,i:int,i1:int,i2:int>"
 EFFECT_TYPE = (
     "struct<h1:string,h2:string,h3:string,u1:boolean,u2:boolean,u3:boolean,changes:bigint>"
 )
-PACK_TYPE = "struct<i:int,size:int,cut:int,body:int,from:int,marks:string>"
+PACK_TYPE = "struct<i:int,size:int,cut:int,body:int,from:int>"
 
 
 def let(name: str, value: str, body: str) -> str:
@@ -57,37 +63,96 @@ _OPENING_TEXT = (
     f" {_TEXT}, concat({_DEEPEST}, '\\n', {_TEXT}))"
 )
 
-def _marked(marks: str, first: str, names: list[str]) -> str:
-    """Marks ``a:b:c,`` as an array of int structs, after a first one."""
-    fields = ", ".join(f"'{n}', cast(split(m, ':')[{k}] AS int)" for k, n in enumerate(names))
-    return (
-        f"concat(array({first}), transform(filter(split({marks}, ','), m -> m <> ''),"
-        f" m -> named_struct({fields})))"
-    )
+def _in_segments(items: str) -> str:
+    """The array as an array of arrays of at most ``SEGMENT`` elements."""
+    starts = f"sequence(0, size({items}) - 1, {SEGMENT})"
+    return f"if(size({items}) = 0, array(), transform({starts}, k -> slice({items}, k + 1, {SEGMENT})))"
+
+
+class Fold:
+    """A fold over an array that marks elements.
+
+    ``fields`` of the state ``s`` after an element ``r`` are given as two expressions each, where ``marks``
+    holds for state and element, and elsewhere; an element marked leaves the ints ``mark``. The names
+    ``a`` to ``c``, ``g``, ``k`` and ``m`` belong to the fold, and so does what begins with ``seg``.
+    """
+
+    def __init__(self, kind: str, marks: str, fields: dict[str, tuple[str, str]], mark: dict[str, str]):
+        self.kind, self.marks, self.fields, self.mark = kind, marks, fields, mark
+
+    def _step(self, more: tuple[str, str] = ("", "")) -> str:
+        there, elsewhere = (
+            "named_struct(" + ", ".join(f"'{name}', {pair[k]}" for name, pair in self.fields.items()) + more[k] + ")"
+            for k in (0, 1)
+        )
+        return f"(s, r) -> if({self.marks}, {there}, {elsewhere})"
+
+    def _states(self, segments: str, start: str) -> str:
+        """The state before each segment. Those found so far are copied at every further one, so
+        that they too are gathered a number at a time."""
+        none, nones = (f"cast(array() AS {kind})" for kind in (f"array<{self.kind}>", f"array<array<{self.kind}>>"))
+        carried = f"aggregate(g, b.state, {self._step()})"
+        of_some = f"""aggregate(c, named_struct('state', a.state, 'before', {none}), (b, g) ->
+            named_struct('state', {carried}, 'before', concat(b.before, array(b.state))))"""
+        more = let("m", of_some, "named_struct('state', m.state, 'before', concat(a.before, array(m.before)))")
+        return f"""aggregate({_in_segments(segments)},
+            named_struct('state', cast({start} AS {self.kind}), 'before', {nones}), (a, c) -> {more},
+            a -> flatten(a.before))"""
+
+    def marked(self, items: str, start: str) -> str:
+        """The marks of an array, in order, folded from the state ``start``."""
+        text = ", ':', ".join(self.mark.values())
+        step = self._step((f", 'marks', concat(s.marks, {text}, ',')", ", 'marks', s.marks"))
+        own = ", ".join(f"'{name}', a.{name}" for name in self.fields)
+        ints = ", ".join(f"'{n}', cast(split(m, ':')[{k}] AS int)" for k, n in enumerate(self.mark))
+
+        name = items if re.fullmatch(r"[\w.]+", items) else "segitems"
+
+        def parsed(some: str) -> str:
+            marks = f"aggregate({some}, named_struct({own}, 'marks', ''), {step}, s -> s.marks)"
+            return f"transform(filter(split({marks}, ','), m -> m <> ''), m -> named_struct({ints}))"
+
+        short = let("a", f"cast({start} AS {self.kind})", parsed(name))
+        long = f"flatten(zip_with(segs, {self._states('segs', start)}, (g, a) -> {parsed('g')}))"
+        long = let("segs", _in_segments(name), long)
+        marks = f"if(size({name}) <= {SEGMENT}, {short}, {long})"
+        return marks if name == items else let(name, items, marks)
+
+    def end(self, items: str, start: str) -> str:
+        """The state after the array."""
+        return f"aggregate({items}, cast({start} AS {self.kind}), {self._step()})"
 
 
 _NO_HEADINGS = "named_struct('h1', null, 'h2', null, 'h3', null, 'changes', 0L)"
 
 
+# A mark: the row that starts a group, and the rows its h1 and h2 come from, or -1.
+_FROM_H1 = "if(r.h1 <> '', s.i, s.i1)"
+_FROM_H2 = "if(r.h1 <> '' OR r.h2 <> '', s.i, s.i2)"
+_GROUPS = Fold(
+    FOLD_TYPE,
+    _CHANGED,
+    {
+        "h1": (_NEXT_H1, "s.h1"),
+        "h2": (_NEXT_H2, "s.h2"),
+        "h3": (_NEXT_H3, "s.h3"),
+        "i": ("s.i + 1", "s.i + 1"),
+        "i1": (_FROM_H1, "s.i1"),
+        "i2": (_FROM_H2, "s.i2"),
+    },
+    {"at": "s.i", "i1": _FROM_H1, "i2": _FROM_H2},
+)
+
+
 def fold_sections(rows: str, start: str = _NO_HEADINGS) -> str:
     """Groups of an ordered array of ``(content, h1, h2, h3, pageNumber)`` structs.
 
     ``start`` has the headings ``h1, h2, h3`` and ``changes`` before the array. A group holds
     its texts, the first and last page that is not null, in order, and its number.
     """
-    # A mark: the row that starts a group, and the rows its h1 and h2 come from, or -1.
-    marks = f"""aggregate({rows},
-      cast(struct(o.h1, o.h2, o.h3, 0, -1, -1, '') AS {FOLD_TYPE}),
-      (s, r) -> if({_CHANGED},
-        named_struct(
-          'h1', {_NEXT_H1}, 'h2', {_NEXT_H2}, 'h3', {_NEXT_H3}, 'i', s.i + 1,
-          'i1', if(r.h1 <> '', s.i, s.i1), 'i2', if(r.h1 <> '' OR r.h2 <> '', s.i, s.i2),
-          'marks', concat(s.marks, s.i, ':', if(r.h1 <> '', s.i, s.i1), ':',
-                          if(r.h1 <> '' OR r.h2 <> '', s.i, s.i2), ',')),
-        named_struct('h1', s.h1, 'h2', s.h2, 'h3', s.h3, 'i', s.i + 1,
-                     'i1', s.i1, 'i2', s.i2, 'marks', s.marks)),
-      s -> s.marks)"""
-    begins = _marked(marks, "named_struct('at', 0, 'i1', -1, 'i2', -1)", ["at", "i1", "i2"])
+    first = "named_struct('at', 0, 'i1', -1, 'i2', -1)"
+    marks = _GROUPS.marked(rows, "struct(o.h1, o.h2, o.h3, 0, -1, -1)")
+    begins = f"concat(array({first}), {marks})"
     end = f"coalesce(get(bs, j + 1).at, size({rows}))"
     pages = let(
         "ps",
@@ -146,34 +211,40 @@ def pack_texts(
     full already.
     """
     max_length, overlap = int(max_length), int(overlap)
-    added = "length(t) + 1"
+    added = "length(r) + 1"
     # A mark: the first text of a new buffer, a text at or before which what it keeps of the
     # old one begins, and how many characters that is.
     kept = f"least(s.size, {overlap})"
     kept_from = f"if(s.body >= {kept}, s.cut, s.from)"
-    packed = f"""aggregate(slice({texts}, {open_texts} + 1, size({texts})),
-      cast({let("n", f"if({open_texts} = 0, 0, length(get({texts}, 0)) + 1)",
-                f"struct({open_texts}, n, 0, n, 0, '')")} AS {PACK_TYPE}),
-      (s, t) -> if(s.size + {added} <= {max_length},
-        named_struct('i', s.i + 1, 'size', s.size + {added}, 'cut', s.cut,
-                     'body', s.body + {added}, 'from', s.from, 'marks', s.marks),
-        named_struct('i', s.i + 1, 'size', {kept} + {added}, 'cut', s.i, 'body', {added},
-                     'from', {kept_from},
-                     'marks', concat(s.marks, s.i, ':', {kept_from}, ':', {kept}, ','))))"""
-    cuts = _marked(
-        "p.marks", "named_struct('at', 0, 'from', 0, 'kept', 0)", ["at", "from", "kept"]
+    cutting = Fold(
+        PACK_TYPE,
+        f"s.size + {added} > {max_length}",
+        {
+            "i": ("s.i + 1", "s.i + 1"),
+            "size": (f"{kept} + {added}", f"s.size + {added}"),
+            "cut": ("s.i", "s.cut"),
+            "body": (added, f"s.body + {added}"),
+            "from": (kept_from, "s.from"),
+        },
+        {"at": "s.i", "from": kept_from, "kept": kept},
     )
+    rest = texts if open_texts == "0" else f"slice({texts}, {open_texts} + 1, size({texts}))"
+    opened = f"if({open_texts} = 0, 0, length(get({texts}, 0)) + 1)"
+    start = let("n", opened, f"struct({open_texts}, n, 0, n, 0)")
+    first = "named_struct('at', 0, 'from', 0, 'kept', 0)"
+    cuts = f"concat(array({first}), {cutting.marked(rest, start)})"
     before = f"concat(array_join(slice({texts}, c.from + 1, c.at - c.from), '\\n'), '\\n')"
     body = f"slice({texts}, c.at + 1, coalesce(get(cs, i + 1).at, size({texts})) - c.at)"
     chunk = (
         f"btrim(concat(if(c.kept = 0, '', right({before}, c.kept)), array_join({body}, '\\n')),"
         f" {SQL_WHITESPACE})"
     )
-    is_chunk = f"i < size(cs) - 1 OR if({ends}, c <> '', p.size >= {max_length})"
+    full = f"{cutting.end(rest, start)}.size >= {max_length}"
+    is_chunk = f"i < size(cs) - 1 OR if({ends}, c <> '', {full})"
     if drop_empty:
         is_chunk = f"c <> '' AND ({is_chunk})"
     chunks = f"filter(transform(cs, (c, i) -> {chunk}), (c, i) -> {is_chunk})"
-    chunks = let("p", packed, let("cs", cuts, chunks))
+    chunks = let("cs", cuts, chunks)
     if (open_texts, ends) != ("0", "true"):
         return chunks
     # Most groups fit into one chunk, which is then all there is.

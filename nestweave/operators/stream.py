@@ -19,6 +19,8 @@ staged one (:func:`nestweave.session.staged`), rather than a long computation.
 
 from __future__ import annotations
 
+from bisect import bisect_right
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -194,57 +196,95 @@ def stream_groups(
     return columns(inner).drop("block").unionByName(joined)
 
 
-def buffer_effect(max_length: int, overlap: int):
-    """A Pandas UDF: what a run of texts does to the length of the open buffer.
+def run_effect(lengths, max_length: int, overlap: int) -> list[int]:
+    """What a run of texts does to the length of the open buffer, as triples ``(from, value, slope)``.
 
-    The buffer may have any length before the run, up to "full", from where on all act
-    alike. The effect is a function of it in few pieces, as triples ``(from, value, slope)``:
-    from this length on, the length after the run is ``value``, or grows along with slope 1.
-    Lengths that were cut once share a value, so there are seldom more than a handful.
+    From this length on, the length after the run is ``value``, or grows along with slope 1. A
+    buffer is cut before the first text that no longer fits, found among the sums of lengths by bisection. Once
+    cut at a text with the whole overlap kept, it goes on alike whatever it held, so that the
+    cut after each cut is a table, and following it to its end is a matter of doubled jumps.
     """
+    import numpy as np
+
     full = max(max_length, overlap)
+    sums = np.concatenate(([0], np.cumsum(np.asarray(lengths, np.int64) + 1)))
+    n, total = len(sums) - 1, int(sums[-1])
+    each = np.arange(n)
+    # the first later text at which a buffer cut before this one, now of length overlap + text, overflows
+    after = np.maximum(np.searchsorted(sums, max_length - overlap + sums[:-1], side="right") - 1, each + 1)
+    last = np.where(after < n, after, each)
+    while not np.array_equal(last, last[last]):
+        last = last[last]
+    left = np.minimum(overlap + total - sums[last], full).tolist()
+    sums = sums.tolist()
+
+    pieces = []
+    waiting = [(0, full, 0, 0)]  # lengths from and to at the start, length of the first before a text
+    while waiting:
+        start, end, value, at = waiting.pop()
+        room = max_length + sums[at]  # a length overflows at text j if it is above room - sums[j + 1]
+        cut = start + max(room - total - value + 1, 0) if at < n else end + 1
+        if cut > start:
+            pieces.append((start, min(value + total - sums[at], full), 1))
+        while cut <= end:
+            length = value + cut - start
+            j = max(bisect_right(sums, room - length) - 1, at)
+            stop = end if j == at else min(end, start + room - sums[j] - value)
+            held = length + sums[j] - sums[at]
+            if held < overlap:
+                short = min(stop, cut + overlap - held - 1)
+                waiting.append((cut, short, held + sums[j + 1] - sums[j], j + 1))
+                cut = short + 1
+            if cut <= stop:
+                pieces.append((cut, left[j], 0))
+            cut = stop + 1
+    out = []
+    for start, value, slope in sorted(pieces):
+        slope = slope if value < full else 0
+        if not (out and slope == 0 and out[-2:] == [value, 0]):
+            out += [start, value, slope]
+    return out
+
+
+def buffer_effect(max_length: int, overlap: int):
+    """A Pandas UDF: :func:`run_effect` of arrays of lengths."""
 
     def effect(series):
         import pandas as pd
 
-        def after(pieces, added):
-            ends = [start - 1 for start, _, _ in pieces[1:]] + [full]
-            out = []
-
-            def add(start, value, slope):
-                value = min(value, full)
-                slope = slope if value < full else 0
-                if not (out and slope == 0 and out[-1][1:] == (value, 0)):
-                    out.append((start, value, slope))
-
-            for (start, value, slope), end in zip(pieces, ends):
-                if slope == 0:
-                    kept = value if value + added <= max_length else min(value, overlap)
-                    add(start, kept + added, 0)
-                    continue
-                cut = start + max(max_length - added - value + 1, 0)
-                if cut > start:
-                    add(start, value + added, 1)
-                if cut <= end:
-                    length = value + cut - start
-                    if length < overlap:
-                        add(cut, length + added, 1)
-                        cut += overlap - length
-                    if cut <= end:
-                        add(cut, overlap + added, 0)
-            return out
-
-        def one(lengths):
-            pieces = [(0, 0, 1)]
-            for length in lengths.tolist():
-                pieces = after(pieces, length + 1)
-            return [number for piece in pieces for number in piece]
-
-        return pd.Series([one(lengths) for lengths in series])
+        return pd.Series([run_effect(lengths, max_length, overlap) for lengths in series])
 
     return F.pandas_udf(effect, "array<int>")
 
 
+def value_at(effect: list[int], starts: list[int], size: int, full: int) -> int:
+    """An effect at a length, found by bisection of where its pieces start."""
+    piece = 3 * (bisect_right(starts, size) - 1)
+    start, value, slope = effect[piece : piece + 3]
+    return min(value + slope * (size - start), full)
+
+
+def composed(first: list[int], second: list[int], full: int) -> list[int]:
+    """The second effect on the values of the first: on a constant it is a constant, on
+    a slope it is its own pieces as far as the slope goes. Equal neighbours become one piece."""
+    starts, inner = [*first[0::3], full + 1], second[0::3]
+    out: list[int] = []
+
+    def add(start, value, slope):
+        slope = slope if value < full else 0
+        if not (out and slope == 0 and out[-2:] == [value, 0]):
+            out.extend((start, value, slope))
+
+    for i, (value, slope) in enumerate(zip(first[1::3], first[2::3])):
+        start, end = starts[i], starts[i + 1] - 1
+        at = bisect_right(inner, min(value, full)) - 1
+        add(start, value_at(second, inner, min(value, full), full), slope * second[3 * at + 2])
+        if slope:
+            for k in range(at + 1, bisect_right(inner, min(value + end - start, full))):
+                add(start + inner[k] - value, *second[3 * k + 1 : 3 * k + 3])
+    return out
+
+
 def _open_buffers(
     records: DataFrame, max_length: int, overlap: int, blocks_per_run: int
 ) -> DataFrame:
@@ -254,34 +294,13 @@ def _open_buffers(
     """
     full = max(max_length, overlap)
 
-    def value_at(effect, size):
-        starts = effect[0::3]
-        piece = 3 * next(i for i in reversed(range(len(starts))) if starts[i] <= size)
-        start, value, slope = effect[piece : piece + 3]
-        return min(value + slope * (size - start), full)
-
     def apply(state, record):
         size, text = state
-        return value_at(record["effect"], size), (text + record["tail"])[-full:]
+        starts = record["effect"][0::3]
+        return value_at(record["effect"], starts, size, full), (text + record["tail"])[-full:]
 
     def combine(total, record):
-        """The second effect on the values of the first: on a constant it is a constant, on
-        a slope it is its own pieces as far as the slope goes."""
-        first, second = total[0], record["effect"]
-        starts = [*first[0::3], full + 1]
-        out = []
-        for i, (value, slope) in enumerate(zip(first[1::3], first[2::3])):
-            start, end = starts[i], starts[i + 1] - 1
-            out += [start, value_at(second, min(value, full)), 0]
-            if slope:
-                top = min(value + end - start, full)
-                inner = [t for t in zip(*[iter(second)] * 3) if t[0] <= top]
-                before = [t for t in inner if t[0] <= value][-1]
-                out[-1] = before[2]
-                for at, result, rises in inner:
-                    if at > value:
-                        out += [start + at - value, result, rises]
-        return out, (total[1] + record["tail"])[-full:]
+        return composed(total[0], record["effect"], full), (total[1] + record["tail"])[-full:]
 
     return states_before(
         records,

@@ -1,6 +1,7 @@
 import base64
 import json
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,7 +10,7 @@ from nestweave.operators.chunks import document_chunks, document_groups, documen
 from nestweave.operators.headings import group_pages, h1_groups
 from nestweave.operators.responses import response_envelopes, responses
 from nestweave.operators.sections import document_sections, drop_footers, explode_sections
-from nestweave.operators.stream import buffer_effect, stream_chunks, stream_groups
+from nestweave.operators.stream import composed, run_effect, stream_chunks, stream_groups
 from nestweave.plans.runs import chunk_run
 from nestweave.sources.documents import parse_layouts, read_layouts
 from nestweave.sources.envelope import decode_payload, read_requests, route_payloads
@@ -275,25 +276,67 @@ def test_one_large_document_is_not_gathered_in_one_task(spark, plan):
     assert got == [c[0] for c in chunks_of([(*r[2:6], r[6]) for r in rows], 200, 20)]
 
 
+def after_texts(lengths, limit, overlap, size):
+    full = max(limit, overlap)
+    for length in lengths:
+        added = length + 1
+        size = min(size + added if size + added <= limit else min(size, overlap) + added, full)
+    return size
+
+
+def effect_at(effect, size, full):
+    pieces = list(zip(effect[0::3], effect[1::3], effect[2::3]))
+    assert [p[0] for p in pieces] == sorted({p[0] for p in pieces}) and pieces[0][0] == 0
+    start, value, slope = [p for p in pieces if p[0] <= size][-1]
+    return min(value + slope * (size - start), full)
+
+
+def random_lengths(rng, most=12):
+    return [rng.choice([0, 1, 3, 7, rng.randint(0, 60)]) for _ in range(rng.randint(0, most))]
+
+
 def test_buffer_effect():
     rng = random.Random(2)
-    effect = None
-    import numpy as np
-    import pandas as pd
-
-    for _ in range(300):
+    for _ in range(600):
         limit, overlap = rng.choice([5, 20, 40]), rng.choice([0, 1, 9, 30, 60])
-        lengths = [rng.choice([0, 1, 3, 7, rng.randint(0, 60)]) for _ in range(rng.randint(1, 12))]
-        effect = buffer_effect(limit, overlap).func(pd.Series([np.array(lengths)]))[0]
         full = max(limit, overlap)
+        runs = [random_lengths(rng, rng.choice([12, 40])) for _ in range(3)]
+        effects = [run_effect(run, limit, overlap) for run in runs]
+        together = [0, 0, 1]
+        for effect in effects:
+            together = composed(together, effect, full)
         for before in range(full + 1):
-            size = before
-            for length in lengths:
-                added = length + 1
-                size = min(size + added if size + added <= limit else min(size, overlap) + added, full)
-            pieces = list(zip(effect[0::3], effect[1::3], effect[2::3]))
-            start, value, slope = [p for p in pieces if p[0] <= before][-1]
-            assert min(value + slope * (before - start), full) == size
+            for run, effect in zip(runs, effects):
+                assert effect_at(effect, before, full) == after_texts(run, limit, overlap, before)
+            assert effect_at(together, before, full) == after_texts(sum(runs, []), limit, overlap, before)
+
+
+@pytest.mark.parametrize(("length", "overlap"), [(1, 200), (1, 1990), (90, 200), (1900, 200)])
+def test_buffer_effect_of_long_blocks(length, overlap):
+    began = time.monotonic()
+    effect = run_effect([length] * 4096, 2000, overlap)
+    assert time.monotonic() - began < 0.5
+    for before in (0, 1, 199, 1000, 1999, 2000):
+        assert effect_at(effect, before, 2000) == after_texts([length] * 4096, 2000, overlap, before)
+
+
+@pytest.mark.parametrize("rows", [255, 256, 257, 70_000])
+def test_folds_across_segments(spark, rows):
+    """One array of several segments, and of more segments than are gathered at a time."""
+    changes = "i % 3 = 0 OR i % 7 = 0"
+    section = f"""named_struct('content', concat('t', i), 'h1', if(i % 11 = 0, concat('H', i % 5), null),
+        'h2', if({changes}, concat('K', i % 4), null), 'h3', if(i % 5 = 3, 'L', null), 'pageNumber', i)"""
+    df = spark.range(1).selectExpr("id AS doc", f"transform(sequence(0, {rows - 1}), i -> {section}) AS sections")
+    model = [
+        (f"H{i % 5}" if i % 11 == 0 else None, f"K{i % 4}" if i % 3 == 0 or i % 7 == 0 else None,
+         "L" if i % 5 == 3 else None, f"t{i}", i)
+        for i in range(rows)
+    ]
+    found = document_groups(df).orderBy("no").collect()
+    assert [[(r["h1"], r["h2"], r["h3"]), r["texts"], r["pageStart"], r["pageEnd"]] for r in found] == groups_of(model)
+    texts = spark.range(1).selectExpr("id AS doc", f"transform(sequence(0, {rows - 1}), i -> repeat('y', i % 9)) AS texts")
+    chunks = [r["content"] for r in document_texts(texts, 60, 9).orderBy("chunk").collect()]
+    assert chunks == packed(["y" * (i % 9) for i in range(rows)], 60, 9)
 
 
 def test_model_packing_is_a_suffix_buffer():
