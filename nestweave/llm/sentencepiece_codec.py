@@ -7,12 +7,15 @@ segmented unit by unit, each distinct unit of a batch once, by the sentencepiece
 A giant text is split into chunks. A piece may reach over a chunk's end by fewer characters than
 the longest piece has: that reach is the state at the boundary. Each chunk gives the max-plus
 matrix of best scores from each entering to each leaving state; matrices are combined in a
-parallel scan; and with its two states known, each chunk is traced back by itself.
+parallel scan to the best score of each state before each chunk. From these a chunk knows which
+entering state leads to which leaving one (ties as in a text that is not split), and with its two
+states known it is traced back by itself.
 """
 
 from __future__ import annotations
 
 import functools
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -36,8 +39,11 @@ CHUNK = 32_768
 #: best path of such a unit can take: its sums are then whole numbers that it adds exactly.
 LONG_UNIT = 64
 LEAST_SCORE = -32_768.0
-#: Units that a worker remembers at most before it starts anew.
-REMEMBERED = 300_000
+#: Bytes that a worker remembers units in at most (about) before it starts anew, and those of an entry besides.
+REMEMBERED = 32 << 20
+_ENTRY = 200
+#: Ids that are turned into bytes at a time.
+IDS = 1 << 16
 BLANK = "▁"
 #: What an unknown character scores below the lowest piece: the library's value.
 UNKNOWN_PENALTY = 10.0
@@ -59,7 +65,8 @@ class Pieces:
     plain: frozenset[str]
     alone: np.ndarray
     library: sentencepiece.SentencePieceProcessor
-    memory: dict[str, list[int]] = field(default_factory=dict)
+    memory: dict[str, bytes] = field(default_factory=dict)
+    remembered: int = 0
 
 
 @functools.lru_cache(maxsize=2)
@@ -73,16 +80,13 @@ def pieces(model: bytes) -> Pieces:
     ids, scores, bytes_of, byte_ids, unknown = {}, {}, [], {}, 0
     for k, piece in enumerate(spec.pieces):
         text = piece.piece
-        bytes_of.append(b"")
+        bytes_of.append(bytes_of_piece(piece))
         if piece.type == piece.NORMAL:
             ids[text], scores[text] = k, piece.score
-            bytes_of[k] = text.replace(BLANK, " ").encode()
         elif piece.type == piece.BYTE:
             byte_ids[int(text[3:5], 16)] = k
-            bytes_of[k] = bytes([int(text[3:5], 16)])
         elif piece.type == piece.UNKNOWN:
             unknown = k
-            bytes_of[k] = " ⁇ ".encode()
     if any(BLANK in text.lstrip(BLANK) for text in ids):
         raise ValueError("only models whose pieces hold blanks at their start")
     side = {(ord(a) << 32) | ord(b) for text in ids for a, b in zip(text, text[1:], strict=False)}
@@ -123,14 +127,21 @@ def _steps(text: str, at: int, known: Pieces) -> Iterator[tuple[int, float]]:
         yield 1, known.unknown_score
 
 
-def forward(text: str, last_start: int, known: Pieces, first: int = 0) -> tuple[np.ndarray, np.ndarray]:
+def forward(
+    text: str, last_start: int, known: Pieces, first: int = 0, entries: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray]:
     """Best score to each position from ``first`` over pieces that start before ``last_start``.
 
     With the start of the last piece of that path; of equal scores the longest last piece wins.
+    With ``entries``, the scores that positions 0, 1, ... are entered with: by pieces that start
+    earlier, so that they win over equal ones.
     """
     best = np.full(len(text) + 1, _NEVER)
     start = np.full(len(text) + 1, -1)
-    best[first] = 0.0
+    if entries is None:
+        best[first] = 0.0
+    else:
+        best[: len(entries)] = entries[: len(best)]
     for at in range(first, last_start):
         if best[at] > _NEVER:
             for size, score in _steps(text, at, known):
@@ -191,8 +202,8 @@ def _encoded(texts: pa.Array, known: Pieces) -> pa.ListArray:
     plain = pc.replace_substring(texts.fill_null(""), BLANK, " ")
     cut = units(plain, only_blank=True, alone=known.alone)
     ids = _remembered(cut.distinct, known)
-    sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-    flat = np.fromiter((i for one in ids for i in one), np.int32, int(sizes.sum()))
+    sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+    flat = np.frombuffer(b"".join(ids), np.int32)
     begin = np.cumsum(sizes) - sizes
     each = sizes[cut.which]
     total = np.cumsum(each)
@@ -201,13 +212,21 @@ def _encoded(texts: pa.Array, known: Pieces) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat[at], pa.int32()))
 
 
-def _remembered(blank_units: list[str], known: Pieces) -> list[list[int]]:
-    """Ids of units, of which a worker remembers a bounded number."""
-    if len(known.memory) > REMEMBERED:
+def _remembered(blank_units: list[str], known: Pieces) -> list[bytes]:
+    """Ids of units, as bytes of int32; what a worker remembers of them is bounded in bytes."""
+    if known.remembered > REMEMBERED:
         known.memory.clear()
-    new = [u for u in blank_units if u not in known.memory]
-    known.memory.update(zip(new, best_ids([u.replace(" ", BLANK) for u in new], known), strict=True))
-    return [known.memory[u] for u in blank_units]
+        known.remembered = 0
+    found = known.memory
+    new = [u for u in blank_units if u not in found]
+    made = [array("i", ids).tobytes() for ids in best_ids([u.replace(" ", BLANK) for u in new], known)]
+    fresh = dict(zip(new, made, strict=True))
+    out = [found[u] if u in found else fresh[u] for u in blank_units]
+    size = sum(len(u) + len(ids) + _ENTRY for u, ids in fresh.items())
+    if known.remembered + size <= 2 * REMEMBERED:  # never one huge text
+        found.update(fresh)
+        known.remembered += size
+    return out
 
 
 def _prefixed(texts: pa.Array) -> pa.Array:
@@ -292,13 +311,40 @@ def scan(matrices: np.ndarray) -> np.ndarray:
     return out
 
 
-def boundary_states(matrices: np.ndarray) -> list[int]:
-    """States before, between and after chunks on the best path from state 0 to state 0."""
-    prefix = scan(matrices)[:, 0, :]
+def entering_scores(matrices: np.ndarray) -> np.ndarray:
+    """Best score of each state before each chunk."""
+    first = np.full((1, matrices.shape[1]), _NEVER)
+    first[0, 0] = 0.0
+    return np.concatenate((first, scan(matrices)[:-1, 0, :]))
+
+
+def entered(text: str, size: int, entries: np.ndarray, known: Pieces) -> np.ndarray:
+    """For each leaving state of a chunk, the entering state of the path to it: of paths with equal
+    scores the one that a text segmented as a whole would take. -1 where there is none.
+    """
+    inner = cuts(text, known)
+    inner = inner[inner <= size]
+    ends = np.arange(size, size + known.longest)
+    if len(inner):  # all paths meet there
+        ends, size = inner[:1], min(size, int(inner[0]))
+    best, start = forward(text[: int(ends[-1])], size, known, 0, entries)
+    out = []
+    for end in ends.tolist():
+        if end >= len(best) or best[end] == _NEVER:
+            out.append(-1)
+            continue
+        while start[end] >= 0:
+            end = start[end]
+        out.append(end)
+    return np.array(out * (known.longest if len(inner) else 1))
+
+
+def boundary_states(maps: list[np.ndarray]) -> list[int]:
+    """States before, between and after chunks on the path to state 0 after the last."""
     states = [0]
-    for k in range(len(matrices) - 1, 0, -1):
-        states.append(int(np.argmax(prefix[k - 1] + matrices[k][:, states[-1]])))
-    return [0, *reversed(states[1:]), 0] if len(matrices) > 1 else [0, 0]
+    for entering in reversed(maps):
+        states.append(int(entering[states[-1]]))
+    return states[::-1]
 
 
 def _chunked(giants: DataFrame, chunk: int, longest: int) -> DataFrame:
@@ -326,21 +372,35 @@ def _giant_ids(giants: DataFrame, shared, chunk: int, longest: int) -> DataFrame
 
     def matrices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = pieces(shared.value)
-        for batch in batches:
+        for batch in slices(batches, "text"):
             rows = zip(batch.column("text").to_pylist(), batch.column("size").to_pylist(), strict=True)
             made = [chunk_matrix(t, n, known).astype("<f8").tobytes() for t, n in rows]
             yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("k"), pa.array(made, pa.binary())], ["key", "k", "matrix"])
 
-    def states(group: pd.DataFrame) -> pd.DataFrame:
+    def scores(group: pd.DataFrame) -> pd.DataFrame:
         # a text is one value of at most 2^31 bytes, so that its matrices are bounded
         group = group.sort_values("k")
         stack = np.stack([np.frombuffer(m, "<f8").reshape(longest, longest) for m in group["matrix"]])
-        found = boundary_states(stack)
+        found = [row.tobytes() for row in entering_scores(stack)]
+        return pd.DataFrame({"key": group["key"], "k": group["k"], "entries": found})
+
+    def maps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = pieces(shared.value)
+        for batch in slices(batches, "text"):
+            columns = [batch.column(c).to_pylist() for c in ("text", "size", "entries")]
+            made = [entered(t, n, np.frombuffer(e, "<f8"), known).tolist() for t, n, e in zip(*columns, strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("key"), batch.column("k"), pa.array(made, pa.list_(pa.int32()))], ["key", "k", "entered"]
+            )
+
+    def states(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values("k")
+        found = boundary_states(group["entered"].tolist())
         return pd.DataFrame({"key": group["key"], "k": group["k"], "enter": found[:-1], "leave": found[1:]})
 
     def trace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = pieces(shared.value)
-        for batch in batches:
+        for batch in slices(batches, "text"):
             columns = [batch.column(c).to_pylist() for c in ("text", "size", "enter", "leave")]
             ids = [chunk_ids(*row, known) for row in zip(*columns, strict=True)]
             yield pa.RecordBatch.from_arrays(
@@ -348,7 +408,10 @@ def _giant_ids(giants: DataFrame, shared, chunk: int, longest: int) -> DataFrame
             )
 
     made = chunks.select("key", "k", "size", "text").mapInArrow(matrices, "key long, k long, matrix binary")
-    between = made.groupBy("key").applyInPandas(states, "key long, k long, enter long, leave long")
+    scored = made.groupBy("key").applyInPandas(scores, "key long, k long, entries binary")
+    entering = chunks.join(scored, ["key", "k"]).select("key", "k", "text", "size", "entries")
+    mapped = entering.mapInArrow(maps, "key long, k long, entered array<int>")
+    between = mapped.groupBy("key").applyInPandas(states, "key long, k long, enter long, leave long")
     traced = chunks.join(between, ["key", "k"]).select("key", "k", "text", "size", "enter", "leave")
     parts = traced.mapInArrow(trace, "key long, k long, ids array<int>")
     gathered = parts.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("k", "ids"))).alias("parts"))
@@ -361,8 +424,8 @@ def encode(docs: DataFrame, model_path: str, id: str = "doc_id", text: str = "te
     A leading blank is put before texts that are not empty, blanks become the vocabulary's blank
     character (which a text's own such characters equal), and unknown characters become the
     pieces of their bytes. Null and empty texts have no ids (and 0 chunks); null ids stay null;
-    repeated rows get repeated rows. At equal scores the longest last piece wins, and at a chunk
-    boundary the shorter reach. Model types other than the best-scoring one are read as if they were.
+    repeated rows get repeated rows. At equal scores the longest last piece wins, in split texts
+    too: ids do not depend on ``chunk``. Model types other than the best-scoring one are read as if they were.
     """
     with open(model_path, "rb") as file:
         model = file.read()
@@ -395,28 +458,59 @@ def decode(encoded: DataFrame, model_path: str, ids: str = "ids", to: str = "dec
     """
     with open(model_path, "rb") as file:
         shared = encoded.sparkSession.sparkContext.broadcast(file.read())
-
-
     kept = encoded.drop(to)
     names = [*kept.columns, to]
     schema = T.StructType([*kept.schema.fields, T.StructField(to, T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = pieces(shared.value)
-        sizes = np.array([*map(len, known.bytes_of), 0])
-        data = np.frombuffer(b"".join(known.bytes_of), np.uint8)
-        begin = np.cumsum(sizes) - sizes
+        table = byte_table(shared.value)
         for batch in batches:
             lists = batch.column(ids).fill_null([])
-            flat = lists.flatten().fill_null(-1).to_numpy()
-            flat = np.where((flat < 0) | (flat >= len(sizes) - 1), len(sizes) - 1, flat)
-            each = sizes[flat]
-            total = np.cumsum(each)
-            at = np.arange(int(each.sum())) + np.repeat(begin[flat] - (total - each), each)
-            raw = data[at].tobytes()
-            counts = pc.list_value_length(lists).to_numpy()
-            ends = np.concatenate(([0], total))[np.concatenate(([0], np.cumsum(counts)))]
-            texts = [raw[a:b].decode("utf-8", "replace").removeprefix(" ") for a, b in zip(ends, ends[1:], strict=False)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names)
+            total = np.concatenate(([0], np.cumsum(pc.list_value_length(lists).to_numpy())))
+            first = 0
+            while first < batch.num_rows:
+                last = max(int(np.searchsorted(total, total[first] + IDS, side="right")) - 1, first + 1)
+                some = batch.slice(first, last - first)
+                texts = [joined_bytes(one, table) for one in lists.slice(first, last - first)]
+                decoded = [raw.decode("utf-8", "replace").removeprefix(" ") for raw in texts]
+                yield pa.RecordBatch.from_arrays([*some.columns, pa.array(decoded, pa.string())], names)
+                first = last
 
     return kept.mapInArrow(run, schema)
+
+
+@functools.lru_cache(maxsize=2)
+def byte_table(model: bytes) -> tuple[bytes, np.ndarray, np.ndarray]:
+    """The bytes of all pieces by id, nothing after the last; where each begins, and its length."""
+    of = _piece_bytes(model)
+    sizes = np.array([*map(len, of), 0])
+    return b"".join(of), np.cumsum(sizes) - sizes, sizes
+
+
+def _piece_bytes(model: bytes) -> list[bytes]:
+    spec = sentencepiece_model_pb2.ModelProto()
+    spec.ParseFromString(model)
+    return [bytes_of_piece(piece) for piece in spec.pieces]
+
+
+def bytes_of_piece(piece) -> bytes:
+    if piece.type == piece.NORMAL:
+        return piece.piece.replace(BLANK, " ").encode()
+    if piece.type == piece.BYTE:
+        return bytes([int(piece.piece[3:5], 16)])
+    return " ⁇ ".encode() if piece.type == piece.UNKNOWN else b""
+
+
+def joined_bytes(one: pa.Scalar, table: tuple[bytes, np.ndarray, np.ndarray]) -> bytes:
+    """The bytes of a list of ids, a bounded number of them at a time."""
+    data, begin, sizes = table
+    raw = np.frombuffer(data, np.uint8)
+    flat = one.values.fill_null(-1).to_numpy()
+    parts = []
+    for first in range(0, len(flat), IDS):
+        some = flat[first : first + IDS]
+        some = np.where((some < 0) | (some >= len(sizes) - 1), len(sizes) - 1, some)
+        each = sizes[some]
+        total = np.cumsum(each)
+        parts.append(raw[np.arange(int(total[-1])) + np.repeat(begin[some] - (total - each), each)].tobytes())
+    return b"".join(parts)

@@ -205,8 +205,9 @@ def test_codec(spark, docs):
     whole = codec.decode(codec.encode(small, path), path).collect()
     split = codec.encode(small, path, chunk=64).collect()
     assert len(whole) == len(split) == small.count()
-    score = {}
+    score, ids = {}, {}
     for r in whole:
+        ids[r.doc_id, r.text] = r.ids
         plain = (r.text or "").replace("▁", " ")
         assert r.decoded == plain
         blanks = " " * bool(plain) + plain
@@ -216,11 +217,42 @@ def test_codec(spark, docs):
         assert codec._path_score(r.ids, known) == pytest.approx(best)
     for r in split:
         assert codec._path_score(r.ids, known) == pytest.approx(score[r.doc_id, r.text])
+        assert r.ids == ids[r.doc_id, r.text]
         assert r.n_chunks > 1 or len(r.text or "") < 64
     with pytest.raises(ValueError, match="longest"):
         codec.encode(small, path, chunk=8)
 
 
+def test_codec_edge_cases(spark):
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    long = "".join(random.Random(3).choice(["the ", "aab", "ba", "é", "\n", "  "]) for _ in range(60_000))
+    rows = [(1, long, "x"), (1, long, "x"), (2, "aa" * 20_000, "y"), (None, "no id", None)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, decoded string")
+    done = codec.decode(codec.encode(frame, path), path).collect()
+    assert sorted((r.doc_id or 0, r.decoded) for r in done) == sorted((i or 0, t) for i, t, _ in rows)
+    assert [r.n_chunks > 1 for r in done if r.doc_id] == [True] * 3
+    assert len({tuple(r.ids) for r in done if r.doc_id == 1}) == 1
+    empty = frame.limit(0)
+    assert codec.decode(codec.encode(empty, path), path).count() == 0
+    odd = spark.createDataFrame([([5, -1, 10**6, None],), (None,), ([],)], "ids array<int>")
+    assert [r.decoded for r in codec.decode(odd, path).collect()][1:] == ["", ""]
+
+
+def test_remembered_units_are_bounded(monkeypatch):
+    with open(public_tokenizers.path("piece_bpe_32k.model"), "rb") as file:
+        known = codec.pieces(file.read())
+    monkeypatch.setattr(codec, "REMEMBERED", 10_000)
+    known.memory.clear()
+    known.remembered = 0
+    expected = {}
+    for k in range(40):
+        units = [f" word{k}{j}" for j in range(30)] + [" the"]
+        found = codec._remembered(units, known)
+        expected[" the"] = expected.setdefault(" the", found[-1])
+        assert found[-1] == expected[" the"] and len(known.memory) < 200
+    assert codec._remembered([" x" * 30_000], known) and known.remembered < 30_000
+
+
 def test_scan_is_sequential_product():
     import numpy as np
 
