@@ -72,10 +72,27 @@ def explode_map(df: DataFrame, name: str, outer: bool = False) -> DataFrame:
     return entries if outer else entries.where(F.col(quoted(key)).isNotNull())
 
 
-def flatten(df: DataFrame, map_outer: bool = False) -> DataFrame:
+def explode_array_spread(df: DataFrame, name: str, rows: int) -> DataFrame:
+    """:func:`explode_array`, with the elements of one row dealt out to all tasks, ``rows`` at a time.
+
+    What a long array is multiplied with afterwards then has no single task to go through. This is a
+    shuffle of one row per slice.
+    """
+    array = F.col(quoted(name))
+    size = F.coalesce(F.size(array), F.lit(0))
+    starts = F.sequence(F.lit(1), F.greatest(size, F.lit(1)), F.lit(rows))
+    slices = F.when(size > rows, F.transform(starts, lambda k: F.slice(array, k, rows))).otherwise(F.array(array))
+    pieces = df.select(*[slices.alias(c) if c == name else F.col(quoted(c)) for c in df.columns])
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return explode_array(explode_array(pieces, name).repartition(tasks), name)
+
+
+def flatten(df: DataFrame, map_outer: bool = False, spread_rows: int | None = None) -> DataFrame:
     """Expand structs, arrays and maps until only plain columns are left.
 
-    Several arrays in one row multiply, element by element. Dotted field names work.
+    Several arrays in one row multiply, element by element. Dotted field names work. With ``spread_rows`` the
+    first array of a document is dealt out over all tasks before the others multiply it,
+    so that no task has to write a whole huge document.
     """
     while True:
         df = expand_structs(df)
@@ -84,7 +101,10 @@ def flatten(df: DataFrame, map_outer: bool = False) -> DataFrame:
         )
         if nested is None:
             return df
-        if isinstance(nested.dataType, ArrayType):
-            df = explode_array(df, nested.name)
-        else:
+        if isinstance(nested.dataType, MapType):
             df = explode_map(df, nested.name, map_outer)
+        elif spread_rows:
+            df = explode_array_spread(df, nested.name, spread_rows)
+            spread_rows = None
+        else:
+            df = explode_array(df, nested.name)

@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Fixed value: message for a record whose layout result is not there.
-NO_LAYOUT = "no layout result"
+from nestweave.sources.documents import NO_LAYOUT
 
 
 def responses(records: DataFrame, documents: DataFrame) -> DataFrame:

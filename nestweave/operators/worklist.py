@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from nestweave.entities import Entity
 
-FETCHED_SCHEMA = "id string, status int, body string"
+FETCHED_SCHEMA = "id string, status int, body string, error string"
+#: Characters of bodies that a worker holds before it hands them on.
+FRAME_SIZE = 16 << 20
 
 
 def pending_ids(work: DataFrame, landed: DataFrame | None, entity: Entity) -> DataFrame:
@@ -35,28 +37,37 @@ def enrich(
     fetch: Callable[[str], tuple[int, str | None]],
     parallelism: int,
     argument: str = "id",
+    frame_size: int = FRAME_SIZE,
 ) -> DataFrame:
-    """Call ``fetch(argument)`` for every row: ``(id, status, body)``.
+    """Call ``fetch(argument)`` for every row: ``(id, status, body, error)``.
 
     ``parallelism`` bounds the number of concurrent callers, for services that ask for it.
     Rows are dealt out evenly, whatever ids repeat. ``fetch`` must stand being called twice
     for one row, since a lost executor repeats its tasks. A call that raises gives a null
-    status, and the others go on.
+    status and says why in ``error``, and the others go on. Bodies are handed on once they come to
+    ``frame_size`` characters, so that a worker holds little more, whatever their number.
     """
 
     def call(batches):
         import pandas as pd
 
+        def frame(out):
+            made = pd.DataFrame(out, columns=["id", "status", "body", "error"])
+            return made.astype({"status": "Int32"})
+
         for batch in batches:
-            out = []
+            out, size = [], 0
             for key, value in zip(batch["id"], batch["argument"]):
                 try:
                     status, body = fetch(value)
-                except Exception:
-                    status, body = None, None
-                out.append((key, status, body))
-            frame = pd.DataFrame(out, columns=["id", "status", "body"])
-            yield frame.astype({"status": "Int32"})
+                    out.append((key, status, body, None))
+                    size += len(body or "")
+                except Exception as error:
+                    out.append((key, None, None, f"{type(error).__name__}: {error}"))
+                if size >= frame_size:
+                    yield frame(out)
+                    out, size = [], 0
+            yield frame(out)
 
     calls = work.select(
         F.col("id").cast("string").alias("id"), F.col(argument).cast("string").alias("argument")
@@ -65,9 +76,10 @@ def enrich(
 
 
 def succeeded(fetched: DataFrame) -> DataFrame:
-    return fetched.where(F.col("status") == 200)
+    """``(id, status, body)`` of the calls that gave a 200."""
+    return fetched.where(F.col("status") == 200).drop("error")
 
 
 def failed(fetched: DataFrame) -> DataFrame:
-    """``(id, status)`` of everything that is not a 200, calls without a status included."""
-    return fetched.where(~F.col("status").eqNullSafe(200)).select("id", "status")
+    """``(id, status, error)`` of everything that is not a 200, calls without a status included."""
+    return fetched.where(~F.col("status").eqNullSafe(200)).drop("body")

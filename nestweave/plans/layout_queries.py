@@ -220,14 +220,19 @@ def section_explode_markdown(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(f"""
 WITH {_ALL_LINES_SQL}
-SELECT CAST(n - 1 AS BIGINT) AS seq, line AS content, CAST((n - 1) // 10 + 1 AS BIGINT) AS page FROM all_lines
+SELECT doc_id AS doc, CAST(n - 1 AS BIGINT) AS seq, line AS content, CAST((n - 1) // 10 + 1 AS BIGINT) AS page FROM all_lines
 """)
 def layout_scan(spark: SparkSession, folder: str) -> DataFrame:
-    """Layout results read from JSON files."""
+    """Layout results read from JSON files, one each, by the file's path."""
     path = scratch_dir(spark, "layouts")
-    _page_layouts(spark, folder).select("layout").write.text(path)
-    sections = explode_sections(document_sections(read_layouts(spark, path, multiline=False)))
-    return sections.select("seq", "content", F.col("pageNumber").cast("bigint").alias("page"))
+    _page_layouts(spark, folder).write.partitionBy("doc_id").text(path)
+    sections = explode_sections(document_sections(read_layouts(spark, f"{path}/*")))
+    return sections.select(
+        F.regexp_extract("doc", "doc_id=([0-9]+)/", 1).cast("bigint").alias("doc"),
+        "seq",
+        "content",
+        F.col("pageNumber").cast("bigint").alias("page"),
+    )
 
 
 @query("""
@@ -579,17 +584,21 @@ def section_paths(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(_layout_chunk_sql("""
 SELECT doc_id // 20 AS request, doc_id % 20 AS position, 'd' || (doc_id % 7) AS "recordId",
-       CASE WHEN source = 'src1' OR d.lang = 'de' OR source = 'src2' THEN NULL
+       CASE WHEN source IN ('src1', 'src2', 'src3') OR d.lang = 'de' THEN NULL
             ELSE (SELECT count(*) FROM chunks c WHERE c.doc_id = d.doc_id) END AS n_chunks,
+       CASE WHEN source IN ('src1', 'src2', 'src3') OR d.lang = 'de' THEN NULL
+            ELSE (SELECT max("pageEnd") FROM chunks c JOIN groups r USING (doc_id, g) WHERE c.doc_id = d.doc_id)
+            END AS last_page,
        CASE WHEN source = 'src1' THEN 'file_data missing ''data'' or ''url'''
-            WHEN d.lang = 'de' THEN 'no layout result'
+            WHEN d.lang = 'de' OR source = 'src3' THEN 'no layout result'
             WHEN source = 'src2' THEN 'layout result is not valid JSON' END AS message
 FROM documents d
 """))
 def response_records(spark: SparkSession, folder: str) -> DataFrame:
     """Response envelopes through their sink: chunks of good records, errors of others.
 
-    Record ids repeat within and between requests; some layouts are cut off.
+    Record ids repeat within and between requests; some layouts are cut off, some null, and some give their
+    page numbers as text or with a fraction, which is no error.
     """
     documents = table(spark, folder, "documents")
     records = documents.select(
@@ -600,13 +609,20 @@ def response_records(spark: SparkSession, folder: str) -> DataFrame:
         F.when(F.col("source") != "src1", F.concat(F.lit("https://files.example.com/"), "doc_id")).alias("url"),
         F.lit(None).cast("string").alias("sasToken"),
     )
-    analysed = documents.where("lang <> 'de'").select("doc_id", "source")
+    analysed = documents.where("lang <> 'de'").select("doc_id", "source", "lang")
     layouts = _page_layouts(spark, folder).join(analysed, "doc_id")
     key = F.struct(
         F.floor(F.col("doc_id") / RECORDS_PER_REQUEST).alias("request"),
         (F.col("doc_id") % RECORDS_PER_REQUEST).alias("position"),
     )
-    whole = F.when(F.col("source") == "src2", F.expr("left(layout, length(layout) - 3)")).otherwise(F.col("layout"))
+    page = r'"pageNumber":([0-9]+)'
+    whole = (
+        F.when(F.col("source") == "src2", F.expr("left(layout, length(layout) - 3)"))
+        .when(F.col("source") == "src3", F.lit(None))
+        .when(F.col("lang") == "fr", F.regexp_replace("layout", page, '"pageNumber":"$1"'))
+        .when(F.col("lang") == "es", F.regexp_replace("layout", page, '"pageNumber":$1.0'))
+        .otherwise(F.col("layout"))
+    )
     keyed = layouts.select(key.alias("key"), whole.alias("layout"))
     chunks = document_chunks(document_sections(parse_layouts(keyed, "key", "layout")))
     path = scratch_dir(spark, "responses")
@@ -614,7 +630,7 @@ def response_records(spark: SparkSession, folder: str) -> DataFrame:
     with_request = envelopes.select(F.to_json(F.struct("request", "response")).alias("response"))
     write_responses(with_request, path)
 
-    record = "struct<recordId:string,data:struct<chunks:array<struct<content:string,h1:string>>>,errors:array<struct<message:string>>>"
+    record = "struct<recordId:string,data:struct<chunks:array<struct<content:string,h1:string,pageEnd:bigint>>>,errors:array<struct<message:string>>>"
     values = F.from_json("value", f"values array<{record}>").getField("values")
     read = spark.read.schema("request long, response string").json(path)
     rows = read.withColumnRenamed("response", "value").select("request", F.posexplode(values).alias("position", "r"))
@@ -623,5 +639,6 @@ def response_records(spark: SparkSession, folder: str) -> DataFrame:
         F.col("position").cast("bigint").alias("position"),
         "r.recordId",
         F.when(F.col("r.data").isNotNull(), F.size("r.data.chunks")).cast("bigint").alias("n_chunks"),
+        F.array_max("r.data.chunks.pageEnd").alias("last_page"),
         F.get(F.col("r.errors.message"), F.lit(0)).alias("message"),
     )

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -43,24 +45,62 @@ def write_statements(feed: DataFrame, path: str) -> None:
     feed.coalesce(1).write.mode("overwrite").json(path)
 
 
+LANDING_SCHEMA = "id string, status int, body string, error string, ok boolean, place long"
+
+
+def _landed(fetched: DataFrame) -> DataFrame:
+    ok = F.col("status").eqNullSafe(200).alias("ok")
+    # tells apart objects of one id in one batch; fixed once written
+    place = F.monotonically_increasing_id().alias("place")
+    error = F.col("error") if "error" in fetched.columns else F.lit(None).cast("string").alias("error")
+    return fetched.select("id", "status", "body", error, ok, place)
+
+
 def land(fetched: DataFrame, root: str, batch: int) -> None:
     """Write fetched objects once, as the folder ``batch=<n>`` of one table.
 
     Good and failed calls come out of the same pass, so nothing is fetched twice. A batch
     that is run again replaces all it wrote before, and no other.
     """
-    ok = F.col("status").eqNullSafe(200).alias("ok")
-    # tells apart objects of one id in one batch; fixed once written
-    place = F.monotonically_increasing_id().alias("place")
-    fetched.select("id", "status", "body", ok, place).write.mode("overwrite").parquet(
-        f"{root}/batch={batch}"
-    )
+    _landed(fetched).write.mode("overwrite").parquet(f"{root}/batch={batch}")
+
+
+def land_in_parts(
+    pending: DataFrame,
+    fetch: Callable[[DataFrame], DataFrame],
+    root: str,
+    batch: int,
+    parts: int,
+    part_of: Column | None = None,
+) -> None:
+    """Fetch and land a batch in parts by id, so that an attempt goes on where the last one ended.
+
+    ``fetch`` gives the fetched objects of some pending rows. The pending rows of the first attempt are
+    kept beside the landing. A part is written whole or not at all, and each one there is left as it
+    is: its objects are not fetched again. ``part_of`` tells a row's part, 0 to ``parts`` - 1, unless
+    by a hash of its id.
+    """
+    spark = pending.sparkSession
+    plan = f"{root}/_pending/batch={batch}"
+    if not _is_there(spark, plan):
+        by_hash = F.pmod(F.xxhash64(F.col("id").cast("string")), F.lit(parts)).cast("int")
+        pending.withColumn("part", by_hash if part_of is None else part_of).write.mode("overwrite").parquet(plan)
+    planned = spark.read.parquet(plan)
+    for part in range(parts):
+        path = f"{root}/batch={batch}/part={part}"
+        if not _is_there(spark, path):
+            rows = planned.where(F.col("part") == part).drop("part")
+            _landed(fetch(rows)).write.mode("overwrite").parquet(path)
+
+
+def _is_there(spark: SparkSession, path: str) -> bool:
+    """Whether a table was written there to its end."""
+    file = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return file.getFileSystem(spark._jsc.hadoopConfiguration()).exists(file)
 
 
 def read_landing(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.schema(
-        "id string, status int, body string, ok boolean, place long, batch int"
-    ).parquet(root)
+    return spark.read.schema(f"{LANDING_SCHEMA}, batch int").parquet(root)
 
 
 def landed_ids(landing: DataFrame) -> DataFrame:
@@ -69,7 +109,7 @@ def landed_ids(landing: DataFrame) -> DataFrame:
 
 
 def landing_failures(landing: DataFrame) -> DataFrame:
-    return landing.where(~F.col("ok")).select("id", "status", "batch")
+    return landing.where(~F.col("ok")).select("id", "status", "error", "batch")
 
 
 def latest_objects(landing: DataFrame) -> DataFrame:

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.streaming import DataStreamReader
+from pyspark.sql.types import StructType
 
+from nestweave.functions.generators import elements
 from nestweave.session import staged
 
 LAYOUT_SCHEMA = """
@@ -21,10 +23,10 @@ analyzeResult struct<
     blocks: array<struct<category: string, content: string, boundingPolygons: variant>>>>>
 """
 
-CORRUPT = "_corrupt_record"
-#: Fixed value: message for a layout that is not valid JSON.
+# Messages for a layout that is not valid JSON, and for one that is not there.
 UNREADABLE = "layout result is not valid JSON"
-_LAYOUT_OR_TEXT = LAYOUT_SCHEMA.replace("\n", " ").strip() + f", {CORRUPT} string"
+NO_LAYOUT = "no layout result"
+_LAYOUT_TYPE = LAYOUT_SCHEMA.replace("\n", " ").strip().removeprefix("analyzeResult ")
 NO_INPUT = {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"}
 
 
@@ -57,27 +59,51 @@ def read_documents_if_any(
         return spark.createDataFrame([], schema)
 
 
+def documents_if_any(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame | None:
+    """Like :func:`read_documents` with an inferred schema; None for an empty or missing folder."""
+    try:
+        return read_documents(spark, path, multiline=multiline)
+    except AnalysisException as error:
+        if error.getCondition() not in NO_INPUT:
+            raise
+        return None
+
+
+def raw_documents(reader: DataFrameReader | DataStreamReader, path: str | list[str], multiline: bool = True) -> DataFrame:
+    """``(file, text)``: a document's text per file, or per line with ``multiline=False``; blank lines are none."""
+    rows = reader.text(path, wholetext=multiline)
+    return rows.select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("text")).where(
+        ~F.col("text").rlike(r"\A\s*\z")
+    )
+
+
+def parsed_documents(raw: DataFrame) -> DataFrame:
+    """``(file, text, document)`` with the text as VARIANT, null where it is not valid JSON.
+
+    A text that is a list holds a document per element. The text is kept only where it could not be read.
+    """
+    parsed = raw.select("file", "text", F.try_parse_json("text").alias("parsed"))
+    several = F.try_variant_get("parsed", "$", "array<variant>")
+    is_list = F.startswith(F.schema_of_variant("parsed"), F.lit("ARRAY"))
+    documents = F.when(F.coalesce(is_list, F.lit(False)), several).otherwise(F.array("parsed"))
+    unread = F.when(F.col("parsed").isNull(), F.col("text")).alias("text")
+    return elements(parsed.select("file", unread, documents.alias("documents")), ["file", "text"], "documents", "at", "document").drop("at")
+
+
 def split_unreadable(
     spark: SparkSession, path: str | list[str], schema: StructType, multiline: bool = True
 ) -> tuple[DataFrame, DataFrame]:
-    """Readable documents, and ``(file, record)`` of those that are not valid JSON.
+    """Documents under a schema, and ``(file, record)`` of those that are not valid JSON.
 
-    The input is parsed once, into a staged copy both results read.
+    A value of another type than its field's is null in its document, which stays
+    (:func:`nestweave.sources.capture.unexpected` reports it). The input is parsed once, into a
+    staged copy both results read.
     """
-    with_corrupt = StructType(schema.fields).add(CORRUPT, StringType())
-    rows = (
-        spark.read.schema(with_corrupt)
-        .option("multiLine", multiline)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .json(path)
-        .select("*", F.col("_metadata.file_path").alias("file"))
-    )
-    rows = staged(rows, "parsed")
-    readable = rows.where(F.col(CORRUPT).isNull()).drop(CORRUPT, "file")
-    unreadable = rows.where(F.col(CORRUPT).isNotNull()).select(
-        "file", F.col(CORRUPT).alias("record")
-    )
+    from nestweave.sources.capture import typed
+
+    rows = staged(parsed_documents(raw_documents(spark.read, path, multiline)), "parsed")
+    readable = typed(rows.where("document IS NOT NULL"), schema)
+    unreadable = rows.where("document IS NULL").select("file", F.col("text").alias("record"))
     return readable, unreadable
 
 
@@ -87,28 +113,20 @@ def read_layouts(
     """Layout results ``(doc, analyzeResult, error)``, keyed by file path.
 
     ``error`` tells those that are no valid JSON; a valid one without ``analyzeResult`` is an
-    empty document.
-
-    The schema is fixed, so there is no inference pass. Polygons stay a VARIANT: malformed
-    ones must not turn the whole record to null. With one layout per line, use a key inside
-    the record instead of ``doc``.
+    empty document. With one layout per line, use a key inside the record instead of ``doc``.
     """
-    return (
-        spark.read.schema(_LAYOUT_OR_TEXT)
-        .option("multiLine", multiline)
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .json(path)
-        .select(F.col("_metadata.file_path").alias("doc"), "analyzeResult", _error(F.col(CORRUPT)))
-    )
+    raw = raw_documents(spark.read, path, multiline)
+    return parse_layouts(raw, "file", "text")
 
 
 def parse_layouts(df: DataFrame, doc: str, layout: str) -> DataFrame:
-    """Layout results ``(doc, analyzeResult, error)`` held as JSON text in a column."""
-    parsed = F.from_json(layout, _LAYOUT_OR_TEXT, {"columnNameOfCorruptRecord": CORRUPT})
-    return df.select(F.col(doc).alias("doc"), parsed.alias("parsed")).select(
-        "doc", "parsed.analyzeResult", _error(F.col(f"parsed.{CORRUPT}"))
-    )
+    """Layout results ``(doc, analyzeResult, error)`` held as JSON text in a column.
 
-
-def _error(corrupt: Column) -> Column:
-    return F.when(corrupt.isNotNull(), UNREADABLE).alias("error")
+    The fields are fixed, so there is no inference pass, and each is read on its own: a page number given as
+    text or with a fraction is a number, a value of another kind is null, and what is malformed
+    inside a polygon stays there. Only text that is no JSON, or is null, is an error.
+    """
+    parsed = df.select(F.col(doc).alias("doc"), F.col(layout).alias("layout"), F.try_parse_json(layout).alias("parsed"))
+    error = F.when(F.col("layout").isNull(), NO_LAYOUT).when(F.col("parsed").isNull(), UNREADABLE)
+    result = F.try_variant_get("parsed", "$.analyzeResult", _LAYOUT_TYPE)
+    return parsed.select("doc", result.alias("analyzeResult"), error.alias("error"))

@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable, Iterator
+from itertools import islice
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from nestweave.entities import Entity
 
+#: Paths that a task hands on at a time.
+PATHS = 10_000
+
 
 def read_worklist(spark: SparkSession, path: str | list[str], entity: Entity) -> DataFrame:
     """The ``id`` column of a worklist; records without one are dropped.
@@ -20,7 +26,47 @@ def read_worklist(spark: SparkSession, path: str | list[str], entity: Entity) ->
 def landed_file_ids(spark: SparkSession, folder: str) -> DataFrame:
     """Ids of a folder that holds one file per id, named by it. File content is not read.
 
-    Listing files costs the driver memory per file; for large stores use the landing table.
+    Listing files costs the driver memory per file; for large stores use :func:`listed_ids` or the
+    landing table.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
     return files.select(F.col("_metadata.file_name").alias("id"))
+
+
+def list_prefix(prefix: str) -> Iterator[str]:
+    """Paths of all files below a prefix, through the store that its scheme names."""
+    from pyarrow.fs import FileSelector, FileSystem, FileType
+
+    store, root = FileSystem.from_uri(prefix)
+    folders = [root]
+    while folders:
+        for found in store.get_file_info(FileSelector(folders.pop(), allow_not_found=True)):
+            if found.type == FileType.Directory:
+                folders.append(found.path)
+            else:
+                yield found.path
+
+
+def listed_ids(
+    prefixes: DataFrame, pattern: str = "([^/]+)$", listing: Callable[[str], Iterable[str]] = list_prefix
+) -> DataFrame:
+    """Ids of the files below prefixes (column ``prefix``), taken from their paths by a pattern.
+
+    The tasks list, each its share of the prefixes, and hand paths on as they find them: no list is
+    held anywhere, on the driver least. ``listing`` gives the paths below a prefix, folder by
+    folder. Hidden files are left out, files that do not match have no id; an id comes once.
+    """
+
+    def run(batches):
+        import pandas as pd
+
+        for batch in batches:
+            for prefix in batch["prefix"]:
+                paths = iter(listing(prefix))
+                while some := list(islice(paths, PATHS)):
+                    yield pd.DataFrame({"path": some})
+
+    tasks = int(prefixes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    found = prefixes.select("prefix").where("prefix IS NOT NULL").repartition(tasks).mapInPandas(run, "path string")
+    named = found.where(~F.col("path").rlike(r"/[._][^/]*$"))
+    return named.select(F.regexp_extract("path", pattern, 1).alias("id")).where("id <> ''").distinct()

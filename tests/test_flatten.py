@@ -146,3 +146,20 @@ def test_plans_stay_in_the_jvm_and_do_not_shuffle(spark, plan, entity):
             assert word not in text
     child = normalize(spark.read.parquet(path), entity)[entity.child_table("t")]
     assert "ReadSchema: struct<id:string,t:array" in plan(child)
+
+
+def test_one_huge_document_is_dealt_out(spark):
+    wide = spark.range(1).selectExpr("id", "sequence(1, 20000) AS a", "sequence(1, 200) AS b", "array() AS none")
+    flat = flatten(wide, spread_rows=64)
+    per_task = [r["n"] for r in flat.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert sum(per_task) == 20_000 * 200 and len(per_task) == tasks
+    assert max(per_task) <= 2 * sorted(per_task)[tasks // 2]
+    assert flat.distinct().count() == 20_000 * 200
+
+
+def test_dealing_out_changes_no_row(spark):
+    rows = [(1, [1, 2, 3, 4, 5], ["x", "y"]), (2, [], ["z"]), (3, None, None), (4, [None, 7], [])]
+    df = spark.createDataFrame(rows, "id int, a array<int>, b array<string>")
+    for size in (1, 2, 100):
+        assert sorted(map(repr, flatten(df, spread_rows=size).collect())) == sorted(map(repr, flatten(df).collect()))

@@ -111,6 +111,27 @@ def test_layout_files(spark, tmp_path):
     assert found == {"a.json": ["H\nt"], "b.json": []}
 
 
+def test_no_layout_files(spark, tmp_path):
+    (tmp_path / "empty").mkdir()
+    for folder in ("empty", "missing"):
+        chunk_run(spark, str(tmp_path / folder), str(tmp_path / "out"))
+        assert spark.read.parquet(str(tmp_path / "out")).count() == 0
+
+
+def test_layout_errors_are_of_the_text_only(spark):
+    pages = ["3", 3.0, 3, "x", None, [3], {"a": 1}, 2.9]
+    texts = [json.dumps({"analyzeResult": {"markdown": {"sections": [{"content": "x", "pageNumber": p}]}}}) for p in pages]
+    texts += ['{"analyzeResult": {"markdown": {', None, "", "{}", '{"analyzeResult": 5}', '{"analyzeResult": {"markdown": {"sections": "x"}}}',
+              '{"analyzeResult": {"pages": [{"pageNumber": "2", "blocks": [{"content": 7, "category": 1}, "junk", null]}]}}']
+    df = spark.createDataFrame(list(enumerate(texts)), "doc int, layout string")
+    parsed = parse_layouts(df, "doc", "layout")
+    errors = [r["error"] for r in parsed.orderBy("doc").collect()]
+    assert errors == [None] * 8 + ["layout result is not valid JSON", "no layout result", "layout result is not valid JSON"] + [None] * 4
+    found = values(explode_sections(document_sections(parsed)).orderBy("doc", "seq"), "doc", "content", "pageNumber")
+    assert found[:8] == [(k, "x", p) for k, p in enumerate([3, 3, 3, None, None, None, None, 2])]
+    assert found[8:] == [(14, "7", 2), (14, "", 2), (14, "", 2)]
+
+
 # ---- folds
 
 

@@ -11,6 +11,7 @@ from nestweave.operators.worklist import enrich, failed, pending_ids, succeeded
 from nestweave.plans.runs import fetch_run, normalize_run
 from nestweave.sinks.tables import (
     land,
+    land_in_parts,
     landed_ids,
     landing_failures,
     latest_objects,
@@ -18,11 +19,20 @@ from nestweave.sinks.tables import (
     read_landing,
     write_registry,
 )
-from nestweave.sources.documents import read_documents, read_documents_if_any, split_unreadable
+from nestweave.sources.capture import typed, unexpected
+from nestweave.sources.documents import (
+    documents_if_any,
+    parsed_documents,
+    raw_documents,
+    read_documents,
+    read_documents_if_any,
+    split_unreadable,
+)
+from nestweave.sources.inference import as_type, learn, learned_schema, merged, settled
 from nestweave.sources.registry import read_registry
-from nestweave.sources.worklist import landed_file_ids, read_worklist
+from nestweave.sources.worklist import landed_file_ids, listed_ids, read_worklist
 from nestweave.streaming.incremental import append_batch, run_incremental
-from pyspark.sql.types import BooleanType, DateType, DoubleType, IntegerType, LongType, StringType
+from pyspark.sql.types import BooleanType, DateType, DoubleType, IntegerType, LongType, StringType, StructType
 
 
 def rows(df):
@@ -57,8 +67,9 @@ def test_unreadable_files_are_set_apart(spark, tmp_path):
     write(tmp_path / "in/good", {"id": "1"})
     write(tmp_path / "in/bad", '{"id": ')
     schema = spark.createDataFrame([], "id string").schema
+    write(tmp_path / "in/other", {"id": {"a": 1}, "b": 2})
     good, bad = split_unreadable(spark, str(tmp_path / "in"), schema)
-    assert rows(good) == [("1",)]
+    assert rows(good) == [("1",), ('{"a":1}',)]
     assert [r["file"].rsplit("/", 1)[1] for r in bad.collect()] == ["bad"]
 
 
@@ -79,6 +90,70 @@ def test_landed_files_without_reading_them(spark, plan, tmp_path):
     assert "ReadSchema: struct<>" in plan(ids)
 
 
+def test_ids_listed_by_tasks(spark, tmp_path):
+    for shard, name in ((0, "7"), (0, "8"), (1, "9"), (1, "7"), (1, "deep/er/10")):
+        write(tmp_path / f"raw/{shard}" / name, {"id": name})
+    write(tmp_path / "raw/0/_SUCCESS", "")
+    paths = [(f"file://{tmp_path}/raw/{shard}",) for shard in (0, 1, 2)] + [(None,)]
+    prefixes = spark.createDataFrame(paths, "prefix string")
+    assert rows(listed_ids(prefixes)) == [("10",), ("7",), ("8",), ("9",)]
+    assert rows(listed_ids(prefixes, "/deep/.*/([^/]+)$")) == [("10",)]
+    many = listed_ids(prefixes.limit(1), listing=lambda prefix: (f"{prefix}/{k}" for k in range(25_000)))
+    assert many.count() == 25_000
+
+
+# ---- schemas and what lies outside them
+
+
+DOCUMENTS = [
+    {"id": "1", "a": 1, "n": {"x": 1, "zz": [1, 2]}, "l": [{"k": 1}, {"k": "q", "m": 2}]},
+    {"id": "2", "a": "x", "new f": 0.5, "none": None, "empty": {}, "list": []},
+    {"id": 3, "a": 3.5, "n": 7, "l": None, "new f": 1, "deep": [[{"b": True}]]},
+    {"id": "4", "n": {"x": 2.5, "y": None}, "big": 12345678901234567890, "l": [{"m": 1.5}]},
+]
+
+
+def test_learned_schemas_equal_full_inference(spark, tmp_path):
+    raw, store, checkpoint = (str(tmp_path / n) for n in ("raw", "store", "checkpoint"))
+    assert learned_schema(spark, store).fields == []
+    for k, document in enumerate(DOCUMENTS):
+        write(tmp_path / f"raw/{k}", document)
+        found = learn(spark, raw, store, checkpoint)
+        full = read_documents(spark, raw).schema
+        assert found.simpleString() == full.simpleString()
+    assert len(list((tmp_path / "store").glob("batch=*"))) == len(DOCUMENTS)
+    one_pass = learn(spark, raw, str(tmp_path / "again"), str(tmp_path / "fresh"))
+    assert one_pass == found
+
+
+def test_merging_schemas_takes_any_order(spark, tmp_path):
+    import itertools
+    from functools import reduce
+
+    kinds = [as_type(t) for t in ("OBJECT<a: BIGINT, b: ARRAY<VOID>>", "OBJECT<a: VOID, `c d`: OBJECT<>>",
+                                  "OBJECT<a: DECIMAL(3,1), b: ARRAY<OBJECT<x: BOOLEAN>>>", "OBJECT<a: DECIMAL(20,0)>")]
+    results = {settled(reduce(merged, some)).simpleString() for some in itertools.permutations(kinds)}
+    assert results == {"struct<a:double,b:array<struct<x:boolean>>>"}
+
+
+def test_unexpected_values(spark, tmp_path):
+    schema = StructType.fromDDL("id string, a int, n struct<x:bigint>, l array<struct<k:int>>")
+    for k, document in enumerate(DOCUMENTS):
+        write(tmp_path / f"in/{k}", document)
+    documents = parsed_documents(raw_documents(spark.read, str(tmp_path / "in")))
+    assert rows(typed(documents, schema).select("id", "a", "n.x", "l.k")) == [
+        ("1", 1, 1, [1, None]), ("2", None, None, None), ("3", 3, None, None), ("4", None, 2, [None])]
+    key = F.try_variant_get("document", "$.id", "string").alias("id")
+    found = rows(unexpected(documents.select(key, "document"), schema, ["id"]))
+    assert found == [
+        ("1", "l[].k", "mistyped", '"q"'), ("1", "l[].m", "unknown", "2"), ("1", "n.zz", "unknown", "[1,2]"),
+        ("2", "a", "mistyped", '"x"'), ("2", "empty", "unknown", "{}"), ("2", "list", "unknown", "[]"),
+        ("2", "new f", "unknown", "0.5"), ("2", "none", "unknown", "null"),
+        ("3", "deep", "unknown", '[[{"b":true}]]'), ("3", "n", "mistyped", "7"), ("3", "new f", "unknown", "1"),
+        ("4", "big", "unknown", "12345678901234567890"), ("4", "l[].m", "unknown", "1.5"), ("4", "n.y", "unknown", "null"),
+    ]
+
+
 # ---- worklist and landing
 
 
@@ -99,7 +174,46 @@ def test_enrich_isolates_errors(spark):
     out = enrich(spark.range(5), fetch, 2)
     assert out.rdd.getNumPartitions() == 2
     assert rows(succeeded(out)) == [("0", 200, "<0>"), ("1", 200, "<1>"), ("4", 200, "<4>")]
-    assert rows(failed(out)) == [("2", 500), ("3", None)]
+    assert rows(failed(out)) == [("2", 500, None), ("3", None, "RuntimeError: 3")]
+
+
+def test_enrich_hands_bodies_on_in_bounded_frames(spark):
+    """Ten thousand bodies of one megabyte; a worker must hold but a few of them."""
+
+    def fetch(value):
+        import resource
+
+        if resource.getrusage(resource.RUSAGE_SELF).ru_maxrss > 1 << 20:  # kilobytes
+            raise MemoryError
+        return 200, value[:1] * (1 << 20)
+
+    fetched = enrich(spark.range(10_000), fetch, 8)
+    found = fetched.agg(F.count("*"), F.count("error"), F.sum(F.length("body"))).first()
+    assert tuple(found) == (10_000, 0, 10_000 << 20)
+
+
+def test_a_batch_in_parts_goes_on_where_it_ended(spark, tmp_path):
+    root, calls = str(tmp_path / "landing"), []
+    pending = spark.createDataFrame([(str(k),) for k in range(40)], "id string")
+
+    def attempt(ends_at):
+        def fetched(rows):
+            calls.append(rows.count())
+            if len(calls) == ends_at:
+                raise InterruptedError
+            return enrich(rows, lambda key: (200, f"{ends_at}"), 2)
+
+        return fetched
+
+    with pytest.raises(InterruptedError):
+        land_in_parts(pending, attempt(3), root, 7, 5)
+    assert 0 < read_landing(spark, root).count() < 40
+    land_in_parts(pending.limit(0), attempt(None), root, 7, 5)  # the rows of the first attempt count
+    landing = read_landing(spark, root)
+    assert sorted(int(r["id"]) for r in landing.collect()) == list(range(40))
+    assert len(calls) == 6 and {r["body"] for r in landing.collect()} == {"3", "None"}
+    land_in_parts(pending, attempt(None), root, 7, 5)
+    assert len(calls) == 6
 
 
 def test_landing_replaces_a_batch_and_reads_the_latest(spark, tmp_path):
@@ -112,7 +226,7 @@ def test_landing_replaces_a_batch_and_reads_the_latest(spark, tmp_path):
     landing = read_landing(spark, root)
     assert landing.count() == 4
     assert rows(landed_ids(landing).distinct()) == [("1",)]
-    assert rows(landing_failures(landing)) == [("2", 404, 1), ("3", None, 1)]
+    assert rows(landing_failures(landing)) == [("2", 404, None, 1), ("3", None, None, 1)]
     latest = latest_objects(landing)
     assert rows(parse_objects(latest)) == [(1, "c")]
     assert rows(parse_objects(latest, "v string")) == [("c",)]
@@ -252,7 +366,39 @@ def test_incremental_handles_each_document_once(spark, tmp_path):
 
 
 def test_a_repeated_batch_replaces_itself(spark, tmp_path):
-    df = spark.createDataFrame([("1", [1])], "id string, t array<int>")
+    root, schema = str(tmp_path), StructType.fromDDL("id string, t array<int>")
+    raw = lambda *texts: spark.createDataFrame([("f", t) for t in texts], "file string, text string")
     for _ in range(2):
-        append_batch(df, 4, TICKETS, str(tmp_path))
-    assert spark.read.parquet(str(tmp_path / "intercom_tickets_t")).count() == 1
+        append_batch(raw('{"id": "1", "t": [1], "more": 1}', "{"), 4, schema, TICKETS, root)
+    assert spark.read.parquet(f"{root}/intercom_tickets_t").count() == 1
+    assert rows(spark.read.parquet(f"{root}/_statements").select("statement")) == [
+        ("ALTER TABLE intercom_tickets_rest_of_fields ADD __id__ NVARCHAR(MAX), __more__ NVARCHAR(MAX);",),
+        ("ALTER TABLE intercom_tickets_t ADD __id__ NVARCHAR(MAX), __t__ INT;",),
+    ]
+    assert spark.read.parquet(f"{root}/_unreadable").count() == 1
+
+
+def test_fields_that_grow_and_values_that_do_not_fit(spark, tmp_path):
+    root, schema = str(tmp_path / "tables"), StructType.fromDDL("id string, a int")
+    texts = ['{"id": "1", "a": 1}', '{"id": "2", "a": "x", "b": 0.5}', '{"id": "3", "a": 3, "b": "y"}']
+    for batch, text in enumerate(texts):
+        append_batch(spark.createDataFrame([("f", text)], "file string, text string"), batch, schema, TICKETS, root)
+    base = spark.read.option("mergeSchema", True).parquet(f"{root}/intercom_tickets_rest_of_fields")
+    assert rows(base.select("__id__", "__a__", "__b__")) == [("1", 1, None), ("2", None, 0.5), ("3", 3, None)]
+    assert rows(spark.read.parquet(f"{root}/_unexpected").select("batch", "path", "kind", "value")) == [
+        (1, "a", "mistyped", '"x"'), (2, "b", "mistyped", '"y"')]
+    statements = spark.read.parquet(f"{root}/_statements").select("batch", "statement")
+    assert [s for b, s in rows(statements) if b == 1] == ["ALTER TABLE intercom_tickets_rest_of_fields ADD __b__ FLOAT;"]
+    assert [s for b, s in rows(statements) if b == 2] == [TICKETS.noop_statement]
+    pinned = str(tmp_path / "pinned")
+    append_batch(spark.createDataFrame([("f", texts[1])], "file string, text string"), 0, schema, TICKETS, pinned, evolve=False)
+    assert rows(spark.read.parquet(f"{pinned}/_unexpected").select("path", "kind")) == [("a", "mistyped"), ("b", "unknown")]
+
+
+def test_nothing_landed(spark, tmp_path):
+    (tmp_path / "empty").mkdir()
+    for folder in ("empty", "missing"):
+        documents = documents_if_any(spark, str(tmp_path / folder))
+        where = [str(tmp_path / name) for name in ("tables", "registry", "ddl")]
+        assert documents is None and normalize_run(documents, CONVERSATIONS, *where) == {}
+        assert not any((tmp_path / name).exists() for name in ("tables", "registry", "ddl"))
