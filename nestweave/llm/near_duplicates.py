@@ -6,10 +6,12 @@ bucket are compared signature batch by signature batch: with a uniform prior, n
 of which m agree leave P(similarity >= t) = P(Binomial(n + 1, t) <= m), and a pair goes as soon
 as that is below the chosen miss probability. Survivors are confirmed on their full sets.
 
-A bucket never emits all its pairs. In each round its leaders (the smallest node of each of a
-few hash slots) meet the members that are not yet in their component, and leave the bucket;
-components are merged; buckets whose members are all in one component are done. So a bucket of
-copies costs one pair a member, and a pair of different components is still always compared.
+A bucket never emits all its pairs. First each member meets its bucket's lead, the node that shares
+most buckets with others. Two members that are similar and share no shingle outside the lead's set both
+have much of it: their common shingles are all in it. So members are dealt anew, by each shingle that the
+lead does not have and, those with enough of the lead's set, by the size of the smaller one. What is
+similar still meets, and what shares just a common core no longer does. In the small buckets that are left
+with several components, members outside the largest one meet the others, some in every round.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from nestweave.llm.components import components
-from nestweave.llm.storage import stage
+from nestweave.llm.storage import discard, stage
 from nestweave.llm.words import mix, shingles, slices, words
 
 WORDS = 5
@@ -33,8 +35,12 @@ BAND_ROWS = 5
 #: Hashes compared before the next look at the posterior.
 BATCH = 30
 MISS = 1e-6
-#: Leaders a bucket has at most in every round but the first, which has one.
+#: Leaders that a dealt bucket has at most in a round.
 SLOTS = 64
+#: Sizes of the classes that members are dealt by grow by this factor.
+GROWTH = 1.02
+#: Pairs of one node from which its values are copied, and so many times, for a join.
+HEAVY, COPIES = 1000, 32
 #: Ids of at most so many nodes (8 bytes each) are broadcast; beyond, the join shuffles.
 BROADCAST_NODES = 1_000_000
 #: Nodes of classes without any document id lie here; document ids are below.
@@ -42,7 +48,11 @@ _NO_ID = 1 << 62
 
 
 def least_matches(hashes: int, batch: int, threshold: float, miss: float) -> list[tuple[int, int]]:
-    """For each look (hashes compared so far), the fewest matches that a pair may have."""
+    """For each look (hashes compared so far), the fewest matches that a pair may have.
+
+    ``threshold`` is how likely hashes match: signatures keep one byte of each, so that others
+    match once in 256 times (:func:`of_bytes`).
+    """
 
     def tail(n: int, m: int) -> float:
         return sum(comb(n + 1, k) * threshold**k * (1 - threshold) ** (n + 1 - k) for k in range(m + 1))
@@ -51,8 +61,15 @@ def least_matches(hashes: int, batch: int, threshold: float, miss: float) -> lis
     return [(n, next(m for m in range(n + 1) if tail(n, m) >= miss)) for n in looks]
 
 
-def signatures(docs: DataFrame, id: str, text: str, size: int, hashes: int) -> DataFrame:
-    """Per document: id, number of shingles, a 128-bit fingerprint of the set, MinHash signature."""
+def of_bytes(similarity: float) -> float:
+    """How likely the last bytes of two MinHash values are equal."""
+    return similarity + (1 - similarity) / 256
+
+
+def signatures(docs: DataFrame, id: str, text: str, size: int, bands: int, band_rows: int) -> DataFrame:
+    """Per document: id, number of shingles, a 128-bit fingerprint of the set, the keys of its bands
+    and the last byte of each MinHash value."""
+    hashes = bands * band_rows
     rng = np.random.default_rng(7)
     flips = rng.integers(0, 1 << 32, hashes, dtype=np.uint32)
     factors = rng.integers(0, 1 << 31, hashes, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
@@ -71,39 +88,40 @@ def signatures(docs: DataFrame, id: str, text: str, size: int, hashes: int) -> D
                 high = (mix(value) >> np.uint64(32)).astype(np.uint32)
                 for k in range(hashes):
                     least[some, k] = np.minimum.reduceat((high ^ flips[k]) * factors[k], first)
-            raw = least.astype("<u4").tobytes()
-            width = 4 * hashes
+            low = least.astype(np.uint8).tobytes()
+            parts = least.reshape(batch.num_rows, bands, band_rows)
+            key = np.broadcast_to(mix(np.arange(1, bands + 1, dtype=np.uint64)), (batch.num_rows, bands))
+            for k in range(band_rows):
+                key = mix(key ^ parts[:, :, k].astype(np.uint64)) + np.uint64(1)
+            ends = np.arange(batch.num_rows + 1, dtype=np.int32) * bands
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("id"),
                     pa.array(counts, pa.int64()),
                     pa.array(prints[0].view(np.int64)),
                     pa.array(prints[1].view(np.int64)),
-                    pa.array([raw[k * width : (k + 1) * width] for k in range(batch.num_rows)], pa.binary()),
+                    pa.ListArray.from_arrays(pa.array(ends), pa.array(key.reshape(-1).view(np.int64))),
+                    pa.array([low[k * hashes : (k + 1) * hashes] for k in range(batch.num_rows)], pa.binary()),
                 ],
-                ["id", "n_shingles", "print_1", "print_2", "signature"],
+                ["id", "n_shingles", "print_1", "print_2", "keys", "signature"],
             )
 
     plain = docs.select(F.col(id).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
-    return plain.mapInArrow(run, "id long, n_shingles long, print_1 long, print_2 long, signature binary")
-
-
-def _bands(nodes: DataFrame, bands: int, band_rows: int) -> DataFrame:
-    """A row (key, node) for each band of each node's signature."""
+    return plain.mapInArrow(
+        run, "id long, n_shingles long, print_1 long, print_2 long, keys array<long>, signature binary"
+    )
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            raw = np.frombuffer(b"".join(batch.column("signature").to_pylist()), "<u4")
-            parts = raw.reshape(batch.num_rows, -1)[:, : bands * band_rows].reshape(batch.num_rows, bands, band_rows)
-            key = np.broadcast_to(mix(np.arange(1, bands + 1, dtype=np.uint64)), (batch.num_rows, bands))
-            for k in range(band_rows):
-                key = mix(key ^ parts[:, :, k].astype(np.uint64)) + np.uint64(1)
-            node = np.repeat(batch.column("node").to_numpy(), bands)
-            yield pa.RecordBatch.from_arrays([pa.array(key.reshape(-1).view(np.int64)), pa.array(node)], ["key", "node"])
 
-    return nodes.select("node", "signature").mapInArrow(run, "key long, node long")
+def _attached(pairs: DataFrame, values: DataFrame, side: str, name: str, value: str) -> DataFrame:
+    """Pairs (a, b) with a value of the nodes of one side; a node of very many pairs is copied, so that
+    its pairs do not meet in one task."""
+    other = "b" if side == "a" else "a"
+    heavy = pairs.groupBy(side).agg(F.count("*").alias("n")).where(F.col("n") > HEAVY).select(side, F.lit(COPIES).alias("copies"))
+    copies = F.coalesce("copies", F.lit(1))
+    dealt = pairs.join(heavy, side, "left").withColumn("copy", F.pmod(F.xxhash64(other), copies).cast("int")).drop("copies")
+    of = values.select(F.col("node").alias(side), F.col(value).alias(name)).join(heavy, side, "left")
+    of = of.withColumn("copy", F.explode(F.sequence(F.lit(0), copies - 1))).drop("copies")
+    return dealt.join(of, [side, "copy"]).drop("copy")
 
 
 def _plausible(pairs: DataFrame, nodes: DataFrame, looks: list[tuple[int, int]]) -> DataFrame:
@@ -114,7 +132,7 @@ def _plausible(pairs: DataFrame, nodes: DataFrame, looks: list[tuple[int, int]])
             if not batch.num_rows:
                 continue
             one, two = (
-                np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u4").reshape(batch.num_rows, -1)
+                np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(batch.num_rows, -1)
                 for c in ("of_a", "of_b")
             )
             left, seen = np.arange(batch.num_rows), 0
@@ -126,9 +144,8 @@ def _plausible(pairs: DataFrame, nodes: DataFrame, looks: list[tuple[int, int]])
                 [batch.column("a").take(pa.array(left)), batch.column("b").take(pa.array(left))], ["a", "b"]
             )
 
-    of_a = nodes.select(F.col("node").alias("a"), F.col("signature").alias("of_a"))
-    of_b = nodes.select(F.col("node").alias("b"), F.col("signature").alias("of_b"))
-    return pairs.join(of_a, "a").join(of_b, "b").mapInArrow(run, "a long, b long")
+    both = _attached(_attached(pairs, nodes, "b", "of_b", "signature"), nodes, "a", "of_a", "signature")
+    return both.select("a", "b", "of_a", "of_b").mapInArrow(run, "a long, b long")
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, id: str, text: str, size: int) -> DataFrame:
@@ -149,16 +166,46 @@ def _sets(docs: DataFrame, wanted: DataFrame, id: str, text: str, size: int) ->
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     """Pairs whose full shingle sets are similar enough."""
-    of_a = sets.select(F.col("node").alias("a"), F.col("shingles").alias("of_a"))
-    of_b = sets.select(F.col("node").alias("b"), F.col("shingles").alias("of_b"))
     both = F.size(F.array_intersect("of_a", "of_b"))
     percent = round(100 * threshold)
-    return (
-        pairs.join(of_a, "a")
-        .join(of_b, "b")
-        .where(100 * both >= percent * (F.size("of_a") + F.size("of_b") - both))
-        .select("a", "b")
-    )
+    of_both = _attached(_attached(pairs, sets, "b", "of_b", "shingles"), sets, "a", "of_a", "shingles")
+    return of_both.where(100 * both >= percent * (F.size("of_a") + F.size("of_b") - both)).select("a", "b")
+
+
+def dealt_keys(lead: np.ndarray, own: np.ndarray, salt: int, percent: int) -> np.ndarray:
+    """Keys of the buckets that a member is dealt to, from the sorted sets of its lead and its own.
+
+    Members x and y with ``|x & y| (100 + percent) >= percent (|x| + |y|)`` share a shingle outside
+    the lead's set, or else both have as many of the lead's: they get the class of the smaller size.
+    """
+    inside = np.isin(own, lead, assume_unique=True)
+    outside = own[~inside].view(np.uint64)
+    common, n = int(inside.sum()), len(own)
+    # classes from the least size that can be similar up to the own one
+    first = int(np.floor(np.log(max(percent * n / 100, 1)) / np.log(GROWTH))) - 1
+    last = int(np.floor(np.log(n) / np.log(GROWTH))) + 1
+    classes = np.arange(max(first, 0), last + 1)
+    lowest = np.ceil(GROWTH**classes - 1e-9)
+    fits = common * (100 + percent) >= percent * (n + np.minimum(lowest, n))
+    seed = mix(np.array([salt], np.int64).view(np.uint64) + np.uint64(1))[0]
+    sizes = mix(classes[fits].astype(np.uint64) + np.uint64(1)) ^ np.uint64(0x5555555555555555)
+    return mix(np.concatenate((outside, sizes)) ^ seed).view(np.int64)
+
+
+def _dealt(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """Members anew, as (key, node), from pairs of leads (a) and members (b)."""
+    percent = round(100 * threshold)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("of_a"), batch.column("of_b")
+            for k, (lead, node) in enumerate(zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), strict=True)):
+                one, two = (np.sort(x[k].values.to_numpy()) for x in lists)
+                keys = dealt_keys(one, two, lead, percent)
+                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.full(len(keys), node))], ["key", "node"])
+
+    both = _attached(_attached(pairs, sets, "b", "of_b", "shingles"), sets, "a", "of_a", "shingles")
+    return both.select("a", "b", "of_a", "of_b").mapInArrow(run, "key long, node long")
 
 
 def near_duplicates(
@@ -182,9 +229,8 @@ def near_duplicates(
     rows. A row without an id joins documents with the same set (component_id: theirs, kept:
     false); if none has an id, component_id is null and the row is kept. Ids lie below 2^62.
     """
-    hashes = bands * band_rows
-    looks = least_matches(hashes, BATCH, threshold, miss)
-    signed = stage(signatures(docs, id, text, size, hashes), "signatures")
+    looks = least_matches(bands * band_rows, BATCH, of_bytes(threshold), miss)
+    signed = stage(signatures(docs, id, text, size, bands, band_rows), "signatures")
     prints = ["print_1", "print_2"]
     classes = stage(
         signed.where("n_shingles > 0")
@@ -197,14 +243,14 @@ def near_duplicates(
         signed.where("id is not null and n_shingles > 0")
         .join(classes.where("id is not null").drop("node"), [*prints, "id"])
         .dropDuplicates([*prints, "id"])
-        .select(F.col("id").alias("node"), "signature"),
+        .select(F.col("id").alias("node"), "keys", "signature"),
         "nodes",
     )
-    links = _links(docs, nodes, id, text, size, threshold, bands, band_rows, looks)
+    links = _links(docs, nodes, id, text, size, threshold, looks)
     labels = classes.join(links, "node", "left").select(
         *prints, F.coalesce("label", "node").alias("label")
     )
-    sorted_out = signed.drop("signature").join(stage(labels, "labels"), prints, "left")
+    sorted_out = signed.drop("signature", "keys").join(stage(labels, "labels"), prints, "left")
     label = F.when(F.col("label") < _NO_ID, F.col("label"))
     component = F.when(F.col("n_shingles") > 0, label).otherwise(F.col("id"))
     return sorted_out.select(
@@ -222,40 +268,67 @@ def _labelled(members: DataFrame, found: DataFrame | None) -> DataFrame:
     return members.join(found, "node", "left").withColumn("label", F.coalesce("label", "node"))
 
 
-def _links(docs, nodes, id, text, size, threshold, bands, band_rows, looks) -> DataFrame:
+def _mixed(members: DataFrame, key: str, found: DataFrame | None) -> DataFrame:
+    """Members with labels, of the buckets that hold more than one component."""
+    labelled = _labelled(members, found)
+    keys = labelled.groupBy(key).agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
+    return labelled.join(keys.select(key), key, "left_semi")
+
+
+def _links(docs, nodes, id, text, size, threshold, looks) -> DataFrame:
     """The component label of each node that is linked with another, as (node, label)."""
-    banded = _bands(nodes, bands, band_rows)
-    shared = banded.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
-    members = stage(banded.join(shared.select("key"), "key", "left_semi"), "members")
+    none = docs.sparkSession.createDataFrame([], "node long, label long")
+    banded = nodes.select("node", F.explode("keys").alias("key"))
+    shared = banded.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    members = stage(banded.join(shared, "key"), "members")
     if members.isEmpty():
-        return docs.sparkSession.createDataFrame([], "node long, label long")
+        return none
     sets = stage(_sets(docs, members.select("node").distinct(), id, text, size), "sets")
-    found, slots = None, 1
+    weight = members.groupBy("node").agg(F.sum("n").alias("weight"))
+    lead = F.max(F.struct("weight", (-F.col("node")).alias("minus"))).alias("lead")
+    leads = members.join(weight, "node").groupBy("key").agg(lead).select("key", (-F.col("lead.minus")).alias("a"))
+    met = members.join(leads, "key").where("node <> a").select("a", F.col("node").alias("b")).distinct()
+    met = stage(met, "met")
+    discard(members)
+    linked = stage(_confirmed(stage(_plausible(met, nodes, looks), "plausible"), sets, threshold), "confirmed")
+    found = None if linked.isEmpty() else stage(_merged(None, linked), "found")
+    # members of one lead that are not all in one component
+    open_ = _mixed(met.select("a", F.col("b").alias("node")), "a", found).select("a", F.col("node").alias("b"))
+    dealt = stage(_dealt(open_, sets, threshold), "dealt")
+    members, seen = stage(_mixed(dealt, "key", found), "members"), met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    discard(dealt)
+    number = 0
     while not members.isEmpty():
-        # leaders meet the members of other components, and leave their bucket
-        slot = F.pmod(F.xxhash64("node", F.lit(slots)), F.lit(slots)) if slots > 1 else F.lit(0)
-        labelled = members if "label" in members.columns else _labelled(members, found)
+        # some members outside the bucket's largest component meet all others, and leave it
+        number += 1
+        largest = members.groupBy("key", "label").agg(F.count("*").alias("n")).groupBy("key").agg(
+            F.max(F.struct("n", "label")).getField("label").alias("largest")
+        )
+        slot = F.pmod(F.xxhash64("node", F.lit(number)), F.lit(SLOTS)).alias("slot")
         leaders = stage(
-            labelled.groupBy("key", slot.alias("slot"))
+            members.join(largest, "key")
+            .where("label <> largest")
+            .groupBy("key", slot)
             .agg(F.min(F.struct("node", "label")).alias("lead"))
             .select("key", F.col("lead.node").alias("lead"), F.col("lead.label").alias("lead_label")),
             "leaders",
         )
         pairs = (
-            labelled.join(leaders, "key")
-            .where("label <> lead_label and node <> lead")
+            members.join(leaders, "key")
+            .where("label <> lead_label")
             .select(F.least("node", "lead").alias("a"), F.greatest("node", "lead").alias("b"))
             .distinct()
+            .join(seen, ["a", "b"], "left_anti")
         )
+        pairs = stage(pairs, "pairs")
         linked = stage(_confirmed(_plausible(pairs, nodes, looks), sets, threshold), "confirmed")
         if not linked.isEmpty():
             found = stage(_merged(found, linked), "found")
         rest = members.drop("label").join(leaders.select("key", F.col("lead").alias("node")), ["key", "node"], "left_anti")
-        rest = stage(_labelled(rest, found), "rest")
-        mixed = rest.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
-        members = stage(rest.join(mixed.select("key"), "key", "left_semi"), "members")
-        slots = SLOTS
-    return docs.sparkSession.createDataFrame([], "node long, label long") if found is None else found
+        after = stage(_mixed(rest, "key", found), "members")
+        discard(members, leaders, linked)
+        members, seen = after, seen.unionByName(pairs)
+    return none if found is None else found
 
 
 def _merged(found: DataFrame | None, linked: DataFrame) -> DataFrame:
