@@ -401,7 +401,10 @@ def fit_classifier(pages: DataFrame, body: str = "html") -> tuple[tuple[float, .
             )
 
     plain = pages.select(F.col(body).cast("string").alias("body")).where("body is not null")
-    some = plain.withColumn("place", F.xxhash64("body")).orderBy("place").limit(SAMPLE_PAGES).select("body")
+    # hashes first, so that no task gathers bodies it does not keep; equal pages count once
+    placed = plain.withColumn("place", F.xxhash64("body"))
+    places = stage(placed.select("place").distinct().orderBy("place").limit(SAMPLE_PAGES), "places")
+    some = placed.join(F.broadcast(places), "place").groupBy("place").agg(F.min("body").alias("body")).select("body")
     sample = stage(some.mapInArrow(run, "x array<double>, label double"), "blocks")
     seen = sample.agg(F.min("label"), F.max("label")).first()
     if seen[0] is None or seen[0] == seen[1]:

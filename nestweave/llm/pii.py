@@ -1,7 +1,7 @@
 """Personal data as spans, by SQL functions only.
 
 Per kind, a regular expression proposes spans, a validator (number of digits, Luhn, mod 97,
-ranges) confirms them, and words nearby raise the score. The base kinds are found whenever
+ranges, entropy) confirms them, and words nearby raise the score. The base kinds are found whenever
 their validator agrees; further kinds must reach a score.
 
 The expressions are written so that matching stays linear in the text: runs are possessive
@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 NEAR = 40
 #: Least score of the further kinds.
 LEAST_SCORE = 0.6
+#: Bits a character of a secret has at least, by how often each of its characters occurs in it.
+LEAST_ENTROPY = 3.0
 #: Positions are summed in blocks of so many spans.
 _BLOCK = 128
 
@@ -94,6 +96,19 @@ def _issued(match: Column) -> Column:
     return ~match.rlike("^(?:000|666|9)|-00-|-0000$")
 
 
+def _random(match: Column) -> Column:
+    """Letters and digits, with the entropy of a key rather than of a word or a number."""
+    n = F.length(match).cast("double")
+
+    def bits(c: Column) -> Column:
+        share = (n - F.length(F.replace(match, c, F.lit("")))) / n
+        return -share * F.log2(share)
+
+    chars = F.filter(F.array_distinct(F.split(match, "")), lambda c: c != "")
+    entropy = F.aggregate(F.transform(chars, bits), F.lit(0.0), lambda a, x: a + x)
+    return match.rlike("[0-9]") & match.rlike("[A-Za-z]") & (entropy >= LEAST_ENTROPY)
+
+
 # The base expressions, ranges and order of kinds.
 KINDS = (
     Kind(
@@ -153,6 +168,14 @@ KINDS = (
         r"ssn|social|security|insurance|versicherung|s[ée]cu|seguro",
         needs="-",
     ),
+    Kind(
+        "secret",
+        r"(?<![A-Za-z0-9_/+-])[A-Za-z0-9_/+-]{20,}+={0,2}",
+        _random,
+        0.2,
+        0.2,
+        r"token|secret|password|passwd|api.?key|access.?key|private.?key|bearer|authorization|credential|passwort|contrase",
+    ),
 )
 
 

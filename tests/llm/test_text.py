@@ -108,6 +108,21 @@ def test_account_numbers_before_other_capitals(spark):
     assert masked == "IBAN [IBAN] BIC COBADEFF"
 
 
+def test_secrets(spark):
+    texts = {
+        'x token = "2abc3ff2ca8fb1e4c565a0eb63815530a948bdde" From': [(11, 51)],
+        "api_key: Zm9vYmFyMTIzNDU2Nzg5MGFiY2RlZg== next": [(9, 41)],
+        "the hash 2abc3ff2ca8fb1e4c565a0eb63815530a948bdde of a file": [],
+        "token aaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaa1 and token internationalisation-of-names": [],
+        "token 11111111112222222222333333333344444444445555": [],
+    }
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = [[tuple(s)[:2] for s in r.pii.secret] for r in find_personal_data(frame).orderBy("doc_id").collect()]
+    assert found == list(texts.values())
+    masked = [r.text for r in mask_personal_data(frame).orderBy("doc_id").collect()]
+    assert masked[0] == 'x token = "[SECRET]" From'
+
+
 def test_many_spans(spark):
     text = "a@b.co " * 1000 + "é 10.0.0.1"
     row = find_personal_data(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
@@ -309,6 +324,74 @@ def test_near_duplicates(spark, size):
     assert loose == [(0, True), (204, False)]
 
 
+def families(rng, sizes, core, own):
+    """Documents of a common core and words of their own: alike, but no copies."""
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    out = []
+    for size in sizes:
+        common = [word() for _ in range(core)]
+        out += [" ".join(common[: core // 2] + [word() for _ in range(own)] + common[core // 2 :]) for _ in range(size)]
+    return out
+
+
+def test_near_duplicates_of_one_core_are_not_compared_in_pairs(spark, monkeypatch):
+    """Members of large buckets without links must not meet each other, nor lose the links there are."""
+    from nestweave.llm import near_duplicates as module
+
+    met = []
+    plausible = module._plausible
+
+    def counted(pairs, *rest):
+        met.append(pairs.count())
+        return plausible(pairs, *rest)
+
+    monkeypatch.setattr(module, "_plausible", counted)
+    rng = random.Random(9)
+    texts = families(rng, [300], 100, 24)
+    texts += [t.replace(t.split()[k % 40], "changed", 1) for k, t in enumerate(texts[:40])]  # copies of some
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    found = {r.doc_id: r.component_id for r in near_duplicates(frame).collect()}
+    assert found == groups(list(enumerate(texts)), 5)
+    assert len(set(found.values())) == 300
+    assert sum(met) < 340 * 30
+
+
+def test_near_duplicates_of_random_edits(spark):
+    """A group whose members lie on either side of the threshold: a few reach the others only over some."""
+    rng = random.Random(12)
+    core = families(rng, [1], 120, 0)[0].split()
+    texts = []
+    for k in range(160):
+        words_ = list(core[: rng.randint(90, 120)])
+        for at in rng.sample(range(len(words_)), rng.choice([0, 1, 2, 3, 4, 6, 9])):
+            words_[at] = rng.choice(["x", "y", f"own{k}", f"own{at}"])
+        texts.append(" ".join(words_))
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    found = {r.doc_id: r.component_id for r in near_duplicates(frame).collect()}
+    expected = groups(list(enumerate(texts)), 5)
+    assert 5 < len(set(expected.values())) < 150
+    assert found == expected
+
+
+def test_dealt_members_that_are_similar_meet():
+    import numpy as np
+
+    from nestweave.llm.near_duplicates import dealt_keys
+
+    rng = np.random.default_rng(5)
+    checked = 0
+    for _ in range(400):
+        base = rng.choice(1000, rng.integers(20, 80), replace=False)
+        some = [np.unique(np.concatenate((rng.permutation(base)[: rng.integers(len(base) * 5 // 6, len(base) + 1)],
+                                          rng.choice(60, rng.integers(0, 5)) + 1000))) for _ in range(3)]
+        lead, x, y = (s.astype(np.int64) for s in some)
+        both = len(np.intersect1d(x, y))
+        if 100 * both >= 80 * (len(x) + len(y) - both):
+            checked += 1
+            assert np.intersect1d(dealt_keys(lead, x, 7, 80), dealt_keys(lead, y, 7, 80)).size
+    assert checked > 30
+
+
 def test_near_duplicates_empty(spark):
     assert near_duplicates(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
