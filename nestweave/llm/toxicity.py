@@ -37,6 +37,9 @@ MARGIN = 1e-3
 THRESHOLD = 0.3
 #: Weight of the classes' overall share in a vote.
 PRIOR_WEIGHT = 0.1
+#: Similarities this close are equal; examples as near as the last neighbour vote too, and an example
+#: that is all of the text (a document itself, a copy) does not.
+TIE = 1e-9
 #: Neighbours named as evidence.
 EVIDENCE = 3
 
@@ -136,7 +139,10 @@ class Index:
         self.dense[np.repeat(np.arange(len(frequent)), np.diff(self.begin)[frequent]), self.example[at]] = self.weight[at]
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int) -> list[tuple[float, int]]:
-        """The ``k`` most similar examples as (similarity, place); equal ones by id."""
+        """The ``k`` most similar examples as (similarity, place), and those as similar as the last of them.
+
+        Examples with the very same vector are left out.
+        """
         return self.nearest_of([(terms, weights)], k)[0]
 
     def nearest_of(self, vectors: list[tuple[np.ndarray, np.ndarray]], k: int) -> list[list[tuple[float, int]]]:
@@ -155,17 +161,24 @@ class Index:
                 rare = self.column[terms] < 0
                 begin, end = self.begin[terms[rare]], self.begin[terms[rare] + 1]
                 at = _ranges(begin, end)
-                more = np.bincount(self.example[at], np.repeat(weights[rare], end - begin) * self.weight[at], len(self.ids))
-                about = sums + more
-                least = np.partition(about, -k)[-k] if k < len(about) else 0.0
-                near = np.flatnonzero((about > 0) & (about >= least * (1 - MARGIN)))
+                about = sums + np.bincount(self.example[at], np.repeat(weights[rare], end - begin) * self.weight[at], len(self.ids))
                 full[terms] = weights
-                begin, end = self.first[near], self.first[near + 1]
-                at = _ranges(begin, end)
-                exact = np.bincount(np.repeat(np.arange(len(near)), end - begin), full[self.terms[at]] * self.weights[at], len(near))
+                wanted = k
+                while True:
+                    least = np.partition(about, -wanted)[-wanted] if wanted < len(about) else 0.0
+                    near = np.flatnonzero((about > 0) & (about >= least * (1 - MARGIN)))
+                    begin, end = self.first[near], self.first[near + 1]
+                    at = _ranges(begin, end)
+                    exact = np.bincount(np.repeat(np.arange(len(near)), end - begin), full[self.terms[at]] * self.weights[at], len(near))
+                    others = exact < 1 - TIE
+                    if others.sum() >= k or wanted >= len(about):
+                        break
+                    wanted += 2 * k + len(near) - int(others.sum())  # copies of the text took places
                 full[terms] = 0.0
-                best = np.lexsort((near, -exact))[:k]
-                out.append(list(zip(exact[best].tolist(), near[best].tolist(), strict=True)))
+                near, exact = near[others], exact[others]
+                best = np.lexsort((near, -exact))
+                kept = best[exact[best] >= exact[best[k - 1]] - TIE] if len(best) > k else best
+                out.append(list(zip(exact[kept].tolist(), near[kept].tolist(), strict=True)))
         return out
 
 
@@ -326,8 +339,8 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text:
 
     ``labels`` (doc_id, toxic) is learned from where crc32(doc_id as text) mod 4 is not 2.
     ``score`` (0 to 1) is the weighted share of toxic documents among the nearest examples;
-    texts without any term, null and empty ones too, get the share among such examples. ``predicted``
-    is 1 from a score of 0.3. ``evidence`` names the first neighbours and their similarities. Null
+    texts without any term, null and empty ones too, get the share among such examples. Examples as near
+    as the last neighbour vote too, and the text's own example and its copies do not. ``predicted`` is 1 from a score of 0.3. ``evidence`` names the first neighbours and their similarities. Null
     ids stay null and are not held out; repeated rows get equal rows; without labels scores are 0.
     """
     shared = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, id, text))

@@ -202,8 +202,11 @@ def test_nearest_examples_are_exact():
     for e in examples[:60]:
         found = index.nearest(e.terms, e.weights, 7)
         scores = dense[:, e.terms] @ e.weights
-        expected = sorted((-s, k) for k, s in enumerate(scores.tolist()) if s > 0)[:7]
+        expected = sorted((-s, k) for k, s in enumerate(scores.tolist()) if 0 < s < 1 - 1e-9)
+        least = -expected[6][0] if len(expected) > 6 else 0.0
+        expected = [(s, k) for s, k in expected if -s >= least - 1e-9]
         assert [s for s, _ in found] == pytest.approx([-s for s, _ in expected])
+        assert {k for _, k in found} == {k for _, k in expected}
 
 
 def test_components(spark):
