@@ -10,7 +10,8 @@ A bucket never emits all its pairs. First each member meets its bucket's lead, t
 most buckets with others. Two members that are similar and share no shingle outside the lead's set both
 have much of it: their common shingles are all in it. So members are dealt anew, by each shingle that the
 lead does not have and, those with enough of the lead's set, by the size of the smaller one. What is
-similar still meets, and what shares just a common core no longer does. In the small buckets that are left
+similar still meets, and what shares just a common core no longer does. Of several leads that two members share, the primary
+one (most central) is enough. In the small buckets that are left
 with several components, members outside the largest one meet the others, some in every round.
 """
 
@@ -36,9 +37,11 @@ BAND_ROWS = 5
 BATCH = 30
 MISS = 1e-6
 #: Leaders that a dealt bucket has at most in a round.
-SLOTS = 64
+SLOTS = 1024
 #: Sizes of the classes that members are dealt by grow by this factor.
 GROWTH = 1.02
+#: Keys that are handed on at a time.
+KEYS = 1 << 16
 #: Pairs of one node from which its values are copied, and so many times, for a join.
 HEAVY, COPIES = 1000, 32
 #: Ids of at most so many nodes (8 bytes each) are broadcast; beyond, the join shuffles.
@@ -112,16 +115,26 @@ def signatures(docs: DataFrame, id: str, text: str, size: int, bands: int, band_
     )
 
 
-def _attached(pairs: DataFrame, values: DataFrame, side: str, name: str, value: str) -> DataFrame:
-    """Pairs (a, b) with a value of the nodes of one side; a node of very many pairs is copied, so that
-    its pairs do not meet in one task."""
-    other = "b" if side == "a" else "a"
-    heavy = pairs.groupBy(side).agg(F.count("*").alias("n")).where(F.col("n") > HEAVY).select(side, F.lit(COPIES).alias("copies"))
-    copies = F.coalesce("copies", F.lit(1))
-    dealt = pairs.join(heavy, side, "left").withColumn("copy", F.pmod(F.xxhash64(other), copies).cast("int")).drop("copies")
-    of = values.select(F.col("node").alias(side), F.col(value).alias(name)).join(heavy, side, "left")
-    of = of.withColumn("copy", F.explode(F.sequence(F.lit(0), copies - 1))).drop("copies")
-    return dealt.join(of, [side, "copy"]).drop("copy")
+def _both(pairs: DataFrame, values: DataFrame, value: str) -> DataFrame:
+    """Staged pairs (a, b) with a value of either node, as of_a and of_b.
+
+    A node of very many pairs is copied, so that its pairs do not meet in one task. Values of nodes without
+    pairs do not move, if the nodes with some are few enough to broadcast.
+    """
+    out = pairs
+    for side, other in (("b", "a"), ("a", "b")):
+        wanted = pairs.select(F.col(side).alias("node")).distinct()
+        of = values.select("node", F.col(value).alias(f"of_{side}"))
+        if wanted.count() <= BROADCAST_NODES:
+            of = of.join(F.broadcast(wanted), "node", "left_semi")
+        heavy = pairs.groupBy(side).agg(F.count("*").alias("n")).where(F.col("n") > HEAVY)
+        heavy = heavy.select(side, F.lit(COPIES).alias("copies"))
+        copies = F.coalesce("copies", F.lit(1))
+        out = out.join(heavy, side, "left").withColumn("copy", F.pmod(F.xxhash64(other), copies).cast("int")).drop("copies")
+        of = of.withColumnRenamed("node", side).join(heavy, side, "left")
+        of = of.withColumn("copy", F.explode(F.sequence(F.lit(0), copies - 1))).drop("copies")
+        out = out.join(of, [side, "copy"]).drop("copy")
+    return out.select(*pairs.columns, "of_a", "of_b")
 
 
 def _plausible(pairs: DataFrame, nodes: DataFrame, looks: list[tuple[int, int]]) -> DataFrame:
@@ -144,8 +157,7 @@ def _plausible(pairs: DataFrame, nodes: DataFrame, looks: list[tuple[int, int]])
                 [batch.column("a").take(pa.array(left)), batch.column("b").take(pa.array(left))], ["a", "b"]
             )
 
-    both = _attached(_attached(pairs, nodes, "b", "of_b", "signature"), nodes, "a", "of_a", "signature")
-    return both.select("a", "b", "of_a", "of_b").mapInArrow(run, "a long, b long")
+    return _both(pairs, nodes, "signature").mapInArrow(run, "a long, b long")
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, id: str, text: str, size: int) -> DataFrame:
@@ -168,12 +180,12 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame
     """Pairs whose full shingle sets are similar enough."""
     both = F.size(F.array_intersect("of_a", "of_b"))
     percent = round(100 * threshold)
-    of_both = _attached(_attached(pairs, sets, "b", "of_b", "shingles"), sets, "a", "of_a", "shingles")
+    of_both = _both(pairs, sets, "shingles")
     return of_both.where(100 * both >= percent * (F.size("of_a") + F.size("of_b") - both)).select("a", "b")
 
 
-def dealt_keys(lead: np.ndarray, own: np.ndarray, salt: int, percent: int) -> np.ndarray:
-    """Keys of the buckets that a member is dealt to, from the sorted sets of its lead and its own.
+def dealt_keys(lead: np.ndarray, own: np.ndarray, salt: int, percent: int) -> tuple[np.ndarray, int]:
+    """Keys of the buckets that a member is dealt to, from the sets of its lead and its own; what both share.
 
     Members x and y with ``|x & y| (100 + percent) >= percent (|x| + |y|)`` share a shingle outside
     the lead's set, or else both have as many of the lead's: they get the class of the smaller size.
@@ -189,23 +201,43 @@ def dealt_keys(lead: np.ndarray, own: np.ndarray, salt: int, percent: int) -> np
     fits = common * (100 + percent) >= percent * (n + np.minimum(lowest, n))
     seed = mix(np.array([salt], np.int64).view(np.uint64) + np.uint64(1))[0]
     sizes = mix(classes[fits].astype(np.uint64) + np.uint64(1)) ^ np.uint64(0x5555555555555555)
-    return mix(np.concatenate((outside, sizes)) ^ seed).view(np.int64)
+    return mix(np.concatenate((outside, sizes)) ^ seed).view(np.int64), common
 
 
 def _dealt(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """Members anew, as (key, node), from pairs of leads (a) and members (b)."""
+    """Members anew, as (key, sized, node, primary, own, inside, outside), from leads (a), members (b) and
+    their primary leads: ``sized`` tells keys by size from those by shingle, the numbers are of the member's shingles in and not in the set of the key's lead, and ``own``
+    says that the key's lead is its primary one."""
     percent = round(100 * threshold)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lists = batch.column("of_a"), batch.column("of_b")
-            for k, (lead, node) in enumerate(zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), strict=True)):
-                one, two = (np.sort(x[k].values.to_numpy()) for x in lists)
-                keys = dealt_keys(one, two, lead, percent)
-                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.full(len(keys), node))], ["key", "node"])
-
-    both = _attached(_attached(pairs, sets, "b", "of_b", "shingles"), sets, "a", "of_a", "shingles")
-    return both.select("a", "b", "of_a", "of_b").mapInArrow(run, "key long, node long")
+            ends = [batch.column(c).to_pylist() for c in ("a", "b", "primary")]
+            keys, rows, sized, waiting = [], [], [], 0
+            for k, (lead, node, primary) in enumerate(zip(*ends, strict=True)):
+                one, two = (x[k].values.to_numpy() for x in lists)
+                some, common = dealt_keys(one, two, lead, percent)
+                keys.append(some)
+                by_size = np.arange(len(some)) >= len(two) - common  # the others are by shingle
+                rows.append((node, primary, primary == lead, common, len(two) - common))
+                sized.append(by_size)
+                waiting += len(some)
+                if waiting >= KEYS or k == batch.num_rows - 1:
+                    columns = np.repeat(np.array(rows, np.int64), list(map(len, keys)), axis=0)
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(np.concatenate(keys)),
+                            pa.array(np.concatenate(sized).astype(np.int64)),
+                            *(pa.array(columns[:, j]) for j in range(5)),
+                        ],
+                        ["key", "sized", "node", "primary", "own", "inside", "outside"],
+                    )
+                    keys, rows, sized, waiting = [], [], [], 0
+
+    return _both(pairs, sets, "shingles").mapInArrow(
+        run, "key long, sized long, node long, primary long, own long, inside long, outside long"
+    )
 
 
 def near_duplicates(
@@ -286,18 +318,22 @@ def _links(docs, nodes, id, text, size, threshold, looks) -> DataFrame:
     sets = stage(_sets(docs, members.select("node").distinct(), id, text, size), "sets")
     weight = members.groupBy("node").agg(F.sum("n").alias("weight"))
     lead = F.max(F.struct("weight", (-F.col("node")).alias("minus"))).alias("lead")
-    leads = members.join(weight, "node").groupBy("key").agg(lead).select("key", (-F.col("lead.minus")).alias("a"))
-    met = members.join(leads, "key").where("node <> a").select("a", F.col("node").alias("b")).distinct()
-    met = stage(met, "met")
+    leads = members.join(weight, "node").groupBy("key").agg(lead).select("key", "lead.weight", (-F.col("lead.minus")).alias("a"))
+    led = members.join(leads, "key").where("node <> a").select("a", F.col("node").alias("b"), "weight").distinct()
+    led = stage(led, "met")
+    met = led.select("a", "b")
     discard(members)
     linked = stage(_confirmed(stage(_plausible(met, nodes, looks), "plausible"), sets, threshold), "confirmed")
     found = None if linked.isEmpty() else stage(_merged(None, linked), "found")
     # members of one lead that are not all in one component
     open_ = _mixed(met.select("a", F.col("b").alias("node")), "a", found).select("a", F.col("node").alias("b"))
-    dealt = stage(_dealt(open_, sets, threshold), "dealt")
+    first = F.max(F.struct("weight", (-F.col("a")).alias("minus"))).alias("first")
+    primary = led.groupBy("b").agg(first).select("b", (-F.col("first.minus")).alias("primary"))
+    open_ = open_.join(primary, "b").select("a", "b", "primary")
+    dealt = stage(_dealt(stage(open_, "open"), sets, threshold), "dealt")
     members, seen = stage(_mixed(dealt, "key", found), "members"), met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     discard(dealt)
-    number = 0
+    number, percent = 0, round(100 * threshold)
     while not members.isEmpty():
         # some members outside the bucket's largest component meet all others, and leave it
         number += 1
@@ -309,22 +345,28 @@ def _links(docs, nodes, id, text, size, threshold, looks) -> DataFrame:
             members.join(largest, "key")
             .where("label <> largest")
             .groupBy("key", slot)
-            .agg(F.min(F.struct("node", "label")).alias("lead"))
-            .select("key", F.col("lead.node").alias("lead"), F.col("lead.label").alias("lead_label")),
+            .agg(F.min(F.struct("node", "label", "primary", "inside", "outside")).alias("lead"))
+            .select("key", *(F.col(f"lead.{c}").alias(f"lead_{c}") for c in ("node", "label", "primary", "inside", "outside"))),
             "leaders",
         )
+        # members with the same primary lead meet in its buckets only
+        here = (F.col("own") == 1) | (F.col("primary") != F.col("lead_primary"))
+        # as many shingles as two members can share, in the set of the key's lead and outside; those that
+        # are dealt by size share none outside
+        most = F.least("inside", "lead_inside") + F.when(F.col("sized") == 0, F.least("outside", "lead_outside")).otherwise(0)
+        sizes = F.col("inside") + F.col("outside") + F.col("lead_inside") + F.col("lead_outside")
         pairs = (
             members.join(leaders, "key")
-            .where("label <> lead_label")
-            .select(F.least("node", "lead").alias("a"), F.greatest("node", "lead").alias("b"))
+            .where((F.col("label") != F.col("lead_label")) & here & (most * (100 + percent) >= percent * sizes))
+            .select(F.least("node", "lead_node").alias("a"), F.greatest("node", "lead_node").alias("b"))
             .distinct()
             .join(seen, ["a", "b"], "left_anti")
         )
         pairs = stage(pairs, "pairs")
-        linked = stage(_confirmed(_plausible(pairs, nodes, looks), sets, threshold), "confirmed")
+        linked = stage(_confirmed(stage(_plausible(pairs, nodes, looks), "plausible"), sets, threshold), "confirmed")
         if not linked.isEmpty():
             found = stage(_merged(found, linked), "found")
-        rest = members.drop("label").join(leaders.select("key", F.col("lead").alias("node")), ["key", "node"], "left_anti")
+        rest = members.drop("label").join(leaders.select("key", F.col("lead_node").alias("node")), ["key", "node"], "left_anti")
         after = stage(_mixed(rest, "key", found), "members")
         discard(members, leaders, linked)
         members, seen = after, seen.unionByName(pairs)
