@@ -36,7 +36,8 @@ BAND_ROWS = 5
 #: Hashes compared before the next look at the posterior.
 BATCH = 30
 MISS = 1e-6
-#: Leaders that a dealt bucket has at most in a round.
+#: Leaders that a dealt bucket has at most in a round: all members outside the largest component, if they are
+#: no more.
 SLOTS = 1024
 #: Sizes of the classes that members are dealt by grow by this factor.
 GROWTH = 1.02
@@ -338,9 +339,11 @@ def _links(docs, nodes, id, text, size, threshold, looks) -> DataFrame:
         # some members outside the bucket's largest component meet all others, and leave it
         number += 1
         largest = members.groupBy("key", "label").agg(F.count("*").alias("n")).groupBy("key").agg(
-            F.max(F.struct("n", "label")).getField("label").alias("largest")
+            F.max(F.struct("n", "label")).alias("most"), F.sum("n").alias("n")
         )
-        slot = F.pmod(F.xxhash64("node", F.lit(number)), F.lit(SLOTS)).alias("slot")
+        largest = stage(largest.select("key", F.col("most.label").alias("largest"), (F.col("n") - F.col("most.n")).alias("others")), "largest")
+        dealt_out = F.pmod(F.xxhash64("node", F.lit(number)), F.lit(SLOTS))
+        slot = F.when(F.col("others") <= SLOTS, F.col("node")).otherwise(dealt_out).alias("slot")
         leaders = stage(
             members.join(largest, "key")
             .where("label <> largest")
@@ -366,9 +369,11 @@ def _links(docs, nodes, id, text, size, threshold, looks) -> DataFrame:
         linked = stage(_confirmed(stage(_plausible(pairs, nodes, looks), "plausible"), sets, threshold), "confirmed")
         if not linked.isEmpty():
             found = stage(_merged(found, linked), "found")
-        rest = members.drop("label").join(leaders.select("key", F.col("lead_node").alias("node")), ["key", "node"], "left_anti")
+        # where all others have met everything, the bucket is done
+        left = members.drop("label").join(largest.where(F.col("others") > SLOTS).select("key"), "key", "left_semi")
+        rest = left.join(leaders.select("key", F.col("lead_node").alias("node")), ["key", "node"], "left_anti")
         after = stage(_mixed(rest, "key", found), "members")
-        discard(members, leaders, linked)
+        discard(members, leaders, linked, largest)
         members, seen = after, seen.unionByName(pairs)
     return none if found is None else found
 
