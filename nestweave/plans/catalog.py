@@ -4,9 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from nestweave.session import spread
+from nestweave.session import spread, store_uri
+
+#: Folders that files of one document each are dealt over, and the name of a null key.
+FILE_SHARDS = 256
+NO_KEY = "__HIVE_DEFAULT_PARTITION__"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,6 +35,15 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def sharded(key: str, shards: int) -> Column:
+    """The folder of a key's shard: files of many keys below few prefixes."""
+    return F.concat(F.lit("shard="), F.pmod(F.xxhash64(key), F.lit(shards)), F.lit("/"))
+
+
+def shard_prefixes(spark: SparkSession, root: str, shards: int) -> DataFrame:
+    return spark.range(shards).select(F.concat(F.lit(f"{store_uri(root)}/shard="), "id").alias("prefix"))
+
+
 def texts(spark: SparkSession, folder: str) -> DataFrame:
     """Document keys and texts, over all cores: what follows is costly per character."""
     return spread(table(spark, folder, "documents").select("doc_id", "text"), "doc_id")

@@ -17,9 +17,9 @@ from nestweave.operators.headings import group_pages, h1_groups
 from nestweave.operators.responses import response_envelopes, responses
 from nestweave.operators.sections import document_sections, drop_footers, explode_sections
 from nestweave.operators.stream import stream_chunks, stream_groups
-from nestweave.plans.catalog import query, table, texts
+from nestweave.plans.catalog import FILE_SHARDS, NO_KEY, query, shard_prefixes, sharded, table, texts
 from nestweave.session import scratch_dir, spread, staged
-from nestweave.sinks.tables import write_responses
+from nestweave.sinks.tables import write_objects, write_responses
 from nestweave.sources.documents import parse_layouts, read_layouts
 from nestweave.sources.envelope import decode_payload, parse_requests, route_payloads
 
@@ -136,13 +136,14 @@ def _page_layouts(spark: SparkSession, folder: str) -> DataFrame:
         )
 
     def page(p: Column) -> Column:
-        lines = F.slice(_lines(), p * LINES_PER_PAGE + 1, LINES_PER_PAGE)
+        lines = F.slice("lines", p * LINES_PER_PAGE + 1, LINES_PER_PAGE)
         return F.struct((p + 1).alias("pageNumber"), F.transform(lines, block).alias("blocks"))
 
-    last = F.floor((F.size(_lines()) - 1) / LINES_PER_PAGE).cast("int")
+    last = F.floor((F.size("lines") - 1) / LINES_PER_PAGE).cast("int")
     pages = F.transform(F.sequence(F.lit(0), last), page)
     layout = F.struct(F.struct(pages.alias("pages")).alias("analyzeResult"))
-    return texts(spark, folder).select("doc_id", F.to_json(layout).alias("layout"))
+    lines = texts(spark, folder).select("doc_id", _lines().alias("lines"))
+    return lines.select("doc_id", F.to_json(layout).alias("layout"))
 
 
 def _markdown_layouts(spark: SparkSession, folder: str) -> DataFrame:
@@ -225,10 +226,16 @@ SELECT doc_id AS doc, CAST(n - 1 AS BIGINT) AS seq, line AS content, CAST((n - 1
 def layout_scan(spark: SparkSession, folder: str) -> DataFrame:
     """Layout results read from JSON files, one each, by the file's path."""
     path = scratch_dir(spark, "layouts")
-    _page_layouts(spark, folder).write.partitionBy("doc_id").text(path)
-    sections = explode_sections(document_sections(read_layouts(spark, f"{path}/*")))
+    key = F.coalesce(F.col("doc_id").cast("string"), F.lit(NO_KEY))
+    layouts = _page_layouts(spark, folder).select(
+        F.concat(sharded("doc_id", FILE_SHARDS), F.lit("doc_id="), key, F.lit(".json")).alias("path"),
+        F.col("layout").alias("value"),
+    )
+    write_objects(layouts, path)
+    prefixes = shard_prefixes(spark, path, FILE_SHARDS)
+    sections = explode_sections(document_sections(read_layouts(spark, prefixes)))
     return sections.select(
-        F.regexp_extract("doc", "doc_id=([0-9]+)/", 1).cast("bigint").alias("doc"),
+        F.regexp_extract("doc", r"doc_id=([0-9]+)\.json$", 1).cast("bigint").alias("doc"),
         "seq",
         "content",
         F.col("pageNumber").cast("bigint").alias("page"),

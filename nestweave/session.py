@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,13 +23,21 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Rows spread over all cores, by key or evenly, if a scan has fewer splits than that.
+    """Rows spread over all cores, by key or evenly, if a scan has fewer files or splits than that.
 
-    For expressions that cost far more than a shuffle of their input, over a file that is
-    one large row group. A scan that already has enough splits is left as it is.
+    For expressions that cost far more than a shuffle of their input. Splits alone do not tell: a file
+    of one row group has all its rows in one of them. A scan of enough files is left as it is.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)
+    parts = min(len(df.inputFiles()), df.rdd.getNumPartitions())
+    return df if parts >= cores else df.repartition(cores, *keys)
+
+
+def store_uri(path: str) -> str:
+    """A path with its scheme, for readers and writers inside tasks."""
+    if "://" in path:
+        return path
+    return f"file://{os.path.abspath(path.removeprefix('file:'))}"
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import uuid
+from collections.abc import Callable, Iterator
+from itertools import groupby
+from operator import itemgetter
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from nestweave.operators.drift import registry_records
-from nestweave.session import scratch_dir, staged
+from nestweave.session import scratch_dir, staged, store_uri
 
 
 def write_tables(tables: dict[str, DataFrame], root: str, mode: str = "overwrite") -> None:
@@ -144,6 +148,39 @@ def parse_objects(
     return objects.select(F.from_json("body", schema).alias("doc")).select("doc.*")
 
 
+def write_objects(objects: DataFrame, root: str, path: str = "path", value: str = "value") -> None:
+    """One file per distinct path below ``root``, of a line per row, null as an empty one.
+
+    Tasks write the files through the store that the scheme of ``root`` names, each under a hidden name until it
+    is whole, so that nothing is left to do per file in the driver and a task that is repeated replaces its own.
+    """
+    root = store_uri(root)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow.fs import FileSystem
+
+        store, base = FileSystem.from_uri(root)
+        base = base.rstrip("/")
+        rows = ((p.as_py(), v.as_py()) for batch in batches for p, v in zip(*batch.columns, strict=True))
+        last = None
+        for name, lines in groupby(rows, itemgetter(0)):
+            folder, _, file = f"{base}/{name}".rpartition("/")
+            if folder != last:
+                store.create_dir(folder)
+                last = folder
+            hidden = f"{folder}/.{file}.{uuid.uuid4().hex}"
+            with store.open_output_stream(hidden) as out:
+                for _, line in lines:
+                    out.write((line or b"") + b"\n")
+            store.move(hidden, f"{folder}/{file}")
+        yield from ()
+
+    tasks = int(objects.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = objects.select(F.col(path).alias("path"), F.col(value).cast("binary").alias("value"))
+    dealt = placed.repartition(tasks, "path").sortWithinPartitions("path")
+    dealt.mapInArrow(run, "path string").write.format("noop").mode("overwrite").save()
+
+
 def write_responses(responses: DataFrame, path: str) -> None:
     """Response records as JSON text, a line per request."""
     responses.select("response").write.mode("overwrite").text(path)

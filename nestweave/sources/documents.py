@@ -10,6 +10,7 @@ from pyspark.sql.types import StructType
 
 from nestweave.functions.generators import elements
 from nestweave.session import staged
+from nestweave.sources.worklist import listed_texts
 
 LAYOUT_SCHEMA = """
 analyzeResult struct<
@@ -32,7 +33,7 @@ NO_INPUT = {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"}
 
 def read_documents(
     spark: SparkSession,
-    path: str | list[str],
+    path: str | list[str] | DataFrame,
     schema: StructType | str | None = None,
     multiline: bool = True,
 ) -> DataFrame:
@@ -40,13 +41,30 @@ def read_documents(
 
     A file is read by one task, so prefer JSON lines for large inputs. Without ``schema``
     Spark reads all of the input once more to infer it, so that no field is missed.
+
+    A DataFrame of prefixes (column ``prefix``) as ``path``, with a schema, is listed and read by tasks:
+    for more files than the driver should list (UTF-8, one document per file).
     """
+    if isinstance(path, DataFrame):
+        if schema is None:
+            raise ValueError("documents below prefixes need a schema")
+        return _documents_of(raw_documents(spark.read, path, multiline), schema)
     reader = spark.read.option("multiLine", multiline)
     if schema is not None:
         reader = reader.schema(schema)
     return reader.json(path)
 
 
+def _documents_of(raw: DataFrame, schema: StructType | str) -> DataFrame:
+    """Documents from their texts, as the reader has them: a list holds one per element, unreadable ones are null."""
+    ddl = schema if isinstance(schema, str) else schema.toDDL()
+    one = F.from_json("text", ddl)
+    several = F.coalesce(F.from_json("text", f"array<struct<{ddl}>>"), F.array(F.lit(None)))
+    is_list = F.col("text").rlike(r"\A\s*\[")
+    found = raw.select(F.when(is_list, several).otherwise(F.array(one)).alias("documents"))
+    return elements(found, [], "documents", "at", "document").select("document.*")
+
+
 def read_documents_if_any(
     spark: SparkSession, path: str, schema: StructType | str, multiline: bool = True
 ) -> DataFrame:
@@ -69,12 +87,21 @@ def documents_if_any(spark: SparkSession, path: str, multiline: bool = True) ->
         return None
 
 
-def raw_documents(reader: DataFrameReader | DataStreamReader, path: str | list[str], multiline: bool = True) -> DataFrame:
-    """``(file, text)``: a document's text per file, or per line with ``multiline=False``; blank lines are none."""
-    rows = reader.text(path, wholetext=multiline)
-    return rows.select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("text")).where(
-        ~F.col("text").rlike(r"\A\s*\z")
-    )
+def raw_documents(
+    reader: DataFrameReader | DataStreamReader, path: str | list[str] | DataFrame, multiline: bool = True
+) -> DataFrame:
+    """``(file, text)``: a document's text per file, or per line with ``multiline=False``; blank lines are none.
+
+    A DataFrame of prefixes as ``path`` is listed and read by tasks (:func:`nestweave.sources.worklist.listed_texts`).
+    """
+    if isinstance(path, DataFrame):
+        if not multiline:
+            raise ValueError("files below prefixes hold one document each")
+        rows = listed_texts(path)
+    else:
+        rows = reader.text(path, wholetext=multiline)
+        rows = rows.select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("text"))
+    return rows.where(~F.col("text").rlike(r"\A\s*\z"))
 
 
 def parsed_documents(raw: DataFrame) -> DataFrame:
@@ -108,12 +135,13 @@ def split_unreadable(
 
 
 def read_layouts(
-    spark: SparkSession, path: str | list[str], multiline: bool = True
+    spark: SparkSession, path: str | list[str] | DataFrame, multiline: bool = True
 ) -> DataFrame:
     """Layout results ``(doc, analyzeResult, error)``, keyed by file path.
 
     ``error`` tells those that are no valid JSON; a valid one without ``analyzeResult`` is an
-    empty document. With one layout per line, use a key inside the record instead of ``doc``.
+    empty document. With one layout per line, use a key inside the record instead of ``doc``. A DataFrame of
+    prefixes as ``path`` is listed and read by tasks, see :func:`raw_documents`.
     """
     raw = raw_documents(spark.read, path, multiline)
     return parse_layouts(raw, "file", "text")

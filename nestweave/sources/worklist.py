@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Iterator
 from itertools import islice
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +13,8 @@ from nestweave.entities import Entity
 
 #: Paths that a task hands on at a time.
 PATHS = 10_000
+#: Bytes of files that a task hands on at a time, or one file.
+READ_BYTES = 4 << 20
 
 
 def read_worklist(spark: SparkSession, path: str | list[str], entity: Entity) -> DataFrame:
@@ -66,7 +69,45 @@ def listed_ids(
                 while some := list(islice(paths, PATHS)):
                     yield pd.DataFrame({"path": some})
 
-    tasks = int(prefixes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    found = prefixes.select("prefix").where("prefix IS NOT NULL").repartition(tasks).mapInPandas(run, "path string")
+    found = _dealt(prefixes).mapInPandas(run, "path string")
     named = found.where(~F.col("path").rlike(r"/[._][^/]*$"))
     return named.select(F.regexp_extract("path", pattern, 1).alias("id")).where("id <> ''").distinct()
+
+
+def listed_texts(prefixes: DataFrame, listing: Callable[[str], Iterable[str]] = list_prefix) -> DataFrame:
+    """``(file, text)`` of the files below prefixes (column ``prefix``), as UTF-8; hidden files are left out.
+
+    The tasks list and read, each its share of the prefixes, and hand files on as they read them. The driver
+    holds no list of files, and tasks do not get more numerous with them.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow.fs import FileSystem
+
+        def batch_of(files: list[str], texts: list[bytes]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(files, pa.string()), pa.array(texts, pa.binary())], ["file", "text"])
+
+        for batch in batches:
+            for prefix in batch.column("prefix").to_pylist():
+                store, _ = FileSystem.from_uri(prefix)
+                files, texts, size = [], [], 0
+                for path in listing(prefix):
+                    if path.rpartition("/")[2].startswith((".", "_")):
+                        continue
+                    with store.open_input_stream(path) as file:
+                        texts.append(file.read())
+                    files.append(path)
+                    size += len(texts[-1])
+                    if size >= READ_BYTES or len(files) >= PATHS:
+                        yield batch_of(files, texts)
+                        files, texts, size = [], [], 0
+                if files:
+                    yield batch_of(files, texts)
+
+    found = _dealt(prefixes).mapInArrow(run, "file string, text binary")
+    return found.select("file", F.col("text").cast("string").alias("text"))
+
+
+def _dealt(prefixes: DataFrame) -> DataFrame:
+    tasks = int(prefixes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return prefixes.select("prefix").where("prefix IS NOT NULL").repartition(tasks)

@@ -17,6 +17,7 @@ from nestweave.sinks.tables import (
     latest_objects,
     parse_objects,
     read_landing,
+    write_objects,
     write_registry,
 )
 from nestweave.sources.capture import typed, unexpected
@@ -30,7 +31,8 @@ from nestweave.sources.documents import (
 )
 from nestweave.sources.inference import as_type, learn, learned_schema, merged, settled
 from nestweave.sources.registry import read_registry
-from nestweave.sources.worklist import landed_file_ids, listed_ids, read_worklist
+from nestweave.session import spread
+from nestweave.sources.worklist import landed_file_ids, listed_ids, listed_texts, read_worklist
 from nestweave.streaming.incremental import append_batch, run_incremental
 from pyspark.sql.types import BooleanType, DateType, DoubleType, IntegerType, LongType, StringType, StructType
 
@@ -102,6 +104,61 @@ def test_ids_listed_by_tasks(spark, tmp_path):
     assert many.count() == 25_000
 
 
+def test_objects_are_written_and_read_by_tasks(spark, tmp_path):
+    root = f"file:{tmp_path}/raw"
+    objects = [("0/a.json", '{"id": "1"}'), ("0/b.json", None), ("1/x/c.json", "é"), ("1/x/c.json", "é"), ("1/.d", "hidden")]
+    for _ in range(2):  # a run that is repeated replaces its files
+        write_objects(spark.createDataFrame(objects, "path string, value string"), root)
+    files = sorted(str(f.relative_to(tmp_path / "raw")) for f in (tmp_path / "raw").rglob("*") if f.is_file())
+    assert files == ["0/a.json", "0/b.json", "1/.d", "1/x/c.json"]
+    prefixes = spark.createDataFrame([(f"file://{tmp_path}/raw/{k}",) for k in (0, 1, 2)] + [(None,)], "prefix string")
+    found = {r["file"].rsplit("/", 1)[1]: r["text"] for r in listed_texts(prefixes).collect()}
+    assert found == {"a.json": '{"id": "1"}\n', "b.json": "\n", "c.json": "é\né\n"}
+
+
+def test_documents_below_prefixes_are_those_of_the_reader(spark, tmp_path):
+    texts = ['{"id": 1, "p": {"x": "a"}}', '[{"id": 2}, {"id": 3, "p": {}}]', "[]", "", " \n", '{"id": ', '{"id": "q"}', '{"id": 4}\n{"id": 5}']
+    for k, text in enumerate(texts):
+        write(tmp_path / f"in/{k}.json", text)
+    schema = "id bigint, p struct<x:string>"
+    prefixes = spark.createDataFrame([(f"file://{tmp_path}/in",)], "prefix string")
+    found = rows(read_documents(spark, prefixes, schema))
+    assert found == rows(read_documents(spark, str(tmp_path / "in"), schema))
+    assert len(found) == 6
+    typed_schema = spark.createDataFrame([], schema).schema
+    assert rows(read_documents(spark, prefixes, typed_schema)) == found
+    with pytest.raises(ValueError):
+        read_documents(spark, prefixes)
+
+
+@pytest.mark.parametrize("name", ["layout_scan", "landed_listing", "multiline_json"])
+def test_files_are_not_committed_one_by_one_by_the_driver(spark, name, monkeypatch):
+    import __spark_entry__ as entry
+    from pyspark.sql import DataFrameWriter
+
+    def refuse(self, *columns):
+        raise AssertionError(f"a folder per value of {columns}")
+
+    monkeypatch.setattr(DataFrameWriter, "partitionBy", refuse)
+    assert entry.queries()[name](spark, "/root/testdata/sf0.001").count() > 0
+
+
+def test_spread_of_one_row_group_in_many_splits(spark, tmp_path):
+    spark.range(50_000).coalesce(1).write.parquet(str(tmp_path / "one"))
+    read, least = "spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"
+    old = {key: spark.conf.get(key) for key in (read, least)}
+    try:
+        spark.conf.set(read, 4096)
+        spark.conf.set(least, 1)
+        df = spark.read.parquet(str(tmp_path / "one"))
+        assert df.rdd.getNumPartitions() >= 8
+        sizes = spread(df).rdd.glom().map(len).collect()
+        assert max(sizes) < 10_000 and sum(sizes) == 50_000
+    finally:
+        for key, value in old.items():
+            spark.conf.set(key, value)
+
+
 # ---- schemas and what lies outside them
 
 
