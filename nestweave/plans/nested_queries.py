@@ -19,7 +19,7 @@ from nestweave.operators.drift import (
 from nestweave.operators.flatten import expand_structs, flatten
 from nestweave.operators.normalize import base_table, child_table, join_children, normalize
 from nestweave.operators.worklist import enrich, failed, pending_ids, succeeded
-from nestweave.plans.catalog import query, table, texts
+from nestweave.plans.catalog import FILE_SHARDS, NO_KEY, query, shard_prefixes, sharded, table, texts
 from nestweave.session import scratch_dir, spread, staged
 from nestweave.sinks.tables import (
     land,
@@ -29,6 +29,7 @@ from nestweave.sinks.tables import (
     latest_objects,
     parse_objects,
     read_landing,
+    write_objects,
     write_registry,
     write_statements,
     write_tables,
@@ -156,12 +157,12 @@ def fetch_resumed(spark: SparkSession, folder: str) -> DataFrame:
 def landed_listing(spark: SparkSession, folder: str) -> DataFrame:
     """Ids of landed objects from the paths below sixteen prefixes, listed by tasks."""
     path = scratch_dir(spark, "listing")
-    table(spark, folder, "conversations").select(
-        F.pmod(F.xxhash64("conv_id"), F.lit(16)).alias("shard"), F.col("conv_id").alias("object"), F.col("role").alias("value")
-    ).repartition("object").write.partitionBy("shard", "object").text(path)
-    root = path if "://" in path or path.startswith("file:") else f"file://{path}"
-    prefixes = spark.range(16).select(F.concat(F.lit(f"{root}/shard="), "id").alias("prefix"))
-    return listed_ids(prefixes, "/object=([^/]+)/")
+    key = F.coalesce(F.col("conv_id").cast("string"), F.lit(NO_KEY))
+    turns = table(spark, folder, "conversations").select(
+        F.concat(sharded("conv_id", 16), F.lit("object="), key, F.lit("/roles.txt")).alias("path"), F.col("role").alias("value")
+    )
+    write_objects(turns, path)
+    return listed_ids(shard_prefixes(spark, path, 16), "/object=([^/]+)/")
 
 
 def _order_status() -> Column:
