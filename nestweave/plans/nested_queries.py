@@ -574,10 +574,14 @@ def multiline_json(spark: SparkSession, folder: str) -> DataFrame:
     """One document per file, over several lines, as fetched objects are stored."""
     path = scratch_dir(spark, "pages")
     page = F.struct(F.col("page_id").alias("id"), F.struct("url", "html").alias("page"))
-    table(spark, folder, "pages").select(
-        F.col("page_id").alias("file"), F.to_json(page, {"pretty": "true"}).alias("value")
-    ).write.partitionBy("file").text(path)
-    documents = read_documents(spark, f"{path}/*", "id bigint, page struct<url:string,html:string>")
+    key = F.coalesce(F.col("page_id").cast("string"), F.lit(NO_KEY))
+    pages = table(spark, folder, "pages").select(
+        F.concat(sharded("page_id", FILE_SHARDS), F.lit("file="), key, F.lit(".json")).alias("path"),
+        F.to_json(page, {"pretty": "true"}).alias("value"),
+    )
+    write_objects(pages, path)
+    prefixes = shard_prefixes(spark, path, FILE_SHARDS)
+    documents = read_documents(spark, prefixes, "id bigint, page struct<url:string,html:string>")
     return base_table(documents)
 
 
