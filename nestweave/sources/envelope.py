@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,7 +19,7 @@ ENVELOPE_SCHEMA = (
 NO_SOURCE = "file_data missing 'data' or 'url'"
 BAD_PADDING = "Incorrect padding"
 EMPTY_PAYLOAD = "Empty PDF bytes passed to di_layout"
-BASE64_ALPHABET = "[^A-Za-z0-9+/]"
+BASE64_ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
 
 
 def read_requests(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -46,15 +48,38 @@ def explode_requests(envelopes: DataFrame) -> DataFrame:
     return records.select("request", "position", "record.recordId", "record.data.file_data.*")
 
 
-def _is_decodable(data: Column) -> Column:
-    digits = F.length(F.regexp_replace(data, BASE64_ALPHABET, ""))
-    padding = F.length(F.regexp_extract(data, "(=*)[^A-Za-z0-9+/=]*$", 1))
-    return F.when(digits % 4 == 0, True).otherwise((digits % 4 != 1) & (digits % 4 + padding >= 4))
+def _let(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then`` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
+def _decoded(data: Column, digits: Column, ignored: Column) -> Column:
+    """Bytes of ``digits``, which are ``data`` without the characters in ``ignored``."""
+    many = F.length(digits) % 4
+    # the last run of =, if nothing but ignored characters follow it
+    last = F.rtrim(data, F.replace(ignored, F.lit("=")))
+    padding = F.length(last) - F.length(F.rtrim(last, F.lit("=")))
+    whole = F.when(many == 0, True).when(many == 1, False).otherwise(many + padding >= 4)
+    return F.when(whole, F.unbase64(digits))
 
 
 def decode_payload(data: Column) -> Column:
-    """Bytes of base64 text, other characters ignored; null where padding is missing."""
-    return F.when(_is_decodable(data), F.unbase64(F.regexp_replace(data, BASE64_ALPHABET, "")))
+    """Bytes of base64 text, other characters ignored; null where padding is missing.
+
+    Payloads are long: no regular expression goes over their characters.
+    """
+
+    def decoded(held: Column) -> Column:
+        text, ignored = held["text"], held["ignored"]
+        digits = (
+            F.when(ignored == "", text)
+            .when(F.replace(ignored, F.lit("=")) == "", F.replace(text, F.lit("=")))
+            .otherwise(F.call_function("translate", text, ignored, F.lit("")))
+        )
+        return _let(digits, lambda d: _decoded(text, d, ignored))
+
+    ignored = F.translate(data, BASE64_ALPHABET, "")
+    return _let(F.struct(data.alias("text"), ignored.alias("ignored")), decoded)
 
 
 def route_payloads(records: DataFrame) -> DataFrame:

@@ -391,6 +391,21 @@ def test_base64_as_a_lenient_decoder_does(spark, data):
     assert (None if row[0] is None else bytes(row[0])) == expected
 
 
+def test_base64_without_expressions_over_each_character(spark, plan):
+    import random
+
+    rng = random.Random(5)
+    texts = ["".join(rng.choice("Ab9+/==-\n\r é\0") for _ in range(rng.randrange(14))) for _ in range(4000)] + [None]
+    df = spark.createDataFrame([(t,) for t in texts], "d string").repartition(4)
+    found = df.select(decode_payload(F.col("d")).alias("new"), "d")
+    assert "regexp" not in plan(found.select("new")).lower() and "rlike" not in plan(found).lower()
+    digits = F.regexp_replace("d", "[^A-Za-z0-9+/]", "")
+    left, padding = F.length(digits) % 4, F.length(F.regexp_extract("d", "(=*)[^A-Za-z0-9+/=]*$", 1))
+    whole = F.when(left == 0, True).otherwise((left != 1) & (left + padding >= 4))
+    assert found.where(~F.col("new").eqNullSafe(F.when(whole, F.unbase64(digits)))).count() == 0
+    assert found.where("new is null").count() > 100
+
+
 def test_requests_to_responses(spark, tmp_path):
     records = [
         {"recordId": "a", "data": {"file_data": {"data": "YWI="}}},
