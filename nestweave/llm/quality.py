@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from nestweave.llm.storage import stage
-from nestweave.llm.words import SPACE, slices, text_bytes, windows, words
+from nestweave.llm.words import SMALL_SLICE, SPACE, slices, text_bytes, windows, words
 
 ORDER = 4
 MIN_WORDS = 20
@@ -130,7 +130,7 @@ def gram_counts(docs: DataFrame) -> DataFrame:
     """Counts (lang, gram, n) of all runs of characters; ``docs`` has lang and text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SMALL_SLICE):
             row, key = _grams(batch.column("text"))
             coded = batch.column("lang").dictionary_encode()
             lang = coded.indices.to_numpy()[row]
@@ -254,7 +254,7 @@ def score(docs: DataFrame, fitted: DataFrame, keep: list[str]) -> DataFrame:
         shared = docs.sparkSession.sparkContext.broadcast(HashArrays(fitted.toArrow()))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in slices(batches, "text"):
+            for batch in slices(batches, "text", SMALL_SLICE):
                 yield _scored(batch, shared.value, keep)
 
         return docs.mapInArrow(run, schema)
@@ -269,7 +269,7 @@ def _score_by_group(docs: DataFrame, fitted: DataFrame, keep: list[str], schema:
     grouped = stage(docs.withColumn("_group", spread), "groups")
 
     def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SMALL_SLICE):
             row, key = _grams(batch.column("text"))
             group, coded = batch.column("_group").to_numpy()[row], batch.column("class").dictionary_encode()
             lang = coded.indices.to_numpy()[row]
@@ -284,7 +284,7 @@ def _score_by_group(docs: DataFrame, fitted: DataFrame, keep: list[str], schema:
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         arrays = HashArrays(right)
-        done = [_scored(b, arrays, keep) for b in slices(iter(left.combine_chunks().to_batches()), "text")]
+        done = [_scored(b, arrays, keep) for b in slices(iter(left.combine_chunks().to_batches()), "text", SMALL_SLICE)]
         return pa.Table.from_batches(done)
 
     return grouped.groupBy("_group").cogroup(parts.groupBy("_group")).applyInArrow(run, schema)

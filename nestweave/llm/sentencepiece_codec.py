@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 from sentencepiece import sentencepiece_model_pb2
 
 from nestweave.llm.storage import stage
-from nestweave.llm.words import slices, units
+from nestweave.llm.words import SMALL_SLICE, slices, units
 
 #: Characters of a chunk; longer texts are split.
 CHUNK = 32_768
@@ -40,7 +40,7 @@ CHUNK = 32_768
 LONG_UNIT = 64
 LEAST_SCORE = -32_768.0
 #: Bytes that a worker remembers units in at most (about) before it starts anew, and those of an entry besides.
-REMEMBERED = 32 << 20
+REMEMBERED = 16 << 20
 _ENTRY = 200
 #: Ids that are turned into bytes at a time.
 IDS = 1 << 16
@@ -169,23 +169,27 @@ def _ids(part: str, known: Pieces) -> list[int]:
 
 def best_ids(texts: list[str], known: Pieces) -> list[list[int]]:
     """Ids of the best segmentation of each text (blanks as in pieces)."""
-    parts, owners, easy = [], [], []
+    parts, owners = [], []
+    simple: dict[str, bool] = {}  # each distinct part, segmented once
     for k, text in enumerate(texts):
         if _simple(text, known):
+            simple[text] = True
             parts.append(text)
             owners.append(k)
-            easy.append(True)
         else:
             bounds = [0, *cuts(text, known).tolist(), len(text)]
             fresh = [text[a:b] for a, b in zip(bounds, bounds[1:], strict=False)]
             parts += fresh
             owners += [k] * len(fresh)
-            easy += [_simple(part, known) for part in fresh]
-    done = known.library.encode([p for p, e in zip(parts, easy, strict=True) if e], out_type=int, num_threads=1)
-    by_library = iter(done)
+            simple |= {part: _simple(part, known) for part in set(fresh) if part not in simple}
+    easy = [part for part, by_library in simple.items() if by_library]
+    ids = dict(zip(easy, known.library.encode(easy, out_type=int, num_threads=1), strict=True))
+    for part in simple:
+        if part not in ids:
+            ids[part] = _trace(part, forward(part, len(part), known)[1], len(part), 0, known)
     out: list[list[int]] = [[] for _ in texts]
-    for part, owner, e in zip(parts, owners, easy, strict=True):
-        out[owner] += next(by_library) if e else _trace(part, forward(part, len(part), known)[1], len(part), 0, known)
+    for part, owner in zip(parts, owners, strict=True):
+        out[owner] += ids[part]
     return out
 
 
@@ -351,7 +355,7 @@ def _chunked(giants: DataFrame, chunk: int, longest: int) -> DataFrame:
     """Rows (key, k, n, size, text) for each chunk of each text, with what follows it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SMALL_SLICE):
             for key, text in zip(batch.column("key").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 text = " " + text.replace(BLANK, " ")
                 text = text.replace(" ", BLANK)
@@ -372,7 +376,7 @@ def _giant_ids(giants: DataFrame, shared, chunk: int, longest: int) -> DataFrame
 
     def matrices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = pieces(shared.value)
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SMALL_SLICE):
             rows = zip(batch.column("text").to_pylist(), batch.column("size").to_pylist(), strict=True)
             made = [chunk_matrix(t, n, known).astype("<f8").tobytes() for t, n in rows]
             yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("k"), pa.array(made, pa.binary())], ["key", "k", "matrix"])
@@ -386,7 +390,7 @@ def _giant_ids(giants: DataFrame, shared, chunk: int, longest: int) -> DataFrame
 
     def maps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = pieces(shared.value)
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SMALL_SLICE):
             columns = [batch.column(c).to_pylist() for c in ("text", "size", "entries")]
             made = [entered(t, n, np.frombuffer(e, "<f8"), known).tolist() for t, n, e in zip(*columns, strict=True)]
             yield pa.RecordBatch.from_arrays(
@@ -400,7 +404,7 @@ def _giant_ids(giants: DataFrame, shared, chunk: int, longest: int) -> DataFrame
 
     def trace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = pieces(shared.value)
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SMALL_SLICE):
             columns = [batch.column(c).to_pylist() for c in ("text", "size", "enter", "leave")]
             ids = [chunk_ids(*row, known) for row in zip(*columns, strict=True)]
             yield pa.RecordBatch.from_arrays(
@@ -439,7 +443,7 @@ def encode(docs: DataFrame, model_path: str, id: str = "doc_id", text: str = "te
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = pieces(shared.value)
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SMALL_SLICE):
             ids = _encoded(_prefixed(batch.column("text")), known)
             n = pc.cast(pc.greater(pc.list_value_length(ids), 0), pa.int64())
             yield pa.RecordBatch.from_arrays([*batch.columns, ids, n], ["doc_id", "text", "ids", "n_chunks"])
@@ -465,7 +469,8 @@ def decode(encoded: DataFrame, model_path: str, ids: str = "ids", to: str = "dec
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = byte_table(shared.value)
         for batch in batches:
-            lists = batch.column(ids).fill_null([])
+            lists = batch.column(ids)
+            lists = lists.fill_null([]) if lists.null_count else lists
             total = np.concatenate(([0], np.cumsum(pc.list_value_length(lists).to_numpy())))
             first = 0
             while first < batch.num_rows:

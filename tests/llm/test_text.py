@@ -268,6 +268,49 @@ def test_remembered_units_are_bounded(monkeypatch):
     assert codec._remembered([" x" * 30_000], known) and known.remembered < 30_000
 
 
+@pytest.mark.parametrize("work", ["units", "grams"])
+def test_arrays_of_a_slice_are_small(spark, work):
+    """What a worker holds besides 8 MB of texts stays far below the arrays of 4 MB of them at once."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    rng = random.Random(3)
+    known_words = ["".join(rng.choices("abcdefghij", k=6)) for _ in range(2000)]
+    texts = [" " + " ".join(rng.choices(known_words, k=300)) for _ in range(4000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array(["en"] * len(texts))], ["text", "lang"])
+    with open(public_tokenizers.path("piece_bpe_32k.model"), "rb") as file:
+        known = codec.pieces(file.read())
+
+    class Recorded:
+        """Runs what an operator gives to mapInArrow on one batch, in this process."""
+
+        def select(self, *names):
+            return self
+
+        def mapInArrow(self, run, schema):
+            for _ in run(iter([batch])):
+                pass
+            return self
+
+        def groupBy(self, *names):
+            return self
+
+        def agg(self, *columns):
+            return self
+
+    tracemalloc.start()
+    try:
+        if work == "grams":
+            quality.gram_counts(Recorded())
+        else:
+            for some in codec.slices(iter([batch]), "text", codec.SMALL_SLICE):
+                codec._encoded(some.column("text"), known)
+        assert tracemalloc.get_traced_memory()[1] < 120 << 20
+    finally:
+        tracemalloc.stop()
+
+
 def test_scan_is_sequential_product():
     import numpy as np
 
