@@ -19,12 +19,23 @@ from nestweave.llm.storage import stage
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
+#: Bytes of a batch that goes to a Python worker at once. The session's setting bounds 10,000 rows and 64 MB, which
+#: the task, its Arrow buffers and the worker each hold, and executors keep the most that they ever held.
+BATCH_BYTES = 2 << 20
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 #: SQL cannot express the language model, the signatures or the encoding.
 ORACLE_SQL = None
 
 
+def _small_batches(spark: SparkSession) -> None:
+    """Batches of at most ``BATCH_BYTES`` (and one row) from here on, in this session; what it reads is the same."""
+    spark.conf.set(_BATCH, str(BATCH_BYTES))
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the rules and lie in their language's perplexity band."""
+    _small_batches(spark)
     return judge_quality(docs, keep=list(COLUMNS)).where("kept").select(*COLUMNS)
 
 
@@ -35,6 +46,7 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     the other columns. Rows without an id get ids after all others for this stage, in a written column, so
     that they are compared like the rest and go if a document with an id is their copy; equal ones stay once.
     """
+    _small_batches(spark)
     ids = docs.where("doc_id is not null")
     anonymous = docs.where("doc_id is null").dropDuplicates(["text"])
     last = None
@@ -57,6 +69,7 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def benchmark_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
+    _small_batches(spark)
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     held = stage(benchmark_matches(docs, benchmark).select("doc_id").distinct(), "held")
     return docs.join(held, docs["doc_id"].eqNullSafe(held["doc_id"]), "left_anti").select(*COLUMNS)
@@ -69,9 +82,15 @@ def personal_data_masked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Ids of every document, their number, and whether they decode to the text."""
+    """Ids of every document, their number, and whether they decode to the text.
+
+    The ids are written before they are decoded: a task that runs both in one go holds two Python workers,
+    which an executor keeps, each grown by both steps, for the tasks that follow.
+    """
+    _small_batches(spark)
     path = public_tokenizers.path("piece_bpe_32k.model")
-    done = decode(encode(docs, path), path)
+    encoded = stage(encode(docs, path).select("doc_id", "text", "ids"), "encoded")
+    done = decode(encoded, path)
     plain = F.replace(F.coalesce("text", F.lit("")), F.lit("▁"), F.lit(" "))
     return done.select(
         "doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"), (F.col("decoded") == plain).alias("round_trip")

@@ -5,10 +5,13 @@ import itertools
 import re
 
 import numpy as np
+import public_tokenizers
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
 from nestweave.llm import html_text, toxicity
+from nestweave.llm import sentencepiece_codec as codec
 from nestweave.llm.components import components
 from nestweave.llm.language import identify_languages
 from nestweave.llm.urls import judge_urls
@@ -269,3 +272,31 @@ def test_near_copies_without_ids(spark):
     assert len(loose) == 2 and "alone here" in loose
     none = corpus_pipeline.near_copies(spark, docs.where("doc_id is null"), FOLDER).collect()
     assert len(none) == 3 and {r.doc_id for r in none} == {None}
+
+
+def test_pipeline_decodes_written_ids(spark):
+    """A task of the last stage runs one Python step, so that an executor keeps one worker a core."""
+    rows = [(k, t, "en", "web", len(t or "")) for k, t in enumerate(["two words", "", None, "été ▁ 漢字", "two words"])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    done = corpus_pipeline.tokens(spark, docs, FOLDER)
+    assert done._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    ids = {r.doc_id: r.ids for r in codec.encode(docs, path).collect()}
+    assert {r.doc_id: (r.ids, r.n_tokens) for r in done.collect()} == {k: (v, len(v)) for k, v in ids.items()}
+    assert all(r.round_trip for r in done.collect())
+
+
+def test_pipeline_sends_small_batches(spark):
+    """Long texts reach Python in batches of bounded bytes, all of them."""
+    docs = spark.range(0, 4000, 1, 1).selectExpr("id doc_id", "repeat('abcdefg ', 512) text", "'en' lang", "'web' source", "4096L n_chars")
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": [batch.num_rows], "size": [batch.nbytes]})
+
+    for step in (corpus_pipeline.quality_rules, corpus_pipeline.near_copies, corpus_pipeline.benchmark_free, corpus_pipeline.tokens):
+        spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+        step(spark, docs.limit(0), FOLDER)
+        found = docs.mapInArrow(sizes, "n long, size long").collect()
+        assert sum(r.n for r in found) == 4000
+        assert max(r.size for r in found) <= 2 * corpus_pipeline.BATCH_BYTES
