@@ -9,8 +9,10 @@ as that is below the chosen miss probability. Survivors are confirmed on their f
 A bucket never emits all its pairs. First each member meets its bucket's lead, the node that shares
 most buckets with others. Two members that are similar and share no shingle outside the lead's set both
 have much of it: their common shingles are all in it. So members are dealt anew, by each shingle that the
-lead does not have and, those with enough of the lead's set, by the size of the smaller one. What is
-similar still meets, and what shares just a common core no longer does. Of several leads that two members share, the primary
+lead does not have and, those with enough of the lead's set, by the size of the smaller one. Of the
+shingles the rarest come first, and only those count that can be the first that two similar members share: there
+are few of them, and a line or passage that many texts hold is not among them. What is
+similar still meets, and what shares just a common core or a common line no longer does. Of several leads that two members share, the primary
 one (most central) is enough. In the small buckets that are left
 with several components, members outside the largest one meet the others, some in every round.
 """
@@ -22,7 +24,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from nestweave.llm.components import components
@@ -206,9 +208,9 @@ def dealt_keys(lead: np.ndarray, own: np.ndarray, salt: int, percent: int) -> tu
 
 
 def _dealt(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """Members anew, as (key, sized, node, primary, own, inside, outside), from leads (a), members (b) and
-    their primary leads: ``sized`` tells keys by size from those by shingle, the numbers are of the member's shingles in and not in the set of the key's lead, and ``own``
-    says that the key's lead is its primary one."""
+    """Members anew, as (key, sized, node, lead, primary, inside, size), from leads (a), members (b) and
+    their primary leads: ``sized`` tells keys by size from those by shingle, ``lead`` is the key's lead, and the numbers are of the member's
+    shingles that are in the lead's set, and of all."""
     percent = round(100 * threshold)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -221,7 +223,7 @@ def _dealt(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
                 some, common = dealt_keys(one, two, lead, percent)
                 keys.append(some)
                 by_size = np.arange(len(some)) >= len(two) - common  # the others are by shingle
-                rows.append((node, primary, primary == lead, common, len(two) - common))
+                rows.append((node, lead, primary, common, len(two)))
                 sized.append(by_size)
                 waiting += len(some)
                 if waiting >= KEYS or k == batch.num_rows - 1:
@@ -232,12 +234,12 @@ def _dealt(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
                             pa.array(np.concatenate(sized).astype(np.int64)),
                             *(pa.array(columns[:, j]) for j in range(5)),
                         ],
-                        ["key", "sized", "node", "primary", "own", "inside", "outside"],
+                        ["key", "sized", "node", "lead", "primary", "inside", "size"],
                     )
                     keys, rows, sized, waiting = [], [], [], 0
 
     return _both(pairs, sets, "shingles").mapInArrow(
-        run, "key long, sized long, node long, primary long, own long, inside long, outside long"
+        run, "key long, sized long, node long, lead long, primary long, inside long, size long"
     )
 
 
@@ -302,10 +304,23 @@ def _labelled(members: DataFrame, found: DataFrame | None) -> DataFrame:
 
 
 def _mixed(members: DataFrame, key: str, found: DataFrame | None) -> DataFrame:
-    """Members with labels, of the buckets that hold more than one component."""
-    labelled = _labelled(members, found)
-    keys = labelled.groupBy(key).agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
-    return labelled.join(keys.select(key), key, "left_semi")
+    """Members with labels and their bucket's size n, of the buckets that hold more than one component."""
+    labelled = _labelled(members.drop("label", "n"), found)
+    of_key = F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("n")
+    return labelled.join(labelled.groupBy(key).agg(*of_key).where("low < high").select(key, "n"), key)
+
+
+def _first(members: DataFrame, threshold: float) -> DataFrame:
+    """Dealt members of mixed buckets without the shingles that cannot be the first that two similar ones share.
+
+    A member's shingles outside its lead's set go by the sizes of their buckets, those of one component, which
+    members of two never share, before all. Two members share at most what either has in the lead's set
+    and, as ``rest``, from the first common one on: for similar ones that is the threshold's share of either.
+    """
+    order = Window.partitionBy("node", "lead").orderBy(F.desc("n"), F.desc("key"))
+    by_shingle = members.where("sized = 0").withColumn("rest", F.row_number().over(order).cast("long"))
+    some = by_shingle.where(100 * (F.col("inside") + F.col("rest")) >= round(100 * threshold) * F.col("size"))
+    return some.unionByName(members.where("sized = 1").withColumn("rest", F.lit(0).cast("long")))
 
 
 def _links(docs, nodes, id, text, size, threshold, looks) -> DataFrame:
@@ -332,9 +347,12 @@ def _links(docs, nodes, id, text, size, threshold, looks) -> DataFrame:
     primary = led.groupBy("b").agg(first).select("b", (-F.col("first.minus")).alias("primary"))
     open_ = open_.join(primary, "b").select("a", "b", "primary")
     dealt = stage(_dealt(stage(open_, "open"), sets, threshold), "dealt")
-    members, seen = stage(_mixed(dealt, "key", found), "members"), met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    discard(dealt)
+    mixed = stage(_mixed(dealt, "key", found), "mixed")
+    members = stage(_mixed(_first(mixed, threshold), "key", found), "members")
+    seen = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    discard(dealt, mixed)
     number, percent = 0, round(100 * threshold)
+    leading = ("node", "label", "primary", "inside", "rest", "size", "largest", "others")
     while not members.isEmpty():
         # some members outside the bucket's largest component meet all others, and leave it
         number += 1
@@ -348,19 +366,21 @@ def _links(docs, nodes, id, text, size, threshold, looks) -> DataFrame:
             members.join(largest, "key")
             .where("label <> largest")
             .groupBy("key", slot)
-            .agg(F.min(F.struct("node", "label", "primary", "inside", "outside")).alias("lead"))
-            .select("key", *(F.col(f"lead.{c}").alias(f"lead_{c}") for c in ("node", "label", "primary", "inside", "outside"))),
+            .agg(F.min(F.struct(*leading)).alias("lead"))
+            .select("key", *(F.col(f"lead.{c}").alias(f"lead_{c}") for c in leading)),
             "leaders",
         )
         # members with the same primary lead meet in its buckets only
-        here = (F.col("own") == 1) | (F.col("primary") != F.col("lead_primary"))
-        # as many shingles as two members can share, in the set of the key's lead and outside; those that
-        # are dealt by size share none outside
-        most = F.least("inside", "lead_inside") + F.when(F.col("sized") == 0, F.least("outside", "lead_outside")).otherwise(0)
-        sizes = F.col("inside") + F.col("outside") + F.col("lead_inside") + F.col("lead_outside")
+        here = (F.col("primary") == F.col("lead")) | (F.col("primary") != F.col("lead_primary"))
+        # where all others lead, two of them meet once
+        once = (F.col("label") == F.col("lead_largest")) | (F.col("node") < F.col("lead_node")) | (F.col("lead_others") > SLOTS)
+        # as many shingles as two members can share, in the set of the key's lead and outside from this key on;
+        # those that are dealt by size share none outside
+        most = F.least("inside", "lead_inside") + F.least("rest", "lead_rest")
+        enough = most * (100 + percent) >= percent * (F.col("size") + F.col("lead_size"))
         pairs = (
             members.join(leaders, "key")
-            .where((F.col("label") != F.col("lead_label")) & here & (most * (100 + percent) >= percent * sizes))
+            .where((F.col("label") != F.col("lead_label")) & here & once & enough)
             .select(F.least("node", "lead_node").alias("a"), F.greatest("node", "lead_node").alias("b"))
             .distinct()
             .join(seen, ["a", "b"], "left_anti")

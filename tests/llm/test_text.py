@@ -399,6 +399,30 @@ def test_near_duplicates_of_one_core_are_not_compared_in_pairs(spark, monkeypatc
     assert sum(met) < 340 * 30
 
 
+def test_near_duplicates_of_one_core_and_a_common_line_are_not_compared_in_pairs(spark, monkeypatch):
+    """Lines that many members share beside the core deal those to one bucket; that alone must not make them meet."""
+    from nestweave.llm import near_duplicates as module
+
+    met = []
+    plausible = module._plausible
+
+    def counted(pairs, *rest):
+        met.append(pairs.count())
+        return plausible(pairs, *rest)
+
+    monkeypatch.setattr(module, "_plausible", counted)
+    rng = random.Random(11)
+    texts = families(rng, [320], 100, 30)
+    lines = families(rng, [1, 1], 9, 0)  # the lead has one of them at most
+    texts = [f"{t} {lines[k % 2]}" for k, t in enumerate(texts)]
+    texts += [t.replace(t.split()[k % 40], "changed", 1) for k, t in enumerate(texts[:40])]  # copies of some
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    found = {r.doc_id: r.component_id for r in near_duplicates(frame).collect()}
+    assert found == groups(list(enumerate(texts)), 5)
+    assert len(set(found.values())) == 320
+    assert sum(met) < 360 * 10, met
+
+
 def test_near_duplicates_of_random_edits(spark):
     """A group whose members lie on either side of the threshold: a few reach the others only over some."""
     rng = random.Random(12)
