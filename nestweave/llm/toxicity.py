@@ -76,9 +76,13 @@ class Known:
         """Row, term and how often it occurs, by row and term; row and number of each other term."""
         row, key = _terms(texts)
         some = self.maybe[key & _LOW]
-        at = np.searchsorted(self.keys, key[some])
+        # words come again and again: each is looked up once
+        coded = pa.array(key[some]).dictionary_encode()
+        which, asked = coded.indices.to_numpy(), coded.dictionary.to_numpy()
+        place = np.searchsorted(self.keys, asked)
+        at = place[which]
         known = np.zeros(len(key), bool)
-        known[some] = self.keys[np.minimum(at, len(self.keys) - 1)] == key[some] if len(self.keys) else False
+        known[some] = (self.keys[np.minimum(place, len(self.keys) - 1)] == asked)[which] if len(self.keys) else False
         place = row[known] * (len(self.keys) + 1) + at[known[some]]
         place, n = np.unique(place, return_counts=True)
         row, key = row[~known], key[~known]
@@ -161,15 +165,16 @@ class Index:
                 rare = self.column[terms] < 0
                 begin, end = self.begin[terms[rare]], self.begin[terms[rare] + 1]
                 at = _ranges(begin, end)
-                about = sums + np.bincount(self.example[at], np.repeat(weights[rare], end - begin) * self.weight[at], len(self.ids))
+                rest = np.repeat(weights[rare], end - begin)
+                rest *= self.weight.take(at)
+                about = sums + np.bincount(self.example.take(at), rest, len(self.ids))
                 full[terms] = weights
                 wanted = k
                 while True:
                     least = np.partition(about, -wanted)[-wanted] if wanted < len(about) else 0.0
                     near = np.flatnonzero((about > 0) & (about >= least * (1 - MARGIN)))
-                    begin, end = self.first[near], self.first[near + 1]
-                    at = _ranges(begin, end)
-                    exact = np.bincount(np.repeat(np.arange(len(near)), end - begin), full[self.terms[at]] * self.weights[at], len(near))
+                    spans = zip(self.first[near].tolist(), self.first[near + 1].tolist(), strict=True)
+                    exact = np.array([full.take(self.terms[a:b]) @ self.weights[a:b] for a, b in spans], np.float64)
                     others = exact < 1 - TIE
                     if others.sum() >= k or wanted >= len(about):
                         break
